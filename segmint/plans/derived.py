@@ -94,3 +94,184 @@ def contacts_csv(spark: SparkSession, sf_dir: str) -> str:
          .option("header", "true").csv(path))
         return path
     return _once(spark, ("contacts_csv", sf_dir), build)
+
+
+# --- activation inputs -------------------------------------------------------
+# fixed values: the event pattern the activation side listens for
+EVENT_SOURCE = "aws.s3"
+EVENT_DETAIL_TYPE = "Object Created"
+BUCKET_PREFIX = "uploader-etl-artifacts"
+KEY_PREFIX = "output/"
+
+# Each events row becomes one object-created notification.  Profile, audience,
+# identifier directory and file suffix come from the row's own fields; a few
+# rows land outside the pattern (other bucket, deleted object, temp prefix),
+# some keys are too short, some types or suffixes unsupported.
+NOTIFICATION_BASE = [
+    "event_id AS message_id",
+    "ts AS event_time",
+    f"CASE WHEN user_id % 7 = 0 THEN 'scratch-artifacts' ELSE '{BUCKET_PREFIX}-demo' END AS bucket",
+    f"CASE WHEN event_type = 'error' AND value < 10 THEN 'Object Deleted' ELSE '{EVENT_DETAIL_TYPE}' END AS detail_type",
+    f"'{EVENT_SOURCE}' AS source",
+    "CASE WHEN user_id % 2 = 0 THEN 'file' ELSE 'batch' END AS profile",
+    "concat('Audience ', regexp_extract(props, '[0-9]+', 0)) AS audience",
+    ("CASE event_type WHEN 'click' THEN 'email_sha256' WHEN 'view' THEN 'PHONE_SHA256' "
+     "WHEN 'purchase' THEN 'gaid_sha256' WHEN 'signup' THEN 'Idfa_Sha256' ELSE 'type_3' END AS type_dir"),
+    "concat('part-', lpad(CAST(event_id AS STRING), 8, '0')) AS stem",
+    "value",
+    "CAST(round(value * 1000) AS BIGINT) AS size",
+]
+NOTIFICATION_KEYS = [
+    "message_id", "event_time", "bucket", "detail_type", "source", "size",
+    ("CASE WHEN value > 150 THEN concat('transform_tmp/', type_dir, '/', stem, '.csv') "
+     "WHEN value < 1 THEN concat('output/', stem, '.csv') "
+     "WHEN profile = 'file' THEN concat('output/file/', replace(audience, ' ', '+'), '/', type_dir, '/', stem, '.csv') "
+     "ELSE concat('output/batch/', replace(audience, ' ', '+'), '/', stem, "
+     "CASE WHEN value < 20 THEN '.csv' ELSE '.csv.gz' END) END AS object_key"),
+]
+
+
+def notifications_sql() -> str:
+    """DuckDB text of the flat notifications table."""
+    inner = "SELECT " + ", ".join(NOTIFICATION_BASE) + " FROM events"
+    return "SELECT " + ", ".join(NOTIFICATION_KEYS) + f" FROM ({inner}) nb"
+
+
+def notifications_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    return ev.selectExpr(*NOTIFICATION_BASE).selectExpr(*NOTIFICATION_KEYS)
+
+
+def queue_records(flat: DataFrame) -> DataFrame:
+    """Wrap flat notifications as queue records: ``messageId`` + JSON ``body``."""
+    body = F.struct(
+        F.lit("0").alias("version"),
+        F.col("message_id").cast("string").alias("id"),
+        F.col("detail_type").alias("detail-type"),
+        F.col("source").alias("source"),
+        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
+        F.struct(F.struct(F.col("bucket").alias("name")).alias("bucket"),
+                 F.struct(F.col("object_key").alias("key"), F.col("size").alias("size"))
+                 .alias("object")).alias("detail"),
+    )
+    return flat.select(F.col("message_id").cast("string").alias("messageId"),
+                       F.to_json(body).alias("body"))
+
+
+def queue_dir(spark: SparkSession, sf_dir: str, n_files: int = 8) -> str:
+    """Queue records as JSON-lines files (several files, ordered by id)."""
+    def build() -> str:
+        path = scratch_path(spark, "derived", "queue")
+        (queue_records(notifications_frame(spark, sf_dir))
+         .repartitionByRange(n_files, F.col("messageId").cast("long"))
+         .sortWithinPartitions(F.col("messageId").cast("long"))
+         .write.json(path))
+        return path
+    return _once(spark, ("queue", sf_dir), build)
+
+
+# Destination audience catalogue (file profile), one row per supplier; names
+# repeat at larger scale, so "first listed wins" matters.
+AUDIENCE_CATALOGUE = [
+    "concat('Audience ', CAST((s_suppkey * 7) % 160 AS STRING)) AS name",
+    "7000000 + s_suppkey AS audience_id",
+    "CAST(floor(s_suppkey / 100) AS BIGINT) + 1 AS page",
+    "CAST(s_suppkey % 100 AS BIGINT) AS position",
+]
+CATALOGUE_PAGE_SIZE = 100
+
+
+def audience_catalogue_sql() -> str:
+    return "SELECT " + ", ".join(AUDIENCE_CATALOGUE) + " FROM supplier"
+
+
+def audience_pages_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Catalogue as landed list responses: one JSON document per page."""
+    def build() -> str:
+        from pyspark.sql import Window
+        sup = spark.read.parquet(os.path.join(sf_dir, "supplier.parquet"))
+        rows = sup.selectExpr(*AUDIENCE_CATALOGUE)
+        pages = rows.groupBy("page").agg(
+            F.sort_array(F.collect_list(F.struct("position", "name", "audience_id"))).alias("items"))
+        all_pages = Window.partitionBy()
+        doc = pages.select(F.to_json(F.struct(
+            F.lit(0).alias("code"), F.lit("OK").alias("message"),
+            F.struct(
+                F.transform("items", lambda x: F.struct(x["name"].alias("name"),
+                                                        x["audience_id"].alias("audience_id")))
+                .alias("list"),
+                F.struct(F.col("page").alias("page"),
+                         F.lit(CATALOGUE_PAGE_SIZE).alias("page_size"),
+                         F.max("page").over(all_pages).alias("total_page"))
+                .alias("page_info")).alias("data"))).alias("value"))
+        path = scratch_path(spark, "derived", "audience_pages")
+        doc.write.text(path)
+        return path
+    return _once(spark, ("audience_pages", sf_dir), build)
+
+
+# Destination segment catalogue (batch profile), one row per part.
+SEGMENT_CATALOGUE = [
+    "concat('Audience ', CAST((p_partkey * 11) % 170 AS STRING)) AS name",
+    "900000 + p_partkey AS id",
+    "CAST(floor(p_partkey / 1000) AS BIGINT) AS page",
+    "CAST(p_partkey % 1000 AS BIGINT) AS position",
+]
+
+
+def segment_catalogue_sql() -> str:
+    return "SELECT " + ", ".join(SEGMENT_CATALOGUE) + " FROM part"
+
+
+def segment_pages_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Segment look-up responses, at most 1,000 segments per document."""
+    def build() -> str:
+        part = spark.read.parquet(os.path.join(sf_dir, "part.parquet"))
+        rows = part.selectExpr(*SEGMENT_CATALOGUE)
+        docs = rows.groupBy("page").agg(F.sort_array(F.collect_list(
+            F.struct("position", "name", "id"))).alias("items"))
+        doc = docs.select(F.to_json(F.struct(
+            F.lit("SUCCESS").alias("request_status"),
+            F.col("page").alias("page"),
+            F.transform("items", lambda x: F.struct(
+                F.lit("SUCCESS").alias("sub_request_status"),
+                F.struct(x["id"].alias("id"), x["name"].alias("name")).alias("segment")))
+            .alias("segments"))).alias("value"))
+        path = scratch_path(spark, "derived", "segment_pages")
+        doc.write.text(path)
+        return path
+    return _once(spark, ("segment_pages", sf_dir), build)
+
+
+# Transform run history, one run per order.
+JOB_RUNS = [
+    "concat('jr_', lpad(CAST(o_orderkey AS STRING), 10, '0')) AS Id",
+    "o_orderdate AS StartedOn",
+    ("CASE o_orderstatus WHEN 'F' THEN 'SUCCEEDED' WHEN 'O' THEN 'RUNNING' ELSE 'FAILED' END "
+     "AS JobRunState"),
+    "CAST(floor(o_totalprice / 100) AS BIGINT) AS ExecutionTime",
+    "o_orderpriority <> '5-LOW' AS has_arguments",
+    "concat('Audience ', CAST(o_custkey % 100 AS STRING)) AS segment_arg",
+    "concat('uploads/', CAST(o_orderkey AS STRING), '.json') AS source_key_arg",
+]
+
+
+def job_runs_sql() -> str:
+    return "SELECT " + ", ".join(JOB_RUNS) + " FROM orders"
+
+
+def job_runs_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Run history as landed JSON: ``Arguments`` map present only on some runs."""
+    def build() -> str:
+        orders = spark.read.parquet(os.path.join(sf_dir, "orders.parquet"))
+        runs = orders.selectExpr(*JOB_RUNS)
+        args = F.when(F.col("has_arguments"), F.create_map(
+            F.lit("--segment_name"), F.col("segment_arg"),
+            F.lit("--source_key"), F.col("source_key_arg"),
+            F.lit("--pii_fields"), F.lit('[{"column_name":"e-mail","pii_type":"EMAIL"}]')))
+        out = runs.select("Id", F.date_format("StartedOn", "yyyy-MM-dd'T'HH:mm:ss").alias("StartedOn"),
+                          "JobRunState", "ExecutionTime", args.alias("Arguments"))
+        path = scratch_path(spark, "derived", "job_runs")
+        out.write.json(path)
+        return path
+    return _once(spark, ("job_runs", sf_dir), build)

@@ -332,3 +332,177 @@ def q_scan_hash_csv(spark, sf_dir):
     df = transform_frame(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC)
     path = write_batch_profile(df, scratch_path(spark, "out", "batch_profile"))
     return scan_hash_csv(spark, f"{path}/*/*/*.csv.gz")
+
+
+# ===========================================================================
+# Activation: events, routing, catalogues, plan, dead letters, status
+# ===========================================================================
+
+from ..operators import activation as A  # noqa: E402
+from .derived import (audience_catalogue_sql, audience_pages_dir, notifications_sql,  # noqa: E402
+                      queue_dir, segment_catalogue_sql, segment_pages_dir)
+
+NOTIF_CTE = f"nt AS ({notifications_sql()})"
+FILTERED_CTE = (
+    "f AS (SELECT * FROM nt WHERE source = 'aws.s3' AND detail_type = 'Object Created' "
+    "AND starts_with(bucket, 'uploader-etl-artifacts') AND starts_with(object_key, 'output/'))")
+ROUTED_CTE = (
+    "r0 AS (SELECT message_id, bucket, object_key, url_decode(replace(object_key, '+', ' ')) AS key FROM f), "
+    "r1 AS (SELECT *, regexp_extract(key, '[^/]*$', 0) AS file_name, "
+    "string_split(regexp_replace(key, '/?[^/]*$', ''), '/') AS dirs FROM r0), "
+    "r AS (SELECT message_id, bucket, object_key, key, file_name, dirs[2] AS profile, "
+    "dirs[3] AS audience, dirs[4] AS type_dir FROM r1)")
+REASON_CTE = (
+    "rr AS (SELECT *, CASE WHEN profile = 'file' AND upper(type_dir) IN "
+    "('PHONE_SHA256', 'EMAIL_SHA256', 'GAID_SHA256', 'IDFA_SHA256') THEN upper(type_dir) END "
+    "AS calculate_type FROM r), "
+    "rs AS (SELECT *, CASE WHEN audience IS NULL OR audience = '' THEN 'BAD_KEY' "
+    "WHEN profile NOT IN ('file', 'batch') THEN 'UNKNOWN_PROFILE' "
+    "WHEN profile = 'file' AND type_dir IS NULL THEN 'BAD_KEY' "
+    "WHEN profile = 'file' AND calculate_type IS NULL THEN 'UNSUPPORTED_TYPE' "
+    "WHEN profile = 'batch' AND NOT ends_with(file_name, '.gz') THEN 'UNSUPPORTED_FILE' END AS reason0 "
+    "FROM rr)")
+AUD_CTE = (f"ac AS ({audience_catalogue_sql()}), "
+           "al AS (SELECT name, arg_min(audience_id, page * 1000000 + position) AS audience_id "
+           "FROM ac GROUP BY name)")
+SEG_CTE = (f"sc AS ({segment_catalogue_sql()}), "
+           "sl AS (SELECT name, arg_min(id, page * 1000000 + position) AS segment_id "
+           "FROM sc GROUP BY name)")
+PLAN_CTE = (
+    "pj AS (SELECT rs.*, al.audience_id AS aid, coalesce(sl.segment_id, 0) AS sid FROM rs "
+    "LEFT JOIN al ON al.name = rs.audience LEFT JOIN sl ON sl.name = rs.audience), "
+    "pr AS (SELECT *, coalesce(reason0, CASE WHEN profile <> 'file' AND sid = 0 "
+    "THEN 'SEGMENT_NOT_FOUND' END) AS reason FROM pj), "
+    "plan AS (SELECT message_id, bucket, key, file_name, profile, audience, calculate_type, "
+    "CASE WHEN profile = 'file' THEN aid END AS audience_id, "
+    "CASE WHEN profile <> 'file' THEN sid END AS segment_id, "
+    "CASE WHEN reason IS NOT NULL THEN NULL WHEN profile = 'file' AND aid IS NOT NULL THEN 'APPEND' "
+    "WHEN profile = 'file' THEN 'CREATE' ELSE 'ADD_USERS' END AS action, reason FROM pr)")
+PLAN_WITH = O.with_ctes(NOTIF_CTE, FILTERED_CTE, ROUTED_CTE, REASON_CTE, AUD_CTE, SEG_CTE,
+                        PLAN_CTE)
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.parse_records(spark.read.schema(A.QUEUE_SCHEMA).json(queue_dir(spark, sf_dir)))
+
+
+def audiences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.audience_catalogue(spark.read.text(audience_pages_dir(spark, sf_dir)))
+
+
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.segment_catalogue(spark.read.text(segment_pages_dir(spark, sf_dir)))
+
+
+def activation_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.plan_activation(records(spark, sf_dir), audiences(spark, sf_dir),
+                             segments(spark, sf_dir))
+
+
+@register("event_source", O.with_ctes(NOTIF_CTE) +
+          "SELECT message_id, source, detail_type, bucket, object_key, size FROM nt")
+def q_event_source(spark, sf_dir):
+    """Queue records with a JSON body → flat notification columns."""
+    return records(spark, sf_dir)
+
+
+@register("event_filter", O.with_ctes(NOTIF_CTE, FILTERED_CTE) +
+          "SELECT message_id, source, detail_type, bucket, object_key, size FROM f")
+def q_event_filter(spark, sf_dir):
+    """Created objects under output/ in the artifacts bucket only."""
+    return A.event_filter(records(spark, sf_dir))
+
+
+@register("route_key", O.with_ctes(NOTIF_CTE, FILTERED_CTE, ROUTED_CTE) +
+          "SELECT message_id, key, file_name, profile, audience, type_dir FROM r")
+def q_route_key(spark, sf_dir):
+    """T2+F12+F13: decode the key, split into profile/audience/type/file."""
+    return A.route_key(A.event_filter(records(spark, sf_dir))).select(
+        "message_id", "key", "file_name", "profile", "audience", "type_dir")
+
+
+@register("route_type", O.with_ctes(NOTIF_CTE, FILTERED_CTE, ROUTED_CTE, REASON_CTE) +
+          "SELECT message_id, type_dir, calculate_type FROM rr WHERE profile = 'file'")
+def q_route_type(spark, sf_dir):
+    """Identifier type from the key, case-insensitive, null when unsupported."""
+    routed = A.route_key(A.event_filter(records(spark, sf_dir)))
+    return routed.where(F.col("profile") == "file").select(
+        "message_id", "type_dir", A.calculate_type(F.col("type_dir")).alias("calculate_type"))
+
+
+@register("route_suffix", O.with_ctes(NOTIF_CTE, FILTERED_CTE, ROUTED_CTE) +
+          "SELECT message_id, file_name, ends_with(file_name, '.gz') AS supported "
+          "FROM r WHERE profile = 'batch'")
+def q_route_suffix(spark, sf_dir):
+    """Batch-profile files must be gzipped (.gz)."""
+    routed = A.route_key(A.event_filter(records(spark, sf_dir)))
+    return routed.where(F.col("profile") == "batch").select(
+        "message_id", "file_name", A.supported_file(F.col("file_name")).alias("supported"))
+
+
+@register("audience_catalogue", f"SELECT name, audience_id, page, position FROM ({audience_catalogue_sql()}) a")
+def q_audience_catalogue(spark, sf_dir):
+    """Paged list responses → one row per listed audience."""
+    return audiences(spark, sf_dir)
+
+
+@register("segment_catalogue", f"SELECT name, id, page, position FROM ({segment_catalogue_sql()}) s")
+def q_segment_catalogue(spark, sf_dir):
+    """Segment responses → one row per segment."""
+    return segments(spark, sf_dir)
+
+
+@register("resolve_audience", O.with_ctes(AUD_CTE) + "SELECT name, audience_id FROM al")
+def q_resolve_audience(spark, sf_dir):
+    """Exact-name look-up table, first listed wins."""
+    return A.first_by_name(audiences(spark, sf_dir), "audience_id")
+
+
+@register("resolve_segment", PLAN_WITH +
+          "SELECT message_id, audience, sid AS segment_id FROM pj WHERE profile = 'batch'")
+def q_resolve_segment(spark, sf_dir):
+    """Segment id per batch-profile record, 0 when the name is unknown."""
+    routed = A.route_key(A.event_filter(records(spark, sf_dir)))
+    batch = routed.where(F.col("profile") == "batch")
+    return A.resolve_segment(batch, segments(spark, sf_dir)).select(
+        "message_id", "audience", "segment_id")
+
+
+@register("activation_plan", PLAN_WITH + "SELECT * FROM plan")
+def q_activation_plan(spark, sf_dir):
+    """Route, resolve, decide APPEND / CREATE / ADD_USERS per record."""
+    return activation_plan(spark, sf_dir)
+
+
+@register("dead_letters", PLAN_WITH +
+          "SELECT message_id, bucket, key, reason FROM plan WHERE reason IS NOT NULL")
+def q_dead_letters(spark, sf_dir):
+    """T3+T4: records that cannot be activated, with the reason."""
+    return A.dead_letters(activation_plan(spark, sf_dir))
+
+
+@register("activation_status", PLAN_WITH + (
+    "SELECT message_id, CASE WHEN reason IS NULL THEN 200 ELSE 400 END AS status_code, "
+    "CASE WHEN action = 'APPEND' THEN format('Audience {} is successfully updated', audience) "
+    "WHEN action = 'CREATE' THEN format('Audience {} is successfully created', audience) "
+    "WHEN action = 'ADD_USERS' THEN format('Users sent to segment {}', audience) "
+    "ELSE format('ERROR {} for key {}', reason, key) END AS message FROM plan"))
+def q_activation_status(spark, sf_dir):
+    """T5: one status code and message per record."""
+    return A.status_message(activation_plan(spark, sf_dir))
+
+
+@register("upload_summary", PLAN_WITH + (
+    "SELECT audience, count(*) AS n_files, count(reason) AS n_bad_files, "
+    "count(*) FILTER (WHERE action = 'CREATE') AS n_create, "
+    "count(*) FILTER (WHERE action = 'APPEND') AS n_append, "
+    "count(*) FILTER (WHERE action = 'ADD_USERS') AS n_add_users FROM plan GROUP BY audience"))
+def q_upload_summary(spark, sf_dir):
+    """A5: per audience, files seen, bad files and actions taken."""
+    plan = activation_plan(spark, sf_dir)
+    act = F.col("action")
+    return plan.groupBy("audience").agg(
+        F.count(F.lit(1)).alias("n_files"), F.count("reason").alias("n_bad_files"),
+        F.count(F.when(act == "CREATE", 1)).alias("n_create"),
+        F.count(F.when(act == "APPEND", 1)).alias("n_append"),
+        F.count(F.when(act == "ADD_USERS", 1)).alias("n_add_users"))
