@@ -173,7 +173,7 @@ def plan_activation(records: DataFrame, audiences: DataFrame, segments: DataFram
     """Filter, route, resolve and decide per record.
 
     Output columns: message_id, bucket, key, file_name, profile, audience,
-    calculate_type, audience_id, segment_id, action, reason.  ``action`` is
+    calculate_type, audience_id, segment_id, action, reason, size.  ``action`` is
     APPEND / CREATE (file profile) or ADD_USERS (batch); ``reason`` is set
     for records that go to the dead-letter table.
     """
@@ -191,7 +191,7 @@ def plan_activation(records: DataFrame, audiences: DataFrame, segments: DataFram
         "message_id", "bucket", "key", "file_name", "profile", "audience", "calculate_type",
         F.when(is_file, F.col("audience_id")).alias("audience_id"),
         F.when(~is_file, F.col("segment_id")).alias("segment_id"),
-        action.alias("action"), reason.alias("reason"))
+        action.alias("action"), reason.alias("reason"), "size")
 
 
 def outbox(plan: DataFrame) -> DataFrame:

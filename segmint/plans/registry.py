@@ -347,10 +347,10 @@ FILTERED_CTE = (
     "f AS (SELECT * FROM nt WHERE source = 'aws.s3' AND detail_type = 'Object Created' "
     "AND starts_with(bucket, 'uploader-etl-artifacts') AND starts_with(object_key, 'output/'))")
 ROUTED_CTE = (
-    "r0 AS (SELECT message_id, bucket, object_key, url_decode(replace(object_key, '+', ' ')) AS key FROM f), "
+    "r0 AS (SELECT message_id, bucket, object_key, size, url_decode(replace(object_key, '+', ' ')) AS key FROM f), "
     "r1 AS (SELECT *, regexp_extract(key, '[^/]*$', 0) AS file_name, "
     "string_split(regexp_replace(key, '/?[^/]*$', ''), '/') AS dirs FROM r0), "
-    "r AS (SELECT message_id, bucket, object_key, key, file_name, dirs[2] AS profile, "
+    "r AS (SELECT message_id, bucket, object_key, size, key, file_name, dirs[2] AS profile, "
     "dirs[3] AS audience, dirs[4] AS type_dir FROM r1)")
 REASON_CTE = (
     "rr AS (SELECT *, CASE WHEN profile = 'file' AND upper(type_dir) IN "
@@ -377,7 +377,7 @@ PLAN_CTE = (
     "CASE WHEN profile = 'file' THEN aid END AS audience_id, "
     "CASE WHEN profile <> 'file' THEN sid END AS segment_id, "
     "CASE WHEN reason IS NOT NULL THEN NULL WHEN profile = 'file' AND aid IS NOT NULL THEN 'APPEND' "
-    "WHEN profile = 'file' THEN 'CREATE' ELSE 'ADD_USERS' END AS action, reason FROM pr)")
+    "WHEN profile = 'file' THEN 'CREATE' ELSE 'ADD_USERS' END AS action, reason, size FROM pr)")
 PLAN_WITH = O.with_ctes(NOTIF_CTE, FILTERED_CTE, ROUTED_CTE, REASON_CTE, AUD_CTE, SEG_CTE,
                         PLAN_CTE)
 
@@ -506,3 +506,163 @@ def q_upload_summary(spark, sf_dir):
         F.count(F.when(act == "CREATE", 1)).alias("n_create"),
         F.count(F.when(act == "APPEND", 1)).alias("n_append"),
         F.count(F.when(act == "ADD_USERS", 1)).alias("n_add_users"))
+
+
+# ===========================================================================
+# Discovery, manifests, run history, delivery payloads and responses
+# ===========================================================================
+
+from ..operators import payloads as PL  # noqa: E402
+from ..operators.reshape import MID, SPLIT_FILE, SPLIT_START, tag_source_order  # noqa: E402
+from ..sources import discovery as D  # noqa: E402
+from .derived import contacts_csv, job_runs_dir, job_runs_sql  # noqa: E402
+
+
+def _count_union(cols: list[str], nn: bool) -> str:
+    """Per-column fill counts; for CSV (``nn`` false) empty cells count as missing."""
+    parts = []
+    for c in cols:
+        q = f'"{c}"'
+        cnt = f"count({q})" if nn else f"count(NULLIF(CAST({q} AS VARCHAR), ''))"
+        parts.append(f"SELECT '{c}' AS column_name, "
+                     + (f"{cnt} AS n_records, {cnt} AS n_non_null" if nn else f"{cnt} AS n_non_null")
+                     + " FROM c")
+    return " UNION ALL ".join(parts)
+
+
+ALL_CONTACT_COLUMNS = ["contact_id", "age", "e-mail", "phone_number", "mobile_advertiser_id",
+                       "segment", "full_name"]
+
+
+@register("discover_columns_json", O.with_ctes(O.CONTACTS_CTE) +
+          _count_union(ALL_CONTACT_COLUMNS, True))
+def q_discover_columns_json(spark, sf_dir):
+    """Every top-level key of every record, with fill counts (no inference)."""
+    return D.discover_columns_json(spark, contacts_jsonl(spark, sf_dir))
+
+
+@register("discover_columns_csv", O.with_ctes(O.CONTACTS_CTE) +
+          _count_union(ALL_CONTACT_COLUMNS, False))
+def q_discover_columns_csv(spark, sf_dir):
+    """Header columns of a CSV upload with non-null counts."""
+    return D.discover_columns_csv(spark, contacts_csv(spark, sf_dir))
+
+
+FIRST_N = 5
+
+
+@register("first_rows", f"{O.with_ctes(O.CONTACTS_CTE)} SELECT {CONTACT_COLS_SQL} FROM c "
+          f"ORDER BY contact_id LIMIT {FIRST_N}")
+def q_first_rows(spark, sf_dir):
+    """O2: the first records of an upload in file order (top-k, no full sort)."""
+    scan = tag_source_order(contacts_scan(spark, sf_dir)).withColumn(
+        MID, F.monotonically_increasing_id())
+    return (scan.orderBy(SPLIT_FILE, SPLIT_START, MID).limit(FIRST_N)
+            .select(*CONTACTS_SCHEMA.fieldNames()))
+
+
+@register("file_manifest")
+def q_file_manifest(spark, sf_dir):
+    """Listing of the table files (key, ISO last-modified, size); no contents read."""
+    return D.file_manifest(spark, sf_dir, "*.parquet")
+
+
+@register("manifest_sorted")
+def q_manifest_sorted(spark, sf_dir):
+    """O1: the listing sorted by size (largest first), then key."""
+    return D.file_manifest(spark, sf_dir, "*.parquet").orderBy(F.desc("size"), "key")
+
+
+@register("job_runs", (
+    "SELECT Id, strftime(StartedOn, '%Y-%m-%dT%H:%M:%S') AS StartedOn, JobRunState, "
+    "ExecutionTime, CASE WHEN has_arguments THEN segment_arg END AS SegmentName "
+    f"FROM ({job_runs_sql()}) j"))
+def q_job_runs(spark, sf_dir):
+    """Run history; SegmentName from the argument map where it exists."""
+    return D.job_runs(spark, job_runs_dir(spark, sf_dir)).select(
+        "Id", "StartedOn", "JobRunState", "ExecutionTime", "SegmentName")
+
+
+def batch_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch-profile output rows (one file per chunk) at the small row cap."""
+    return transform_frame(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC,
+                           cap_rows=SMALL_ROW_CAP)
+
+
+BATCH_PARTS_SQL = O.batch_split_sql(SMALL_ROW_CAP)
+SEND_ORDER_SQL = ("CASE schema WHEN 'EMAIL_SHA256' THEN 1 WHEN 'MOBILE_AD_ID_SHA256' THEN 2 "
+                  "WHEN 'PHONE_SHA256' THEN 3 END")
+
+
+@register("supported_schemas", (
+    f"SELECT segment_name, chunk, {SEND_ORDER_SQL} AS send_order, schema, count(*) AS n_rows "
+    f"FROM ({BATCH_PARTS_SQL}) t WHERE {SEND_ORDER_SQL} IS NOT NULL GROUP BY ALL"))
+def q_supported_schemas(spark, sf_dir):
+    """P10+A1+A2: rows per supported schema in each output file, in send order."""
+    return PL.supported_schemas(batch_parts(spark, sf_dir))
+
+
+@register("hash_arrays", (
+    "SELECT schema, row_id, CAST(len(string_split(hash, ', ')) AS INTEGER) AS n_items, "
+    f"string_split(hash, ', ')[1] AS first_item FROM ({BATCH_PARTS_SQL}) t"))
+def q_hash_arrays(spark, sf_dir):
+    """each hash cell split on ', ' into a list."""
+    df = PL.hash_lists(batch_parts(spark, sf_dir))
+    return df.select("schema", "row_id", F.size("hash_list").alias("n_items"),
+                     F.element_at("hash_list", 1).alias("first_item"))
+
+
+@register("payloads", (
+    "WITH t AS (" + BATCH_PARTS_SQL + "), g AS (SELECT segment_name, chunk, schema, "
+    f"{SEND_ORDER_SQL} AS send_order, count(*) AS n_users, "
+    "concat('{\"users\":[{\"schema\":[\"', schema, '\"],\"data\":[', "
+    "string_agg(concat('[\"', hash, '\"]'), ',' ORDER BY row_id), ']}]}') AS payload "
+    f"FROM t WHERE {SEND_ORDER_SQL} IS NOT NULL GROUP BY segment_name, chunk, schema) "
+    "SELECT segment_name, chunk, send_order, schema, n_users, "
+    "CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_sha256 FROM g"))
+def q_payloads(spark, sf_dir):
+    """A3+F16: one JSON request body per file and schema (bounded by the row cap)."""
+    p = PL.payloads(batch_parts(spark, sf_dir))
+    return p.select("segment_name", "chunk", "send_order", "schema", "n_users",
+                    F.octet_length("payload").cast("long").alias("payload_bytes"),
+                    sha256_hex(F.col("payload")).alias("payload_sha256"))
+
+
+@register("upload_results", PLAN_WITH + (
+    "SELECT audience, count(*) AS n_requests, CAST(sum(size // 65) AS BIGINT) AS n_uploaded_users "
+    "FROM plan WHERE action = 'ADD_USERS' GROUP BY audience"))
+def q_upload_results(spark, sf_dir):
+    """A4: uploaded-user counts parsed from the responses, summed per segment.
+
+    The responses log is derived from the outbox: one response per request,
+    reporting the rows its file holds (size / 65 bytes per line).
+    """
+    sent = A.outbox(activation_plan(spark, sf_dir)).where(F.col("action") == "ADD_USERS")
+    resp = sent.select("message_id", F.to_json(F.struct(
+        F.lit("SUCCESS").alias("request_status"),
+        F.array(F.struct(F.lit("SUCCESS").alias("sub_request_status"),
+                         F.struct((F.col("size") / 65).cast("long").alias("number_uploaded_users"))
+                         .alias("user"))).alias("users"))).alias("response"))
+    path = scratch_path(spark, "derived", "responses")
+    resp.write.json(path)
+    parsed = PL.uploaded_users(spark.read.schema("message_id BIGINT, response STRING").json(path))
+    joined = parsed.join(sent.select("message_id", "audience"), "message_id")
+    return joined.groupBy("audience").agg(
+        F.count(F.lit(1)).alias("n_requests"),
+        F.sum("number_uploaded_users").cast("long").alias("n_uploaded_users"))
+
+
+@register("activation_requests", (
+    "WITH t AS (" + O.file_split_sql(SMALL_BYTE_CAP // HASH_LINE_BYTES) + ") "
+    "SELECT segment_name, upper(schema) AS calculate_type, chunk, "
+    "CAST(sum(strlen(hash) + 1) AS BIGINT) AS size, "
+    "md5(string_agg(concat(hash, chr(10)), '' ORDER BY row_id)) AS file_signature "
+    "FROM t GROUP BY segment_name, schema, chunk"))
+def q_activation_requests(spark, sf_dir):
+    """Upload request per written file: identifier type, size, md5 signature."""
+    df = transform_frame(audience_scan(spark, sf_dir, FILE_SPEC), FILE_SPEC,
+                         cap_rows=SMALL_BYTE_CAP // HASH_LINE_BYTES)
+    path = write_file_profile(df, scratch_path(spark, "out", "file_profile"))
+    sig = D.file_signatures(spark, path, "*.csv")
+    return sig.select("segment_name", F.upper("schema").alias("calculate_type"), "chunk",
+                      "size", "file_signature")
