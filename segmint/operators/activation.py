@@ -155,21 +155,42 @@ def first_by_name(catalogue: DataFrame, value: str) -> DataFrame:
         F.min_by(value, F.struct("page", "position")).alias(value))
 
 
-def resolve_audience(routed: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Attach ``audience_id`` (null when the audience does not exist yet)."""
-    lookup = first_by_name(catalogue, "audience_id").withColumnRenamed("name", "audience")
-    return join_small(routed, lookup, "audience", how="left")
+def audience_lookup(catalogue: DataFrame) -> DataFrame:
+    """(audience, audience_id): one row per distinct name, first listed wins."""
+    return first_by_name(catalogue, "audience_id").withColumnRenamed("name", "audience")
 
 
-def resolve_segment(routed: DataFrame, catalogue: DataFrame) -> DataFrame:
+def segment_lookup(catalogue: DataFrame) -> DataFrame:
+    """(audience, segment_id): one row per distinct segment name, first wins."""
+    return (first_by_name(catalogue, "id").withColumnRenamed("name", "audience")
+            .withColumnRenamed("id", "segment_id"))
+
+
+def resolve_audience(routed: DataFrame, catalogue: DataFrame | None = None,
+                     lookup: DataFrame | None = None) -> DataFrame:
+    """Attach ``audience_id`` (null when the audience does not exist yet).
+
+    Pass ``lookup`` (from ``audience_lookup``, already size-checked and
+    possibly broadcast-hinted) to skip re-deriving it, e.g. per micro-batch.
+    """
+    if lookup is not None:
+        return routed.join(lookup, "audience", "left")
+    return join_small(routed, audience_lookup(catalogue), "audience", how="left")
+
+
+def resolve_segment(routed: DataFrame, catalogue: DataFrame | None = None,
+                    lookup: DataFrame | None = None) -> DataFrame:
     """Attach ``segment_id`` (0 when the segment is unknown)."""
-    lookup = (first_by_name(catalogue, "id").withColumnRenamed("name", "audience")
-              .withColumnRenamed("id", "segment_id"))
-    out = join_small(routed, lookup, "audience", how="left")
+    if lookup is not None:
+        out = routed.join(lookup, "audience", "left")
+    else:
+        out = join_small(routed, segment_lookup(catalogue), "audience", how="left")
     return out.withColumn("segment_id", F.coalesce("segment_id", F.lit(0).cast("long")))
 
 
-def plan_activation(records: DataFrame, audiences: DataFrame, segments: DataFrame) -> DataFrame:
+def plan_activation(records: DataFrame, audiences: DataFrame | None = None,
+                    segments: DataFrame | None = None,
+                    lookups: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Filter, route, resolve and decide per record.
 
     Output columns: message_id, bucket, key, file_name, profile, audience,
@@ -178,8 +199,9 @@ def plan_activation(records: DataFrame, audiences: DataFrame, segments: DataFram
     for records that go to the dead-letter table.
     """
     routed = route_reasons(route_key(event_filter(records)))
-    with_aud = resolve_audience(routed, audiences)
-    with_seg = resolve_segment(with_aud, segments)
+    aud_lk, seg_lk = lookups if lookups is not None else (None, None)
+    with_aud = resolve_audience(routed, audiences, aud_lk)
+    with_seg = resolve_segment(with_aud, segments, seg_lk)
     is_file = F.col("profile") == "file"
     reason = F.coalesce(F.col("reason"), F.when(
         ~is_file & (F.col("segment_id") == 0), F.lit("SEGMENT_NOT_FOUND")))

@@ -21,6 +21,15 @@ def fits_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     return small.limit(max_rows + 1).count() <= max_rows
 
 
+def sized_lookup(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Materialise a look-up table once and hint broadcast only if it is small.
+
+    For look-ups reused many times (e.g. every micro-batch of a stream).
+    """
+    small = small.checkpoint(eager=True)
+    return F.broadcast(small) if fits_broadcast(small, max_rows) else small
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                materialize: bool = False) -> DataFrame:

@@ -68,7 +68,8 @@ def melt_unpivot(df: DataFrame, columns: list[str], keep: list[str] | None = Non
 def with_file_order_index(long_df: DataFrame, index_name: str = "row_id",
                           group_cols: list[str] | None = None,
                           group_index_name: str = "group_row_id",
-                          max_splits: int = 1_000_000) -> DataFrame:
+                          max_splits: int = 1_000_000,
+                          return_offsets: bool = False):
     """Number rows 0..n-1 in (ordinal, file, block start, m) order.
 
     ``long_df`` must carry ``SPLIT_FILE``/``SPLIT_START`` (from
@@ -76,6 +77,8 @@ def with_file_order_index(long_df: DataFrame, index_name: str = "row_id",
     ``melt_by_branches``).  Adds ``index_name`` and ``total_rows``; with
     ``group_cols`` also ``group_index_name`` (numbering within the group)
     and ``group_rows`` (group size), so a later split needs no extra pass.
+    With ``return_offsets`` also returns the materialised per-split table
+    (one row per input split), from which part counts can be read cheaply.
     """
     if ORDINAL not in long_df.columns:
         long_df = long_df.withColumn(ORDINAL, F.lit(0))
@@ -97,12 +100,13 @@ def with_file_order_index(long_df: DataFrame, index_name: str = "row_id",
         offsets = (offsets
                    .withColumn("__goff", F.coalesce(F.sum("__n").over(gbefore), F.lit(0)))
                    .withColumn("group_rows", F.sum("__n").over(g)))
-    joined = join_small(tagged, offsets.drop("__n"), keys, max_rows=max_splits,
-                        materialize=True)
+    offsets = offsets.checkpoint(eager=True)
+    joined = join_small(tagged, offsets.drop("__n"), keys, max_rows=max_splits)
     out = joined.withColumn(index_name, F.col("__off") + F.col(MID) - F.col("__m0"))
     if group_cols:
         out = out.withColumn(group_index_name, F.col("__goff") + F.col(MID) - F.col("__m0"))
-    return out.drop("__off", "__goff", "__m0", MID)
+    out = out.drop("__off", "__goff", "__m0", MID)
+    return (out, offsets) if return_offsets else out
 
 
 def balanced_chunk(index: Column, n_rows: Column, n_parts: Column) -> Column:

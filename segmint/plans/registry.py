@@ -28,7 +28,8 @@ from ..sources.audience import (scan_hash_csv, scan_jsonl, select_string_columns
 from ..spec import FILE_CAP_BYTES, HASH_LINE_BYTES, AudienceSpec, PiiField
 from . import oracle_sql as O
 from .derived import contacts_frame, contacts_jsonl
-from .transform import hash_wide, hashed_long, normalize_all, transform_frame
+from .transform import (hash_wide, hashed_long, normalize_all, transform_frame,
+                        transform_with_parts)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -306,9 +307,9 @@ def q_transform(spark, sf_dir):
           + O.file_split_sql(SMALL_BYTE_CAP // HASH_LINE_BYTES) + ") t")
 def q_file_profile_sink(spark, sf_dir):
     """K1: write headerless per-kind parts, read them back."""
-    df = transform_frame(audience_scan(spark, sf_dir, FILE_SPEC), FILE_SPEC,
-                         cap_rows=SMALL_BYTE_CAP // HASH_LINE_BYTES)
-    path = write_file_profile(df, scratch_path(spark, "out", "file_profile"))
+    df, n_parts = transform_with_parts(audience_scan(spark, sf_dir, FILE_SPEC), FILE_SPEC,
+                                       cap_rows=SMALL_BYTE_CAP // HASH_LINE_BYTES)
+    path = write_file_profile(df, scratch_path(spark, "out", "file_profile"), num_parts=n_parts)
     return read_file_profile(spark, path)
 
 
@@ -316,9 +317,9 @@ def q_file_profile_sink(spark, sf_dir):
           + O.batch_split_sql(SMALL_ROW_CAP) + ") t")
 def q_batch_profile_sink(spark, sf_dir):
     """K2+R5: gzipped CSV parts with header and row index, read back."""
-    df = transform_frame(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC,
-                         cap_rows=SMALL_ROW_CAP)
-    path = write_batch_profile(df, scratch_path(spark, "out", "batch_profile"))
+    df, n_parts = transform_with_parts(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC,
+                                       cap_rows=SMALL_ROW_CAP)
+    path = write_batch_profile(df, scratch_path(spark, "out", "batch_profile"), num_parts=n_parts)
     back = spark.read.option("header", "true").option("basePath", path).schema(
         "row_id BIGINT, schema STRING, hash STRING, segment_name STRING, "
         "segment STRING, chunk BIGINT").csv(path)
@@ -329,8 +330,8 @@ def q_batch_profile_sink(spark, sf_dir):
           + O.batch_split_sql(100_000) + ") t")
 def q_scan_hash_csv(spark, sf_dir):
     """S3: read the gzipped batch-profile files with their header."""
-    df = transform_frame(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC)
-    path = write_batch_profile(df, scratch_path(spark, "out", "batch_profile"))
+    df, n_parts = transform_with_parts(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC)
+    path = write_batch_profile(df, scratch_path(spark, "out", "batch_profile"), num_parts=n_parts)
     return scan_hash_csv(spark, f"{path}/*/*/*.csv.gz")
 
 
@@ -660,9 +661,9 @@ def q_upload_results(spark, sf_dir):
     "FROM t GROUP BY segment_name, schema, chunk"))
 def q_activation_requests(spark, sf_dir):
     """Upload request per written file: identifier type, size, md5 signature."""
-    df = transform_frame(audience_scan(spark, sf_dir, FILE_SPEC), FILE_SPEC,
-                         cap_rows=SMALL_BYTE_CAP // HASH_LINE_BYTES)
-    path = write_file_profile(df, scratch_path(spark, "out", "file_profile"))
+    df, n_parts = transform_with_parts(audience_scan(spark, sf_dir, FILE_SPEC), FILE_SPEC,
+                                       cap_rows=SMALL_BYTE_CAP // HASH_LINE_BYTES)
+    path = write_file_profile(df, scratch_path(spark, "out", "file_profile"), num_parts=n_parts)
     sig = D.file_signatures(spark, path, "*.csv")
     return sig.select("segment_name", F.upper("schema").alias("calculate_type"), "chunk",
                       "size", "file_signature")

@@ -74,29 +74,44 @@ def output_key_column(spec: AudienceSpec, schema_col: str = "schema",
                        F.concat(stem, suffix, F.lit(".csv.gz")))
 
 
-def transform_frame(df: DataFrame, spec: AudienceSpec, cap_rows: int | None = None) -> DataFrame:
-    """The whole transform on a scanned audience DataFrame.
+def transform_with_parts(df: DataFrame, spec: AudienceSpec,
+                         cap_rows: int | None = None) -> tuple[DataFrame, int]:
+    """``transform_frame`` plus the exact number of output parts.
 
-    Result columns: ``segment_name, schema, hash, row_id, chunk, n_parts,
-    object_key``.  File profile: ``row_id`` counts within the identifier
-    kind and each kind is split on its own under the byte cap.  Batch
-    profile: ``row_id`` is the position in the long table and the whole
-    table is split under the row cap.  ``cap_rows`` overrides the
-    profile's cap (rows per part).
+    The part count is read from the per-split table (one row per input
+    split) that the index step materialises anyway, so it costs no pass
+    over the data; writers size their shuffle with it.
     """
     spec.validate()
     cap = cap_rows or spec.rows_per_file
     long = hashed_long(df, spec)
     if spec.profile == "file":
-        idx = with_file_order_index(long, index_name="__global", group_cols=["schema"],
-                                    group_index_name="row_id")
+        idx, offsets = with_file_order_index(long, index_name="__global", group_cols=["schema"],
+                                             group_index_name="row_id", return_offsets=True)
         out = balanced_split(idx, cap, index_col="row_id", rows_col="group_rows")
+        sizes = offsets.groupBy("schema").agg(F.sum("__n").alias("n"))
     else:
-        idx = with_file_order_index(long, index_name="row_id")
+        idx, offsets = with_file_order_index(long, index_name="row_id", return_offsets=True)
         out = balanced_split(idx, cap, index_col="row_id", rows_col="total_rows")
+        sizes = offsets.agg(F.sum("__n").alias("n"))
+    n_parts = sizes.agg(F.sum(F.ceil(F.col("n") / F.lit(cap)))).first()[0] or 0
     out = out.withColumn("segment_name", F.lit(spec.segment_name))
     out = out.withColumn("object_key", output_key_column(spec))
-    return out.select("segment_name", "schema", "hash", "row_id", "chunk", "n_parts", "object_key")
+    cols = ["segment_name", "schema", "hash", "row_id", "chunk", "n_parts", "object_key"]
+    return out.select(*cols), int(n_parts)
+
+
+def transform_frame(df: DataFrame, spec: AudienceSpec, cap_rows: int | None = None) -> DataFrame:
+    """The whole transform on a scanned audience DataFrame.
+
+    Result columns: ``segment_name, schema, hash, row_id, chunk, n_parts,
+    object_key``.  File profile: ``row_id`` counts within the identifier
+    kind and each kind is split on its own under the byte cap.  Batch
+    profile: ``row_id`` is the position in the long table and the whole
+    table is split under the row cap.  ``cap_rows`` overrides the
+    profile's cap (rows per part).
+    """
+    return transform_with_parts(df, spec, cap_rows)[0]
 
 
 def transform(spark: SparkSession, path: str | list[str], spec: AudienceSpec,

@@ -18,22 +18,31 @@ FILE_PARTS = ["segment_name", "schema", "chunk"]
 BATCH_PARTS = ["segment_name", "chunk"]
 
 
-def _gather_parts(df: DataFrame, parts: list[str]) -> DataFrame:
-    return df.repartition(*[F.col(c) for c in parts]).sortWithinPartitions(*parts, "row_id")
+def _gather_parts(df: DataFrame, parts: list[str], num_parts: int | None) -> DataFrame:
+    """One shuffle partition per output part (hash of the part key).
 
+    ``num_parts`` (from ``transform_with_parts``) sizes the shuffle to the
+    number of parts, so a task writes about one capped part; without it the
+    session's shuffle partition count (and AQE coalescing) applies.
+    """
+    cols = [F.col(c) for c in parts]
+    shuffled = df.repartition(max(num_parts, 1), *cols) if num_parts else df.repartition(*cols)
+    return shuffled.sortWithinPartitions(*parts, "row_id")
 
-def write_file_profile(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+
+def write_file_profile(df: DataFrame, path: str, mode: str = "overwrite",
+                       num_parts: int | None = None) -> str:
     """One headerless, index-less CSV of bare hashes per (segment, schema, chunk)."""
-    (_gather_parts(df, FILE_PARTS).select(*FILE_PARTS, "hash")
+    (_gather_parts(df, FILE_PARTS, num_parts).select(*FILE_PARTS, "hash")
      .write.mode(mode).partitionBy(*FILE_PARTS)
      .option("header", "false").csv(path))
     return path
 
 
 def write_batch_profile(df: DataFrame, path: str, mode: str = "overwrite",
-                        compression: str = "gzip") -> str:
+                        compression: str = "gzip", num_parts: int | None = None) -> str:
     """Gzipped CSV with header ``row_id,schema,hash,segment_name`` per chunk."""
-    out = _gather_parts(df, BATCH_PARTS).select(
+    out = _gather_parts(df, BATCH_PARTS, num_parts).select(
         "row_id", "schema", "hash", "segment_name",
         F.col("segment_name").alias("segment"), "chunk")
     (out.write.mode(mode).partitionBy("segment", "chunk")

@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.activation import QUEUE_SCHEMA, parse_records, plan_activation
+from ..operators.activation import (QUEUE_SCHEMA, audience_lookup, parse_records,
+                                    plan_activation, segment_lookup)
+from ..operators.lookup import sized_lookup
 
 PLAN_COLUMNS = ["message_id", "bucket", "key", "file_name", "profile", "audience",
                 "calculate_type", "audience_id", "segment_id", "action", "size"]
@@ -36,11 +38,10 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Dat
     """Start the job; returns the running query (``awaitTermination`` to wait).
 
     ``audiences`` / ``segments`` are catalogue snapshots (name, id, page,
-    position); they are checkpointed once so micro-batches do not re-read
-    the landed pages.
+    position); their name look-ups are derived, checkpointed and size-checked
+    once, so micro-batches neither re-read the landed pages nor re-count.
     """
-    aud = audiences.checkpoint(eager=True)
-    seg = segments.checkpoint(eager=True)
+    lookups = (sized_lookup(audience_lookup(audiences)), sized_lookup(segment_lookup(segments)))
     stream = (spark.readStream.schema(QUEUE_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger).json(queue_path))
     recs = parse_records(stream).dropDuplicates(["bucket", "object_key"])
@@ -48,7 +49,7 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Dat
     dead_path = os.path.join(out_root, "dead_letter")
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        plan = plan_activation(batch, aud, seg).withColumn("epoch", F.lit(epoch_id))
+        plan = plan_activation(batch, lookups=lookups).withColumn("epoch", F.lit(epoch_id))
         plan = plan.persist()
         try:
             _write_epoch(plan.where(F.col("reason").isNull()).select(*PLAN_COLUMNS, "epoch"),
