@@ -134,7 +134,8 @@ def audience_catalogue(pages: DataFrame) -> DataFrame:
     doc = pages.select(F.from_json("value", AUDIENCE_PAGE_SCHEMA).alias("d"))
     return (doc.where(F.col("d.code") == 0)
             .select(F.col("d.data.page_info.page").alias("page"),
-                    F.posexplode("d.data.list").alias("position", "item"))
+                    F.posexplode_outer("d.data.list").alias("position", "item"))
+            .where(F.col("item").isNotNull())
             .select(F.col("item.name").alias("name"),
                     F.col("item.audience_id").alias("audience_id"),
                     "page", F.col("position").cast("long").alias("position")))
@@ -144,7 +145,8 @@ def segment_catalogue(docs: DataFrame) -> DataFrame:
     """Segment responses → (name, id, page, position)."""
     d = docs.select(F.from_json("value", SEGMENT_PAGE_SCHEMA).alias("d"))
     return (d.select(F.col("d.page").alias("page"),
-                     F.posexplode("d.segments").alias("position", "s"))
+                     F.posexplode_outer("d.segments").alias("position", "s"))
+            .where(F.col("s").isNotNull())
             .select(F.col("s.segment.name").alias("name"), F.col("s.segment.id").alias("id"),
                     "page", F.col("position").cast("long").alias("position")))
 

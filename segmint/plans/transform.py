@@ -9,55 +9,85 @@ and a part is bounded by the destination cap.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hashed
-from ..functions.normalize import normalized
+from ..functions.hashing import sha256_hex
+from ..functions.normalize import (apply_null_policy_after, apply_null_policy_before,
+                                   clean_text, normalize_kind)
 from ..functions.paths import chunk_suffix, strip_extension
-from ..operators.reshape import (SPLIT_FILE, SPLIT_START, balanced_split,
-                                 melt_by_branches, tag_source_order, with_file_order_index)
+from ..operators.reshape import (ORDINAL, SPLIT_FILE, SPLIT_START, balanced_split,
+                                 tag_source_order, with_file_order_index)
 from ..sources.audience import scan_audience, string_columns
 from ..spec import AudienceSpec
 
 
+def _normalized(df: DataFrame, spec: AudienceSpec, keep: list[str]) -> DataFrame:
+    """Normalise every mapped column into ``__norm{i}``, in two projections.
+
+    The first holds exactly one NFKD UDF call per column (``__clean{i}``);
+    the second applies the per-kind rules and the null policy to that
+    column by name.  Keeping them apart means the UDF runs once per value
+    even though the null policy reads the value twice; the kind rules are
+    cheap built-ins and may be re-evaluated where a filter is pushed down.
+    """
+    clean = df.select(*keep, *[
+        clean_text(apply_null_policy_before(df[f.column_name], spec.null_policy))
+        .alias(f"__clean{i}") for i, f in enumerate(spec.fields)])
+    cols = []
+    for i, f in enumerate(spec.fields):
+        v = normalize_kind(F.col(f"__clean{i}"), f.pii_type, spec.lowercase_email)
+        cols.append(apply_null_policy_after(v, spec.null_policy).alias(f"__norm{i}"))
+    return clean.select(*keep, *cols)
+
+
 def normalize_all(df: DataFrame, spec: AudienceSpec, keep: list[str] | None = None) -> DataFrame:
     """Mapped columns, normalised per kind, in mapping order (names kept)."""
-    cols = [normalized(df[f.column_name], f.pii_type, spec.null_policy,
-                       spec.lowercase_email).alias(f.column_name) for f in spec.fields]
-    return df.select(*(keep or []), *cols)
+    keep = keep or []
+    n = _normalized(df, spec, keep)
+    return n.select(*keep, *[F.col(f"__norm{i}").alias(f.column_name)
+                             for i, f in enumerate(spec.fields)])
 
 
 def hash_wide(df: DataFrame, spec: AudienceSpec, keep: list[str] | None = None) -> DataFrame:
     """One ``<KIND>_SHA256`` column per mapped column (null where skipped)."""
-    cols = [hashed(df[f.column_name], f.pii_type, spec.null_policy,
-                   spec.lowercase_email).alias(f.output_name) for f in spec.fields]
-    return df.select(*(keep or []), *cols)
+    keep = keep or []
+    n = _normalized(df, spec, keep)
+    return n.select(*keep, *[sha256_hex(F.col(f"__norm{i}")).alias(f.output_name)
+                             for i, f in enumerate(spec.fields)])
 
 
 def hashed_long(df: DataFrame, spec: AudienceSpec) -> DataFrame:
     """Long ``(schema, hash)`` rows in column-major order, split-tagged.
 
     ``df`` should be a file scan (so rows can be tagged with their input
-    split).  With ``include_unmapped`` (batch parity option) unmapped
-    string columns are melted too, in clear text, under their own names.
+    split).  Under the ``skip`` policy each branch drops missing values on
+    the normalised column before hashing, so only kept rows are hashed.
+    With ``include_unmapped`` (batch parity option) unmapped string columns
+    are melted too, in clear text, under their own names.
     """
     if SPLIT_FILE not in df.columns:
         df = tag_source_order(df)
     tags = [SPLIT_FILE, SPLIT_START]
-    cols = [hashed(df[f.column_name], f.pii_type, spec.null_policy,
-                   spec.lowercase_email).alias(f.output_name) for f in spec.fields]
-    labels = spec.output_names
+    extra = []
     if spec.include_unmapped:
         mapped = set(spec.mapped_columns)
         extra = [c for c in string_columns(df) if c not in mapped and c not in tags]
-        for c in extra:
-            v = F.coalesce(df[c], F.lit("None")) if spec.null_policy == "literal" else df[c]
-            cols.append(v.alias(c))
-        labels = labels + extra
-    wide = df.select(*tags, *cols)
-    return melt_by_branches(wide, [(c, c) for c in labels], keep=tags,
-                            drop_nulls=spec.null_policy == "skip")
+    norm = _normalized(df, spec, keep=tags + extra)
+    skip = spec.null_policy == "skip"
+    branches = []
+    for i, f in enumerate(spec.fields):
+        b = norm.where(F.col(f"__norm{i}").isNotNull()) if skip else norm
+        branches.append(b.select(*tags, F.lit(i).alias(ORDINAL), F.lit(f.output_name).alias("schema"),
+                                 sha256_hex(F.col(f"__norm{i}")).alias("hash")))
+    for j, c in enumerate(extra, start=len(spec.fields)):
+        v = F.col(c) if skip else F.coalesce(F.col(c), F.lit("None"))
+        b = norm.where(F.col(c).isNotNull()) if skip else norm
+        branches.append(b.select(*tags, F.lit(j).alias(ORDINAL), F.lit(c).alias("schema"),
+                                 v.alias("hash")))
+    return reduce(DataFrame.unionAll, branches)
 
 
 def output_key_column(spec: AudienceSpec, schema_col: str = "schema",

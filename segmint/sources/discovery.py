@@ -19,7 +19,11 @@ def discover_columns_json(spark: SparkSession, path: str | list[str]) -> DataFra
     """(column_name, n_records, n_non_null) over all records of a JSON-lines file."""
     recs = spark.read.text(path).select(
         F.from_json("value", T.MapType(T.StringType(), T.StringType())).alias("m"))
-    kv = recs.select(F.explode("m").alias("column_name", "v"))
+    # explode_outer + null filter: plain explode makes Catalyst infer a
+    # size(m) > 0 filter below the projection, which would parse every
+    # record twice.
+    kv = (recs.select(F.explode_outer("m").alias("column_name", "v"))
+          .where(F.col("column_name").isNotNull()))
     return kv.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("n_records"), F.count("v").alias("n_non_null"))
 
