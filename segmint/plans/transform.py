@@ -104,16 +104,9 @@ def output_key_column(spec: AudienceSpec, schema_col: str = "schema",
                        F.concat(stem, suffix, F.lit(".csv.gz")))
 
 
-def transform_with_parts(df: DataFrame, spec: AudienceSpec,
-                         cap_rows: int | None = None) -> tuple[DataFrame, int]:
-    """``transform_frame`` plus the exact number of output parts.
-
-    The part count is read from the per-split table (one row per input
-    split) that the index step materialises anyway, so it costs no pass
-    over the data; writers size their shuffle with it.
-    """
+def _transform(df: DataFrame, spec: AudienceSpec, cap: int) -> tuple[DataFrame, DataFrame]:
+    """Result rows plus a per-group size table (tiny, already materialised)."""
     spec.validate()
-    cap = cap_rows or spec.rows_per_file
     long = hashed_long(df, spec)
     if spec.profile == "file":
         idx, offsets = with_file_order_index(long, index_name="__global", group_cols=["schema"],
@@ -124,11 +117,24 @@ def transform_with_parts(df: DataFrame, spec: AudienceSpec,
         idx, offsets = with_file_order_index(long, index_name="row_id", return_offsets=True)
         out = balanced_split(idx, cap, index_col="row_id", rows_col="total_rows")
         sizes = offsets.agg(F.sum("__n").alias("n"))
-    n_parts = sizes.agg(F.sum(F.ceil(F.col("n") / F.lit(cap)))).first()[0] or 0
     out = out.withColumn("segment_name", F.lit(spec.segment_name))
     out = out.withColumn("object_key", output_key_column(spec))
     cols = ["segment_name", "schema", "hash", "row_id", "chunk", "n_parts", "object_key"]
-    return out.select(*cols), int(n_parts)
+    return out.select(*cols), sizes
+
+
+def transform_with_parts(df: DataFrame, spec: AudienceSpec,
+                         cap_rows: int | None = None) -> tuple[DataFrame, int]:
+    """``transform_frame`` plus the exact number of output parts.
+
+    The part count is read from the per-split table (one row per input
+    split) that the index step materialises anyway, so it costs no pass
+    over the data; writers size their shuffle with it.
+    """
+    cap = cap_rows or spec.rows_per_file
+    out, sizes = _transform(df, spec, cap)
+    n_parts = sizes.agg(F.sum(F.ceil(F.col("n") / F.lit(cap)))).first()[0] or 0
+    return out, int(n_parts)
 
 
 def transform_frame(df: DataFrame, spec: AudienceSpec, cap_rows: int | None = None) -> DataFrame:
@@ -141,7 +147,7 @@ def transform_frame(df: DataFrame, spec: AudienceSpec, cap_rows: int | None = No
     table is split under the row cap.  ``cap_rows`` overrides the
     profile's cap (rows per part).
     """
-    return transform_with_parts(df, spec, cap_rows)[0]
+    return _transform(df, spec, cap_rows or spec.rows_per_file)[0]
 
 
 def transform(spark: SparkSession, path: str | list[str], spec: AudienceSpec,
