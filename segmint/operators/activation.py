@@ -49,15 +49,23 @@ BODY_SCHEMA = T.StructType([
 
 
 def parse_records(queue: DataFrame) -> DataFrame:
-    """Queue records → flat notification columns (bad JSON → null fields)."""
-    b = F.from_json("body", BODY_SCHEMA, {"mode": "PERMISSIVE"}).alias("b")
-    return queue.select(F.col("messageId").cast("long").alias("message_id"), b).select(
+    """Queue records → flat notification columns (bad JSON → null fields).
+
+    The body is parsed inside ``inline_outer`` of a one-element array: a
+    Generate is a boundary filters are not pushed through, so the event
+    filter that follows reads the parsed columns and each body is parsed
+    once (a plain projection would be re-parsed inside the pushed filter).
+    """
+    parsed = F.from_json("body", BODY_SCHEMA, {"mode": "PERMISSIVE"})
+    flat = queue.select(F.col("messageId").cast("long").alias("message_id"),
+                        F.inline_outer(F.array(parsed)))
+    return flat.select(
         "message_id",
-        F.col("b.source").alias("source"),
-        F.col("b.`detail-type`").alias("detail_type"),
-        F.col("b.detail.bucket.name").alias("bucket"),
-        F.col("b.detail.object.key").alias("object_key"),
-        F.col("b.detail.object.size").alias("size"),
+        F.col("source").alias("source"),
+        F.col("`detail-type`").alias("detail_type"),
+        F.col("detail.bucket.name").alias("bucket"),
+        F.col("detail.object.key").alias("object_key"),
+        F.col("detail.object.size").alias("size"),
     )
 
 

@@ -188,12 +188,11 @@ def audience_catalogue_sql() -> str:
 def audience_pages_dir(spark: SparkSession, sf_dir: str) -> str:
     """Catalogue as landed list responses: one JSON document per page."""
     def build() -> str:
-        from pyspark.sql import Window
         sup = spark.read.parquet(os.path.join(sf_dir, "supplier.parquet"))
         rows = sup.selectExpr(*AUDIENCE_CATALOGUE)
         pages = rows.groupBy("page").agg(
             F.sort_array(F.collect_list(F.struct("position", "name", "audience_id"))).alias("items"))
-        all_pages = Window.partitionBy()
+        total_page = rows.agg(F.max("page")).first()[0] or 0
         doc = pages.select(F.to_json(F.struct(
             F.lit(0).alias("code"), F.lit("OK").alias("message"),
             F.struct(
@@ -202,7 +201,7 @@ def audience_pages_dir(spark: SparkSession, sf_dir: str) -> str:
                 .alias("list"),
                 F.struct(F.col("page").alias("page"),
                          F.lit(CATALOGUE_PAGE_SIZE).alias("page_size"),
-                         F.max("page").over(all_pages).alias("total_page"))
+                         F.lit(total_page).cast("long").alias("total_page"))
                 .alias("page_info")).alias("data"))).alias("value"))
         path = scratch_path(spark, "derived", "audience_pages")
         doc.write.text(path)
