@@ -8,7 +8,10 @@ send nulls through Arrow instead of the text.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +34,10 @@ def _nfkd_series(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKD")
 
 
+# Ship this module's code with the UDF (pickled by value), so executors need
+# no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Marked non-deterministic only so that Catalyst does not copy the call into
 # pushed-down filters (which would run the Python worker twice per row);
 # the function itself is pure.
