@@ -19,15 +19,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import sha256_hex
-from ..functions.normalize import (clean_text, nfkd, normalize_ad_id, normalize_email,
-                                   normalize_phone, normalized, strip)
+from ..functions.normalize import nfkd, normalized, strip
+from ..operators import activation as A
+from ..operators import payloads as PL
+from ..operators.reshape import MID, SPLIT_FILE, SPLIT_START, tag_source_order
 from ..session import scratch_path
 from ..sinks.writers import read_file_profile, write_batch_profile, write_file_profile
+from ..sources import discovery as D
 from ..sources.audience import (scan_hash_csv, scan_jsonl, select_string_columns,
                                 union_by_name)
 from ..spec import FILE_CAP_BYTES, HASH_LINE_BYTES, AudienceSpec, PiiField
+from ..streaming.activation_stream import PLAN_COLUMNS, read_outbox, start_activation_stream
 from . import oracle_sql as O
-from .derived import contacts_frame, contacts_jsonl
+from .derived import (audience_catalogue_sql, audience_pages_dir, contacts_csv, contacts_frame,
+                      contacts_jsonl, job_runs_dir, job_runs_sql, notifications_frame,
+                      notifications_sql, queue_dir, queue_records, segment_catalogue_sql,
+                      segment_pages_dir)
 from .transform import (hash_wide, hashed_long, normalize_all, transform_frame,
                         transform_with_parts)
 
@@ -339,9 +346,6 @@ def q_scan_hash_csv(spark, sf_dir):
 # Activation: events, routing, catalogues, plan, dead letters, status
 # ===========================================================================
 
-from ..operators import activation as A  # noqa: E402
-from .derived import (audience_catalogue_sql, audience_pages_dir, notifications_sql,  # noqa: E402
-                      queue_dir, segment_catalogue_sql, segment_pages_dir)
 
 NOTIF_CTE = f"nt AS ({notifications_sql()})"
 FILTERED_CTE = (
@@ -513,10 +517,6 @@ def q_upload_summary(spark, sf_dir):
 # Discovery, manifests, run history, delivery payloads and responses
 # ===========================================================================
 
-from ..operators import payloads as PL  # noqa: E402
-from ..operators.reshape import MID, SPLIT_FILE, SPLIT_START, tag_source_order  # noqa: E402
-from ..sources import discovery as D  # noqa: E402
-from .derived import contacts_csv, job_runs_dir, job_runs_sql  # noqa: E402
 
 
 def _count_union(cols: list[str], nn: bool) -> str:
@@ -673,9 +673,6 @@ def q_activation_requests(spark, sf_dir):
 # Streaming activation
 # ===========================================================================
 
-from ..streaming.activation_stream import (PLAN_COLUMNS, read_outbox,  # noqa: E402
-                                           start_activation_stream)
-from .derived import notifications_frame, queue_records  # noqa: E402
 
 STREAM_FILES = 8
 STREAM_FILES_PER_TRIGGER = 3

@@ -58,6 +58,11 @@ def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> Da
         F.col("length").alias("size"))
 
 
+def object_metadata(spark: SparkSession, root: str, key: str) -> DataFrame:
+    """Metadata of one object (key, ISO last-modified, size); contents not read."""
+    return file_manifest(spark, root).where(F.col("key") == key)
+
+
 def file_signatures(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """(path, size, md5) of every file below ``root`` (reads the contents)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "false")

@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 from segmint.operators import activation as A
 

@@ -49,3 +49,15 @@ def test_file_job_headerless_parts(spark, tmp_path):
         body = "".join(open(os.path.join(d, f)).read() for f in os.listdir(d) if f.endswith(".csv"))
         lines = body.splitlines()
         assert len(lines) == 2 and all(len(x) == 64 for x in lines)
+
+
+def test_manifest_and_object_metadata(spark, tmp_path):
+    from segmint.sources.discovery import file_manifest, object_metadata
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.json").write_text("{}\n")
+    (tmp_path / "y.csv").write_text("h\n1\n")
+    rows = {r.key: r for r in file_manifest(spark, str(tmp_path)).collect()}
+    assert set(rows) == {"a/x.json", "y.csv"} and rows["y.csv"].size == 4
+    assert "T" in rows["y.csv"].last_modified
+    one = object_metadata(spark, str(tmp_path), "a/x.json").collect()
+    assert len(one) == 1 and one[0].size == 3

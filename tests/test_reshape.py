@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from segmint.operators.reshape import (balanced_split, melt_by_branches, tag_source_order,
                                        with_file_order_index)
