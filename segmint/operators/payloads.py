@@ -31,11 +31,26 @@ def schema_send_order() -> F.Column:
 
 
 def supported_schemas(parts: DataFrame) -> DataFrame:
-    """P10+A2: rows per supported schema in each file, in send order."""
-    return (parts.withColumn("send_order", schema_send_order())
-            .where(F.col("send_order").isNotNull())
-            .groupBy("segment_name", "chunk", "send_order", "schema")
-            .agg(F.count(F.lit(1)).alias("n_rows")))
+    """P10+A2: rows per supported schema in each file, in send order.
+
+    Supported schemas absent from a file are listed too, with ``n_rows = 0``:
+    per file the set of present schemas (at most a handful) is collected and
+    ``array_except`` against the option list yields the absent ones, so no
+    file × option cross product is formed.
+    """
+    counts = (parts.groupBy("segment_name", "chunk", "schema")
+              .agg(F.count(F.lit(1)).alias("n_rows")))
+    present = (counts.withColumn("send_order", schema_send_order())
+               .where(F.col("send_order").isNotNull()))
+    options = F.array(*[F.lit(s) for s in SCHEMA_OPTIONS])
+    absent = (counts.groupBy("segment_name", "chunk")
+              .agg(F.collect_set("schema").alias("present"))
+              .select("segment_name", "chunk",
+                      F.explode(F.array_except(options, F.col("present"))).alias("schema"))
+              .withColumn("send_order", schema_send_order())
+              .withColumn("n_rows", F.lit(0).cast("long")))
+    cols = ["segment_name", "chunk", "send_order", "schema", "n_rows"]
+    return present.select(*cols).unionByName(absent.select(*cols))
 
 
 def payloads(parts: DataFrame) -> DataFrame:

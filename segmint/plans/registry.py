@@ -596,8 +596,14 @@ SEND_ORDER_SQL = ("CASE schema WHEN 'EMAIL_SHA256' THEN 1 WHEN 'MOBILE_AD_ID_SHA
 
 
 @register("supported_schemas", (
-    f"SELECT segment_name, chunk, {SEND_ORDER_SQL} AS send_order, schema, count(*) AS n_rows "
-    f"FROM ({BATCH_PARTS_SQL}) t WHERE {SEND_ORDER_SQL} IS NOT NULL GROUP BY ALL"))
+    f"WITH t AS ({BATCH_PARTS_SQL}), cnt AS (SELECT segment_name, chunk, schema, count(*) AS n "
+    "FROM t GROUP BY ALL), opt AS (SELECT unnest(['EMAIL_SHA256', 'MOBILE_AD_ID_SHA256', "
+    "'PHONE_SHA256']) AS schema), files AS (SELECT DISTINCT segment_name, chunk FROM cnt) "
+    f"SELECT segment_name, chunk, {SEND_ORDER_SQL} AS send_order, schema, n AS n_rows FROM cnt "
+    f"WHERE {SEND_ORDER_SQL} IS NOT NULL UNION ALL "
+    f"SELECT f.segment_name, f.chunk, {SEND_ORDER_SQL.replace('schema', 'o.schema')} AS send_order, "
+    "o.schema, 0 AS n_rows FROM files f, opt o WHERE NOT EXISTS (SELECT 1 FROM cnt c "
+    "WHERE c.segment_name = f.segment_name AND c.chunk = f.chunk AND c.schema = o.schema)"))
 def q_supported_schemas(spark, sf_dir):
     """P10+A1+A2: rows per supported schema in each output file, in send order."""
     return PL.supported_schemas(batch_parts(spark, sf_dir))

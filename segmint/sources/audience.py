@@ -39,9 +39,18 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 
 def scan_audience(spark: SparkSession, path: str | list[str], spec: AudienceSpec) -> DataFrame:
+    """Scan an upload with the spec's columns.
+
+    JSON lines: the explicit schema picks fields by name.  CSV is
+    positional, so the header supplies the names (every column a string, no
+    inference pass) and the spec's columns are selected by name, cast to
+    their declared types; a missing mapped column fails at analysis time.
+    """
+    schema = spec.read_schema()
     if spec.source_format == "csv":
-        return scan_csv(spark, path, spec.read_schema())
-    return scan_jsonl(spark, path, spec.read_schema())
+        df = scan_csv(spark, path)
+        return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return scan_jsonl(spark, path, schema)
 
 
 def scan_hash_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:

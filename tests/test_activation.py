@@ -77,3 +77,16 @@ def test_fx11_status_messages(spark):
 def test_bad_json_body_is_isolated(spark):
     q = spark.createDataFrame([("1", "{not json"), ("2", None)], A.QUEUE_SCHEMA)
     assert A.event_filter(A.parse_records(q)).count() == 0
+
+
+def test_supported_schemas_lists_absent_options(spark):
+    from segmint.operators.payloads import supported_schemas
+    parts = spark.createDataFrame(
+        [("s", 0, "EMAIL_SHA256", "h1", 0), ("s", 0, "EMAIL_SHA256", "h2", 1),
+         ("s", 0, "age", "35", 2), ("s", 1, "PHONE_SHA256", "h3", 3)],
+        "segment_name string, chunk long, schema string, hash string, row_id long")
+    got = sorted((r.chunk, r.send_order, r.schema, r.n_rows)
+                 for r in supported_schemas(parts).collect())
+    assert got == [(0, 1, "EMAIL_SHA256", 2), (0, 2, "MOBILE_AD_ID_SHA256", 0),
+                   (0, 3, "PHONE_SHA256", 0), (1, 1, "EMAIL_SHA256", 0),
+                   (1, 2, "MOBILE_AD_ID_SHA256", 0), (1, 3, "PHONE_SHA256", 1)]
