@@ -29,6 +29,7 @@ SPLIT_FILE = "__split_file"
 SPLIT_START = "__split_start"
 ORDINAL = "__ordinal"
 MID = "__mid"
+PART = "__part"
 
 
 def tag_source_order(df: DataFrame) -> DataFrame:
@@ -82,8 +83,13 @@ def with_file_order_index(long_df: DataFrame, index_name: str = "row_id",
     """
     if ORDINAL not in long_df.columns:
         long_df = long_df.withColumn(ORDINAL, F.lit(0))
-    tagged = long_df.withColumn(MID, F.monotonically_increasing_id())
-    split_keys = [ORDINAL, SPLIT_FILE, SPLIT_START]
+    # The partition number (high bits of the id) completes the split key: for
+    # a file scan it changes nothing (a split lives in one partition); for a
+    # DataFrame not read from files (no file name) it makes each partition
+    # its own "split", numbered in partition order.
+    tagged = (long_df.withColumn(MID, F.monotonically_increasing_id())
+              .withColumn(PART, F.shiftright(F.col(MID), 33)))
+    split_keys = [ORDINAL, SPLIT_FILE, SPLIT_START, PART]
     group_cols = [c for c in (group_cols or []) if c not in split_keys]
     keys = split_keys + group_cols
     counts = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(MID).alias("__m0"))
@@ -105,7 +111,7 @@ def with_file_order_index(long_df: DataFrame, index_name: str = "row_id",
     out = joined.withColumn(index_name, F.col("__off") + F.col(MID) - F.col("__m0"))
     if group_cols:
         out = out.withColumn(group_index_name, F.col("__goff") + F.col(MID) - F.col("__m0"))
-    out = out.drop("__off", "__goff", "__m0", MID)
+    out = out.drop("__off", "__goff", "__m0", MID, PART)
     return (out, offsets) if return_offsets else out
 
 

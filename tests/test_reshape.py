@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from segmint.operators.reshape import (balanced_split, melt_by_branches, tag_source_order,
@@ -43,3 +44,11 @@ def test_column_major_melt_with_nulls(spark, tmp_path):
     n_a = sum(1 for d in data if d[1] is not None)
     assert [r.schema for r in rows] == ["A"] * n_a + ["B"] * 50
     assert len(rows) == n_a + 50
+
+
+def test_index_on_in_memory_frame_follows_partition_order(spark):
+    df = spark.range(0, 997, numPartitions=7).withColumn("v", F.col("id").cast("string"))
+    tagged = tag_source_order(df)  # no files: empty name, block start -1
+    long = melt_by_branches(tagged, [("v", "V")], keep=["id", "__split_file", "__split_start"])
+    rows = with_file_order_index(long, index_name="row_id").select("id", "row_id").collect()
+    assert all(r.id == r.row_id for r in rows) and len(rows) == 997
