@@ -83,10 +83,12 @@ def hashed_long(df: DataFrame, spec: AudienceSpec) -> DataFrame:
         branches.append(b.select(*tags, F.lit(i).alias(ORDINAL), F.lit(f.output_name).alias("schema"),
                                  sha256_hex(F.col(f"__norm{i}")).alias("hash")))
     for j, c in enumerate(extra, start=len(spec.fields)):
-        v = F.col(c) if skip else F.coalesce(F.col(c), F.lit("None"))
-        b = norm.where(F.col(c).isNotNull()) if skip else norm
+        # unmapped strings get the common cleaning (NFKD + strip) but no hash
+        v = clean_text(apply_null_policy_before(F.col(c), spec.null_policy))
+        b = norm.withColumn("__extra", v)
+        b = b.where(F.col("__extra").isNotNull()) if skip else b
         branches.append(b.select(*tags, F.lit(j).alias(ORDINAL), F.lit(c).alias("schema"),
-                                 v.alias("hash")))
+                                 F.col("__extra").alias("hash")))
     return reduce(DataFrame.unionAll, branches)
 
 

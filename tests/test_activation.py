@@ -90,3 +90,20 @@ def test_supported_schemas_lists_absent_options(spark):
     assert got == [(0, 1, "EMAIL_SHA256", 2), (0, 2, "MOBILE_AD_ID_SHA256", 0),
                    (0, 3, "PHONE_SHA256", 0), (1, 1, "EMAIL_SHA256", 0),
                    (1, 2, "MOBILE_AD_ID_SHA256", 0), (1, 3, "PHONE_SHA256", 1)]
+
+
+def test_transform_keys_route_back(spark, tmp_path):
+    """Object keys written by the transform parse back to audience and type."""
+    from segmint.plans.registry import FILE_SPEC, audience_scan
+    from segmint.plans.transform import transform_frame
+    from tests.conftest import SF_SMALL
+    keys = [r.object_key for r in transform_frame(audience_scan(spark, SF_SMALL, FILE_SPEC),
+                                                   FILE_SPEC, cap_rows=30)
+            .select("object_key").distinct().collect()]
+    bucket = "uploader-etl-artifacts-x"
+    q = queue_df(spark, [(bucket, k.replace(" ", "+")) for k in keys])
+    plan = A.plan_activation(A.parse_records(q), catalogue(spark, [], []),
+                             seg_catalogue(spark, [], [])).collect()
+    assert len(plan) == len(keys) > 3
+    assert all(r.reason is None and r.audience == FILE_SPEC.segment_name for r in plan)
+    assert {r.calculate_type for r in plan} == set(FILE_SPEC.output_names)
