@@ -11,7 +11,8 @@ unioned branches) and ``m = monotonically_increasing_id()``; rows of one
 split are consecutive in ``m``.  A tiny aggregate (one row per split: count
 and min m) gets prefix sums in split order, and is joined back by
 broadcast.  Its size is bounded by the number of input splits, not by the
-data, and is checked before the broadcast hint is applied.  No shuffle of
+data, and is checked before the broadcast hint is applied; its prefix
+sums are computed distributed (``prefix_offsets``).  No shuffle of
 the data itself happens; everything is deterministic for a file scan, so
 the two passes (count, then write) and any task retry see the same ids.
 """
@@ -66,20 +67,52 @@ def melt_unpivot(df: DataFrame, columns: list[str], keep: list[str] | None = Non
     return casted.unpivot(keep or [], columns, name_name, value_name)
 
 
+def prefix_offsets(counts: DataFrame, order: list[str], n_col: str = "__n",
+                   out_col: str = "__off", rows_per_bucket: int = 250_000) -> DataFrame:
+    """Exclusive prefix sum of ``n_col`` in ``order``, computed distributed.
+
+    ``counts`` is a small per-split table, but it grows with the input (one
+    row per split), so it is not run through a single-partition window:
+    it is range-partitioned into buckets by ``order``; each bucket sums its
+    own prefix (a window partitioned by bucket), and the bucket totals (one
+    row per bucket) get their prefix in one tiny window and are broadcast
+    back.  ``counts`` must be materialised (deterministic) beforehand.
+    """
+    n = counts.count()
+    cols = [F.col(c) for c in order]
+    if n <= rows_per_bucket:
+        # small enough for one task by a fixed bound: a single window
+        w = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumn(out_col, F.coalesce(F.sum(n_col).over(w), F.lit(0)))
+    buckets = -(-n // rows_per_bucket)
+    ranged = (counts.repartitionByRange(buckets, *cols)
+              .withColumn("__bucket", F.spark_partition_id())).checkpoint(eager=True)
+    totals = ranged.groupBy("__bucket").agg(F.sum(n_col).alias("__btotal"))
+    starts = totals.withColumn("__bstart", F.coalesce(F.sum("__btotal").over(
+        Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    within = Window.partitionBy("__bucket").orderBy(*cols).rowsBetween(
+        Window.unboundedPreceding, -1)
+    local = ranged.withColumn(out_col, F.coalesce(F.sum(n_col).over(within), F.lit(0)))
+    # one row per bucket: a proven bound, broadcast without a check
+    return (local.join(F.broadcast(starts.select("__bucket", "__bstart")), "__bucket")
+            .withColumn(out_col, F.col(out_col) + F.col("__bstart"))
+            .drop("__bucket", "__bstart"))
+
+
 def with_file_order_index(long_df: DataFrame, index_name: str = "row_id",
-                          group_cols: list[str] | None = None,
-                          group_index_name: str = "group_row_id",
-                          max_splits: int = 1_000_000,
+                          ordinal_index_name: str | None = None,
+                          max_splits: int = 4_000_000,
                           return_offsets: bool = False):
     """Number rows 0..n-1 in (ordinal, file, block start, m) order.
 
     ``long_df`` must carry ``SPLIT_FILE``/``SPLIT_START`` (from
     ``tag_source_order``) and optionally ``ORDINAL`` (from
     ``melt_by_branches``).  Adds ``index_name`` and ``total_rows``; with
-    ``group_cols`` also ``group_index_name`` (numbering within the group)
-    and ``group_rows`` (group size), so a later split needs no extra pass.
-    With ``return_offsets`` also returns the materialised per-split table
-    (one row per input split), from which part counts can be read cheaply.
+    ``ordinal_index_name`` also a numbering that restarts for each ordinal
+    (each melted column) and ``group_rows`` (rows of that ordinal), so a
+    later split needs no extra pass.  With ``return_offsets`` also returns
+    the materialised per-split table (one row per input split and ordinal),
+    from which part counts can be read cheaply.
     """
     if ORDINAL not in long_df.columns:
         long_df = long_df.withColumn(ORDINAL, F.lit(0))
@@ -89,29 +122,28 @@ def with_file_order_index(long_df: DataFrame, index_name: str = "row_id",
     # its own "split", numbered in partition order.
     tagged = (long_df.withColumn(MID, F.monotonically_increasing_id())
               .withColumn(PART, F.shiftright(F.col(MID), 33)))
-    split_keys = [ORDINAL, SPLIT_FILE, SPLIT_START, PART]
-    group_cols = [c for c in (group_cols or []) if c not in split_keys]
-    keys = split_keys + group_cols
-    counts = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(MID).alias("__m0"))
-    order = [F.col(k) for k in split_keys]
-    # The windows below run over the per-split table only (bounded by the
-    # number of input splits), never over data rows.
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts
-               .withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-               .withColumn("total_rows", F.sum("__n").over(Window.partitionBy())))
-    if group_cols:
-        g = Window.partitionBy(*group_cols)
-        gbefore = g.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (offsets
-                   .withColumn("__goff", F.coalesce(F.sum("__n").over(gbefore), F.lit(0)))
-                   .withColumn("group_rows", F.sum("__n").over(g)))
+    keys = [ORDINAL, SPLIT_FILE, SPLIT_START, PART]
+    counts = (tagged.groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("__n"), F.min(MID).alias("__m0"))
+              .checkpoint(eager=True))
+    offsets = prefix_offsets(counts, keys)
+    # total rows: sum of a one-row-per-split table (partial aggregation)
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    offsets = offsets.withColumn("total_rows", F.lit(total).cast("long"))
+    if ordinal_index_name:
+        # ordinals are the leading sort key, so each one is a contiguous run:
+        # its numbering is the global offset minus the run's first offset.
+        # One row per ordinal (melted column): a proven bound.
+        runs = offsets.groupBy(ORDINAL).agg(F.min("__off").alias("__obase"),
+                                            F.sum("__n").alias("group_rows"))
+        offsets = offsets.join(F.broadcast(runs), ORDINAL)
     offsets = offsets.checkpoint(eager=True)
     joined = join_small(tagged, offsets.drop("__n"), keys, max_rows=max_splits)
     out = joined.withColumn(index_name, F.col("__off") + F.col(MID) - F.col("__m0"))
-    if group_cols:
-        out = out.withColumn(group_index_name, F.col("__goff") + F.col(MID) - F.col("__m0"))
-    out = out.drop("__off", "__goff", "__m0", MID, PART)
+    if ordinal_index_name:
+        out = out.withColumn(ordinal_index_name,
+                             F.col("__off") - F.col("__obase") + F.col(MID) - F.col("__m0"))
+    out = out.drop("__off", "__obase", "__m0", MID, PART)
     return (out, offsets) if return_offsets else out
 
 

@@ -111,10 +111,10 @@ def _transform(df: DataFrame, spec: AudienceSpec, cap: int) -> tuple[DataFrame,
     spec.validate()
     long = hashed_long(df, spec)
     if spec.profile == "file":
-        idx, offsets = with_file_order_index(long, index_name="__global", group_cols=["schema"],
-                                             group_index_name="row_id", return_offsets=True)
+        idx, offsets = with_file_order_index(long, index_name="__global",
+                                             ordinal_index_name="row_id", return_offsets=True)
         out = balanced_split(idx, cap, index_col="row_id", rows_col="group_rows")
-        sizes = offsets.groupBy("schema").agg(F.sum("__n").alias("n"))
+        sizes = offsets.groupBy(ORDINAL).agg(F.sum("__n").alias("n"))
     else:
         idx, offsets = with_file_order_index(long, index_name="row_id", return_offsets=True)
         out = balanced_split(idx, cap, index_col="row_id", rows_col="total_rows")

@@ -52,3 +52,33 @@ def test_index_on_in_memory_frame_follows_partition_order(spark):
     long = melt_by_branches(tagged, [("v", "V")], keep=["id", "__split_file", "__split_start"])
     rows = with_file_order_index(long, index_name="row_id").select("id", "row_id").collect()
     assert all(r.id == r.row_id for r in rows) and len(rows) == 997
+
+
+def test_prefix_offsets_distributed_matches_cumsum(spark):
+    from segmint.operators.reshape import prefix_offsets
+    rows = [(i % 3, f"f{i // 7:04d}", i, (i * 37) % 11 + 1) for i in range(500)]
+    df = spark.createDataFrame(rows, "o int, f string, s long, n long").checkpoint(eager=True)
+    got = {(r.o, r.f, r.s): r.off for r in
+           prefix_offsets(df, ["o", "f", "s"], n_col="n", out_col="off",
+                          rows_per_bucket=37).collect()}
+    expect, acc = {}, 0
+    for o, f, s_, n in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        expect[(o, f, s_)] = acc
+        acc += n
+    assert got == expect
+
+
+def test_index_with_many_splits_and_small_buckets(spark, tmp_path, monkeypatch):
+    import segmint.operators.reshape as R
+    path = str(tmp_path / "many")
+    spark.range(3000).repartitionByRange(12, "id").sortWithinPartitions("id").write.json(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        orig = R.prefix_offsets
+        monkeypatch.setattr(R, "prefix_offsets",
+                            lambda c, o, **kw: orig(c, o, rows_per_bucket=5, **kw))
+        scan = tag_source_order(spark.read.schema("id long").json(path))
+        rows = with_file_order_index(scan, index_name="row_id").select("id", "row_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert all(r.id == r.row_id for r in rows) and len(rows) == 3000
