@@ -82,3 +82,39 @@ def uploaded_users(responses: DataFrame, body_col: str = "response") -> DataFram
     r = F.from_json(F.col(body_col), RESPONSE_SCHEMA)
     first = F.try_element_at(r["users"], F.lit(1))
     return responses.withColumn("number_uploaded_users", first["user"]["number_uploaded_users"])
+
+
+def delivery_requests(adds: DataFrame, hash_rows: DataFrame) -> DataFrame:
+    """Batch-profile delivery: one request per (file, supported schema).
+
+    ``adds``: outbox rows with action ADD_USERS (``key``, ``audience``,
+    ``segment_id``), bounded by the micro-batch; ``hash_rows``: the rows of
+    the files those records name (``key``, ``row_id``, ``schema``, ``hash``).
+    The record side is joined by broadcast after a size check; each request
+    is bounded by the part cap, as the file is.
+    """
+    from .lookup import join_small
+    rows = join_small(hash_rows, adds.select("key", "audience", "segment_id"), "key")
+    grouped = (rows.withColumn("send_order", schema_send_order())
+               .where(F.col("send_order").isNotNull())
+               .groupBy("key", "audience", "segment_id", "send_order", "schema")
+               .agg(F.sort_array(F.collect_list(F.struct("row_id", "hash"))).alias("items")))
+    data = F.transform("items", lambda x: split_hash_list(x["hash"]))
+    body = F.to_json(F.struct(F.array(F.struct(
+        F.array(F.col("schema")).alias("schema"), data.alias("data"))).alias("users")))
+    return grouped.select("key", "audience", "segment_id", "send_order", "schema",
+                          F.size("items").cast("long").alias("n_users"), body.alias("payload"))
+
+
+def delivery_status(adds: DataFrame, requests: DataFrame) -> DataFrame:
+    """One status per ADD_USERS record: requests made, or no supported schema."""
+    per_file = requests.groupBy("key").agg(F.count(F.lit(1)).alias("n_requests"),
+                                           F.sum("n_users").alias("n_users"))
+    out = adds.select("message_id", "key", "audience").join(per_file, "key", "left")
+    return out.select(
+        "message_id", "key", "audience",
+        F.coalesce("n_requests", F.lit(0).cast("long")).alias("n_requests"),
+        F.coalesce("n_users", F.lit(0).cast("long")).alias("n_users"),
+        F.when(F.col("n_requests").isNull(), F.lit("no schemas were found"))
+        .otherwise(F.format_string("%d users in %d requests", F.col("n_users"),
+                                   F.col("n_requests"))).alias("response"))

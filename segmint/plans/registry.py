@@ -26,8 +26,8 @@ from ..operators.reshape import MID, SPLIT_FILE, SPLIT_START, tag_source_order
 from ..session import scratch_path
 from ..sinks.writers import read_file_profile, write_batch_profile, write_file_profile
 from ..sources import discovery as D
-from ..sources.audience import (scan_hash_csv, scan_jsonl, select_string_columns,
-                                union_by_name)
+from ..sources.audience import (scan_hash_csv, scan_hash_files, scan_jsonl,
+                                select_string_columns, union_by_name)
 from ..spec import FILE_CAP_BYTES, HASH_LINE_BYTES, AudienceSpec, PiiField
 from ..streaming.activation_stream import PLAN_COLUMNS, read_outbox, start_activation_stream
 from . import oracle_sql as O
@@ -705,3 +705,68 @@ def q_stream_activation(spark, sf_dir):
                                 max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
     return read_outbox(spark, f"{base}/out").select(*PLAN_COLUMNS)
+
+
+# ===========================================================================
+# End to end, batch profile: transform → written parts → records → delivery
+# ===========================================================================
+
+DELIVERY_SEGMENT = "Audience 7"
+
+
+def _delivery(spark: SparkSession, sf_dir: str):
+    spec = replace(BATCH_SPEC, segment_name=DELIVERY_SEGMENT)
+    rows, n_parts = transform_with_parts(audience_scan(spark, sf_dir, spec), spec,
+                                         cap_rows=SMALL_ROW_CAP)
+    base = scratch_path(spark, "delivery")
+    write_batch_profile(rows, f"{base}/output/batch/{DELIVERY_SEGMENT}", num_parts=n_parts)
+    listing = D.file_manifest(spark, base, "*.gz")
+    flat = listing.select(
+        F.monotonically_increasing_id().alias("message_id"),
+        F.current_timestamp().alias("event_time"),
+        F.lit(A.BUCKET_PREFIX + "-demo").alias("bucket"),
+        F.lit(A.EVENT_DETAIL_TYPE).alias("detail_type"), F.lit(A.EVENT_SOURCE).alias("source"),
+        "size", F.regexp_replace("key", " ", "+").alias("object_key"))
+    plan = A.plan_activation(A.parse_records(queue_records(flat)), audiences(spark, sf_dir),
+                             segments(spark, sf_dir))
+    adds = A.outbox(plan).where(F.col("action") == "ADD_USERS")
+    keys = [r.key for r in adds.select("key").collect()]  # one per written file
+    requests = PL.delivery_requests(adds, scan_hash_files(spark, base, keys))
+    return adds, requests
+
+
+def _chunk_of(key: str = "key"):
+    return F.regexp_extract(F.col(key), r"chunk=([0-9]+)", 1).cast("long")
+
+
+DELIVERY_SQL = (
+    f"WITH t AS ({O.batch_split_sql(SMALL_ROW_CAP, segment=DELIVERY_SEGMENT)}), "
+    + SEG_CTE + ", seg AS (SELECT segment_id FROM sl WHERE name = '" + DELIVERY_SEGMENT + "'), "
+    "g AS (SELECT segment_name, chunk, schema, "
+    f"{SEND_ORDER_SQL} AS send_order, count(*) AS n_users, "
+    "concat('{\"users\":[{\"schema\":[\"', schema, '\"],\"data\":[', "
+    "string_agg(concat('[\"', hash, '\"]'), ',' ORDER BY row_id), ']}]}') AS payload "
+    f"FROM t WHERE {SEND_ORDER_SQL} IS NOT NULL GROUP BY segment_name, chunk, schema) ")
+
+
+@register("batch_delivery", DELIVERY_SQL + (
+    "SELECT segment_name AS audience, (SELECT segment_id FROM seg) AS segment_id, chunk, "
+    "send_order, schema, n_users, sha256(payload) AS payload_sha256 FROM g"))
+def q_batch_delivery(spark, sf_dir):
+    """S3+A1+A3 end to end: the files a record names are read and grouped by
+    schema into one request each (the batch handler)."""
+    _, req = _delivery(spark, sf_dir)
+    return req.select("audience", "segment_id", _chunk_of().alias("chunk"), "send_order",
+                      "schema", "n_users", sha256_hex(F.col("payload")).alias("payload_sha256"))
+
+
+@register("delivery_status", DELIVERY_SQL + (
+    "SELECT segment_name AS audience, chunk, count(*) AS n_requests, "
+    "CAST(sum(n_users) AS BIGINT) AS n_users, "
+    "format('{} users in {} requests', sum(n_users), count(*)) AS response "
+    "FROM g GROUP BY segment_name, chunk"))
+def q_delivery_status(spark, sf_dir):
+    """A2+A4+T5 end to end: one response line per delivered file."""
+    adds, req = _delivery(spark, sf_dir)
+    st = PL.delivery_status(adds, req)
+    return st.select("audience", _chunk_of().alias("chunk"), "n_requests", "n_users", "response")

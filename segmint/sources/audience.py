@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..spec import AudienceSpec
@@ -70,3 +71,25 @@ def string_columns(df: DataFrame) -> list[str]:
 
 def select_string_columns(df: DataFrame) -> DataFrame:
     return df.select(*[df[c] for c in string_columns(df)])
+
+
+def relative_key(path: Column, root: str) -> Column:
+    """Object key of a scanned file: its URI, percent-decoded, minus ``root``.
+
+    '+' is literal in a URI, so it is protected before decoding.
+    """
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    no_scheme = F.regexp_replace(decoded, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "")
+    root_norm = root.split(":", 1)[1] if ":" in root.split("/", 1)[0] else root
+    prefix = root_norm.strip("/") + "/"
+    return F.substring(no_scheme, len(prefix) + 1, 1 << 20)
+
+
+def scan_hash_files(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """Rows of the named batch-profile files, each tagged with its object key.
+
+    ``keys`` is the bounded list of objects one activation batch refers to
+    (one per record); only those files are read.
+    """
+    paths = [f"{root.rstrip('/')}/{k}" for k in keys]
+    return scan_hash_csv(spark, paths).withColumn("key", relative_key(F.input_file_name(), root))

@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 
 from segmint.operators import activation as A
 
@@ -107,3 +109,31 @@ def test_transform_keys_route_back(spark, tmp_path):
     assert len(plan) == len(keys) > 3
     assert all(r.reason is None and r.audience == FILE_SPEC.segment_name for r in plan)
     assert {r.calculate_type for r in plan} == set(FILE_SPEC.output_names)
+
+
+def test_fx12_delivery_no_schemas_and_requests(spark):
+    from segmint.operators.payloads import delivery_requests, delivery_status
+    adds = spark.createDataFrame(
+        [(1, "output/batch/s/a.csv.gz", "s", 2), (2, "output/batch/s/b.csv.gz", "s", 2)],
+        "message_id long, key string, audience string, segment_id long")
+    rows = spark.createDataFrame(
+        [("output/batch/s/a.csv.gz", 0, "EMAIL_SHA256", "h1"),
+         ("output/batch/s/a.csv.gz", 1, "EMAIL_SHA256", "h2, h3"),
+         ("output/batch/s/a.csv.gz", 2, "PHONE_SHA256", "h4"),
+         ("output/batch/s/b.csv.gz", 0, "age", "35")],
+        "key string, row_id long, schema string, hash string")
+    req = delivery_requests(adds, rows)
+    bodies = {r.schema: (r.n_users, r.payload) for r in req.collect()}
+    assert bodies["EMAIL_SHA256"] == (
+        2, '{"users":[{"schema":["EMAIL_SHA256"],"data":[["h1"],["h2","h3"]]}]}')
+    assert set(bodies) == {"EMAIL_SHA256", "PHONE_SHA256"}
+    st = {r.message_id: r.response for r in delivery_status(adds, req).collect()}
+    assert st[2] == "no schemas were found" and st[1] == "3 users in 2 requests"
+
+
+def test_relative_key_decodes_uri(spark):
+    from segmint.sources.audience import relative_key
+    df = spark.createDataFrame(
+        [("file:///base/dir/output/batch/Audience%207/x+y.csv.gz",)], "p string")
+    got = df.select(relative_key(F.col("p"), "/base/dir").alias("k")).first().k
+    assert got == "output/batch/Audience 7/x+y.csv.gz"
