@@ -85,7 +85,9 @@ def route_key(df: DataFrame) -> DataFrame:
               .withColumn("file_name", base_name(F.col("key")))
               .withColumn("profile", dir_part(F.col("key"), 1))
               .withColumn("audience", dir_part(F.col("key"), 2))
-              .withColumn("type_dir", dir_part(F.col("key"), 3)))
+              # a Hive-style directory (``schema=EMAIL_SHA256``) names its value
+              .withColumn("type_dir", F.regexp_replace(dir_part(F.col("key"), 3),
+                                                       "^[^=/]*=", "")))
 
 
 def calculate_type(type_dir: Column) -> Column:

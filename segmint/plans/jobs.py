@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from ..sinks.writers import write_batch_profile, write_file_profile
+from ..sinks.writers import write_output
 from ..sources.audience import scan_audience
 from ..spec import AudienceSpec
 from .transform import transform_with_parts
@@ -37,7 +37,9 @@ def _iso(ts: float) -> str:
 def run_transform_job(spark: SparkSession, source_path: str, output_path: str,
                       profile: str, pii_fields: str, segment_name: str, source_key: str,
                       runs_path: str | None = None, **spec_options) -> dict:
-    """Transform ``source_path`` and write the parts of ``profile`` to ``output_path``.
+    """Transform ``source_path`` and write the parts of ``profile`` below
+    ``output_path`` in the layout the activation side routes
+    (``output/<profile>/<segment>/…``).
 
     Returns the run record.  A failed run is recorded as FAILED and the
     error re-raised.
@@ -51,8 +53,7 @@ def run_transform_job(spark: SparkSession, source_path: str, output_path: str,
                          "--profile": profile}}
     try:
         df, n_parts = transform_with_parts(scan_audience(spark, source_path, spec), spec)
-        writer = write_file_profile if spec.profile == "file" else write_batch_profile
-        writer(df, output_path, mode="append", num_parts=n_parts)
+        write_output(df, output_path, spec.profile, spec.segment_name, num_parts=n_parts)
         run["JobRunState"] = "SUCCEEDED"
         run["n_parts"] = n_parts
     except Exception:

@@ -24,9 +24,10 @@ from ..operators import activation as A
 from ..operators import payloads as PL
 from ..operators.reshape import MID, SPLIT_FILE, SPLIT_START, tag_source_order
 from ..session import scratch_path
-from ..sinks.writers import read_file_profile, write_batch_profile, write_file_profile
+from ..sinks.writers import (read_file_profile, write_batch_profile, write_file_profile,
+                             write_output)
 from ..sources import discovery as D
-from ..sources.audience import (scan_hash_csv, scan_hash_files, scan_jsonl,
+from ..sources.audience import (relative_key, scan_hash_csv, scan_hash_files, scan_jsonl,
                                 select_string_columns, union_by_name)
 from ..spec import FILE_CAP_BYTES, HASH_LINE_BYTES, AudienceSpec, PiiField
 from ..streaming.activation_stream import PLAN_COLUMNS, read_outbox, start_activation_stream
@@ -356,7 +357,7 @@ ROUTED_CTE = (
     "r1 AS (SELECT *, regexp_extract(key, '[^/]*$', 0) AS file_name, "
     "string_split(regexp_replace(key, '/?[^/]*$', ''), '/') AS dirs FROM r0), "
     "r AS (SELECT message_id, bucket, object_key, size, key, file_name, dirs[2] AS profile, "
-    "dirs[3] AS audience, dirs[4] AS type_dir FROM r1)")
+    "dirs[3] AS audience, regexp_replace(dirs[4], '^[^=/]*=', '') AS type_dir FROM r1)")
 REASON_CTE = (
     "rr AS (SELECT *, CASE WHEN profile = 'file' AND upper(type_dir) IN "
     "('PHONE_SHA256', 'EMAIL_SHA256', 'GAID_SHA256', 'IDFA_SHA256') THEN upper(type_dir) END "
@@ -719,15 +720,8 @@ def _delivery(spark: SparkSession, sf_dir: str):
     rows, n_parts = transform_with_parts(audience_scan(spark, sf_dir, spec), spec,
                                          cap_rows=SMALL_ROW_CAP)
     base = scratch_path(spark, "delivery")
-    write_batch_profile(rows, f"{base}/output/batch/{DELIVERY_SEGMENT}", num_parts=n_parts)
-    listing = D.file_manifest(spark, base, "*.gz")
-    flat = listing.select(
-        F.monotonically_increasing_id().alias("message_id"),
-        F.current_timestamp().alias("event_time"),
-        F.lit(A.BUCKET_PREFIX + "-demo").alias("bucket"),
-        F.lit(A.EVENT_DETAIL_TYPE).alias("detail_type"), F.lit(A.EVENT_SOURCE).alias("source"),
-        "size", F.regexp_replace("key", " ", "+").alias("object_key"))
-    plan = A.plan_activation(A.parse_records(queue_records(flat)), audiences(spark, sf_dir),
+    write_output(rows, base, "batch", DELIVERY_SEGMENT, num_parts=n_parts)
+    plan = A.plan_activation(_records_for(spark, base, "*.gz"), audiences(spark, sf_dir),
                              segments(spark, sf_dir))
     adds = A.outbox(plan).where(F.col("action") == "ADD_USERS")
     keys = [r.key for r in adds.select("key").collect()]  # one per written file
@@ -770,3 +764,42 @@ def q_delivery_status(spark, sf_dir):
     adds, req = _delivery(spark, sf_dir)
     st = PL.delivery_status(adds, req)
     return st.select("audience", _chunk_of().alias("chunk"), "n_requests", "n_users", "response")
+
+
+def _records_for(spark: SparkSession, base: str, glob: str) -> DataFrame:
+    """Object-created records for every file written below ``base``."""
+    listing = D.file_manifest(spark, base, glob)
+    flat = listing.select(
+        F.monotonically_increasing_id().alias("message_id"),
+        F.current_timestamp().alias("event_time"),
+        F.lit(A.BUCKET_PREFIX + "-demo").alias("bucket"),
+        F.lit(A.EVENT_DETAIL_TYPE).alias("detail_type"), F.lit(A.EVENT_SOURCE).alias("source"),
+        "size", F.regexp_replace("key", " ", "+").alias("object_key"))
+    return A.parse_records(queue_records(flat))
+
+
+@register("file_delivery", (
+    f"WITH t AS ({O.file_split_sql(SMALL_BYTE_CAP // HASH_LINE_BYTES, segment=DELIVERY_SEGMENT)}), "
+    + AUD_CTE + ", aud AS (SELECT audience_id FROM al WHERE name = '" + DELIVERY_SEGMENT + "') "
+    "SELECT segment_name AS audience, (SELECT audience_id FROM aud) AS audience_id, "
+    "CASE WHEN (SELECT audience_id FROM aud) IS NULL THEN 'CREATE' ELSE 'APPEND' END AS action, "
+    "upper(schema) AS calculate_type, chunk, CAST(sum(strlen(hash) + 1) AS BIGINT) AS size, "
+    "md5(string_agg(concat(hash, chr(10)), '' ORDER BY row_id)) AS file_signature "
+    "FROM t GROUP BY segment_name, schema, chunk"))
+def q_file_delivery(spark, sf_dir):
+    """T7+J1+J3 end to end, file profile: each written part becomes a record,
+    is routed and resolved (APPEND / CREATE), and its bytes are signed (md5)."""
+    spec = replace(FILE_SPEC, segment_name=DELIVERY_SEGMENT)
+    rows, n_parts = transform_with_parts(audience_scan(spark, sf_dir, spec), spec,
+                                         cap_rows=SMALL_BYTE_CAP // HASH_LINE_BYTES)
+    base = scratch_path(spark, "delivery")
+    write_output(rows, base, "file", DELIVERY_SEGMENT, num_parts=n_parts)
+    plan = A.plan_activation(_records_for(spark, base, "*.csv"), audiences(spark, sf_dir),
+                             segments(spark, sf_dir))
+    sent = A.outbox(plan)
+    keys = [r.key for r in sent.select("key").collect()]  # one per written file
+    sig = (D.file_signatures_of(spark, base, keys)
+           .select(relative_key(F.col("path"), base).alias("key"), "file_signature"))
+    out = sent.join(sig, "key")  # both sides one row per file
+    return out.select("audience", "audience_id", "action", "calculate_type",
+                      _chunk_of().alias("chunk"), "size", "file_signature")

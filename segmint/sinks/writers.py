@@ -62,3 +62,24 @@ def read_file_profile(spark: SparkSession, path: str) -> DataFrame:
     """Read file-profile output back (partition columns from the directories)."""
     return (spark.read.schema(FILE_READ_SCHEMA).option("header", "false")
             .option("basePath", path).csv(path))
+
+
+def write_output(df: DataFrame, root: str, profile: str, segment_name: str,
+                 num_parts: int | None = None, mode: str = "append") -> str:
+    """Write one job's parts where the activation side expects them.
+
+    Layout ``<root>/output/<profile>/<segment>/…``, so that directory 2 of
+    every object key is the audience.  File profile:
+    ``…/schema=<KIND>_SHA256/chunk=<n>/part-….csv`` (directory 3 names the
+    identifier type); batch profile: ``…/chunk=<n>/part-….csv.gz``.
+    """
+    base = f"{root.rstrip('/')}/output/{profile}/{segment_name}"
+    if profile == "file":
+        (_gather_parts(df, FILE_PARTS, num_parts).select("schema", "chunk", "hash")
+         .write.mode(mode).partitionBy("schema", "chunk").option("header", "false").csv(base))
+    else:
+        (_gather_parts(df, BATCH_PARTS, num_parts)
+         .select("row_id", "schema", "hash", "segment_name", "chunk")
+         .write.mode(mode).partitionBy("chunk").option("header", "true")
+         .option("compression", "gzip").csv(base))
+    return base

@@ -74,6 +74,17 @@ def file_signatures(spark: SparkSession, root: str, glob: str | None = None) ->
                         F.md5("content").alias("file_signature"))
 
 
+def file_signatures_of(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """(path, size, md5) of the named objects below ``root`` only.
+
+    ``keys`` is the bounded list one activation batch refers to.
+    """
+    paths = [f"{root.rstrip('/')}/{k}" for k in keys]
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select("path", F.col("length").alias("size"),
+                        F.md5("content").alias("file_signature"))
+
+
 JOB_RUN_SCHEMA = T.StructType([
     T.StructField("Id", T.StringType()),
     T.StructField("StartedOn", T.StringType()),

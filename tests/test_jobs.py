@@ -24,7 +24,7 @@ def test_batch_job_end_to_end(spark, tmp_path):
     run = run_transform_job(spark, str(src), out, "batch", MAPPING, "myaudience",
                             "mydata.json", runs_path=runs)
     assert run["JobRunState"] == "SUCCEEDED" and run["n_parts"] == 1
-    rows = scan_hash_csv(spark, f"{out}/*/*/*.csv.gz").orderBy("row_id").collect()
+    rows = scan_hash_csv(spark, f"{out}/output/batch/myaudience/*/*.csv.gz").orderBy("row_id").collect()
     # column-major, in mapping order
     assert [r.schema for r in rows] == (
         ["EMAIL_SHA256"] * 2 + ["PHONE_SHA256"] * 2 + ["MOBILE_AD_ID_SHA256"] * 2)
