@@ -30,7 +30,8 @@ from ..sources import discovery as D
 from ..sources.audience import (relative_key, scan_hash_csv, scan_hash_files, scan_jsonl,
                                 select_string_columns, union_by_name)
 from ..spec import FILE_CAP_BYTES, HASH_LINE_BYTES, AudienceSpec, PiiField
-from ..streaming.activation_stream import PLAN_COLUMNS, read_outbox, start_activation_stream
+from ..streaming.activation_stream import (PLAN_COLUMNS, read_outbox, read_payloads,
+                                           start_activation_stream)
 from . import oracle_sql as O
 from .derived import (audience_catalogue_sql, audience_pages_dir, contacts_csv, contacts_frame,
                       contacts_jsonl, job_runs_dir, job_runs_sql, notifications_frame,
@@ -766,16 +767,21 @@ def q_delivery_status(spark, sf_dir):
     return st.select("audience", _chunk_of().alias("chunk"), "n_requests", "n_users", "response")
 
 
-def _records_for(spark: SparkSession, base: str, glob: str) -> DataFrame:
-    """Object-created records for every file written below ``base``."""
+def _created_records(spark: SparkSession, base: str, glob: str) -> DataFrame:
+    """Flat object-created notifications for every file written below ``base``
+    (keys URL-encoded as the store sends them: space as '+')."""
     listing = D.file_manifest(spark, base, glob)
-    flat = listing.select(
+    return listing.select(
         F.monotonically_increasing_id().alias("message_id"),
         F.current_timestamp().alias("event_time"),
         F.lit(A.BUCKET_PREFIX + "-demo").alias("bucket"),
         F.lit(A.EVENT_DETAIL_TYPE).alias("detail_type"), F.lit(A.EVENT_SOURCE).alias("source"),
         "size", F.regexp_replace("key", " ", "+").alias("object_key"))
-    return A.parse_records(queue_records(flat))
+
+
+def _records_for(spark: SparkSession, base: str, glob: str) -> DataFrame:
+    """Parsed queue records for every file written below ``base``."""
+    return A.parse_records(queue_records(_created_records(spark, base, glob)))
 
 
 @register("file_delivery", (
@@ -803,3 +809,27 @@ def q_file_delivery(spark, sf_dir):
     out = sent.join(sig, "key")  # both sides one row per file
     return out.select("audience", "audience_id", "action", "calculate_type",
                       _chunk_of().alias("chunk"), "size", "file_signature")
+
+
+@register("stream_delivery", DELIVERY_SQL + (
+    "SELECT segment_name AS audience, (SELECT segment_id FROM seg) AS segment_id, chunk, "
+    "send_order, schema, n_users, sha256(payload) AS payload_sha256 FROM g"))
+def q_stream_delivery(spark, sf_dir):
+    """T1+A3 end to end in the stream: written parts raise records, the stream
+    routes them, reads the named files and writes one request per file and
+    schema to the ``payload`` table (read back here)."""
+    spec = replace(BATCH_SPEC, segment_name=DELIVERY_SEGMENT)
+    rows, n_parts = transform_with_parts(audience_scan(spark, sf_dir, spec), spec,
+                                         cap_rows=SMALL_ROW_CAP)
+    base = scratch_path(spark, "stream_delivery")
+    files_root = f"{base}/bucket"
+    write_output(rows, files_root, "batch", DELIVERY_SEGMENT, num_parts=n_parts)
+    queue_records(_created_records(spark, files_root, "*.gz")).write.json(f"{base}/queue")
+    q = start_activation_stream(spark, f"{base}/queue", audiences(spark, sf_dir),
+                                segments(spark, sf_dir), f"{base}/out", f"{base}/checkpoint",
+                                max_files_per_trigger=STREAM_FILES_PER_TRIGGER,
+                                files_root=files_root)
+    q.awaitTermination()
+    req = read_payloads(spark, f"{base}/out")
+    return req.select("audience", "segment_id", _chunk_of().alias("chunk"), "send_order",
+                      "schema", "n_users", sha256_hex(F.col("payload")).alias("payload_sha256"))

@@ -16,11 +16,15 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.activation import (QUEUE_SCHEMA, audience_lookup, parse_records,
                                     plan_activation, segment_lookup)
 from ..operators.lookup import sized_lookup
+from ..operators.payloads import delivery_requests
+from ..sources.audience import relative_key, scan_hash_files
+from ..sources.discovery import file_signatures_of
 
 PLAN_COLUMNS = ["message_id", "bucket", "key", "file_name", "profile", "audience",
                 "calculate_type", "audience_id", "segment_id", "action", "size"]
@@ -31,15 +35,64 @@ def _write_epoch(df: DataFrame, path: str) -> None:
        .partitionBy("epoch").parquet(path))
 
 
+def _deliver(spark: SparkSession, plan: DataFrame, files_root: str, epoch_id: int,
+             payload_path: str) -> tuple[DataFrame, DataFrame | None]:
+    """Read the objects a batch names; write batch-profile requests.
+
+    Returns the outbox rows (file-profile rows carrying the md5 of their
+    object) and, when the named objects cannot be read, dead letters for
+    the affected records (reason ``OBJECT_NOT_READABLE``) instead of failing
+    the stream.  Key lists are bounded by the micro-batch (one per record).
+    """
+    sent = plan.where(F.col("reason").isNull())
+    adds = sent.where(F.col("action") == "ADD_USERS")
+    files = sent.where(F.col("profile") == "file")
+    add_keys = [r.key for r in adds.select("key").distinct().collect()]
+    file_keys = [r.key for r in files.select("key").distinct().collect()]
+    failed = []
+    if add_keys:
+        try:
+            req = delivery_requests(adds, scan_hash_files(spark, files_root, add_keys))
+            _write_epoch(req.withColumn("epoch", F.lit(epoch_id)), payload_path)
+        except AnalysisException:
+            failed.append(adds)
+    sig = None
+    if file_keys:
+        try:
+            sig = (file_signatures_of(spark, files_root, file_keys)
+                   .select(relative_key(F.col("path"), files_root).alias("key"),
+                           "file_signature"))
+        except AnalysisException:  # raised when a named object does not exist
+            failed.append(files)
+            sig = None
+    out = sent.select(*PLAN_COLUMNS, "epoch")
+    if sig is not None:
+        out = out.join(F.broadcast(sig), "key", "left")  # ≤ one row per batch record
+    else:
+        out = out.withColumn("file_signature", F.lit(None).cast("string"))
+    dead = None
+    if failed:
+        bad = failed[0] if len(failed) == 1 else failed[0].unionByName(failed[1])
+        bad_keys = bad.select("key")
+        out = out.join(bad_keys, "key", "left_anti")
+        dead = bad.select("message_id", "bucket", "key",
+                          F.lit("OBJECT_NOT_READABLE").alias("reason"), "epoch")
+    return out.select(*PLAN_COLUMNS, "file_signature", "epoch"), dead
+
+
 def start_activation_stream(spark: SparkSession, queue_path: str, audiences: DataFrame,
                             segments: DataFrame, out_root: str, checkpoint: str,
                             max_files_per_trigger: int = 1,
-                            available_now: bool = True) -> StreamingQuery:
+                            available_now: bool = True,
+                            files_root: str | None = None) -> StreamingQuery:
     """Start the job; returns the running query (``awaitTermination`` to wait).
 
     ``audiences`` / ``segments`` are catalogue snapshots (name, id, page,
     position); their name look-ups are derived, checkpointed and size-checked
     once, so micro-batches neither re-read the landed pages nor re-count.
+    With ``files_root`` (where object keys resolve to files) the job also
+    reads the named objects: batch-profile files become request bodies in
+    the ``payload`` table, file-profile rows get the md5 ``file_signature``.
     """
     lookups = (sized_lookup(audience_lookup(audiences)), sized_lookup(segment_lookup(segments)))
     stream = (spark.readStream.schema(QUEUE_SCHEMA)
@@ -47,15 +100,22 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Dat
     recs = parse_records(stream).dropDuplicates(["bucket", "object_key"])
     outbox_path = os.path.join(out_root, "outbox")
     dead_path = os.path.join(out_root, "dead_letter")
+    payload_path = os.path.join(out_root, "payload")
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         plan = plan_activation(batch, lookups=lookups).withColumn("epoch", F.lit(epoch_id))
         plan = plan.persist()
         try:
-            _write_epoch(plan.where(F.col("reason").isNull()).select(*PLAN_COLUMNS, "epoch"),
-                         outbox_path)
-            _write_epoch(plan.where(F.col("reason").isNotNull())
-                         .select("message_id", "bucket", "key", "reason", "epoch"), dead_path)
+            dead = (plan.where(F.col("reason").isNotNull())
+                    .select("message_id", "bucket", "key", "reason", "epoch"))
+            if files_root:
+                out, more_dead = _deliver(spark, plan, files_root, epoch_id, payload_path)
+                if more_dead is not None:
+                    dead = dead.unionByName(more_dead)
+            else:
+                out = plan.where(F.col("reason").isNull()).select(*PLAN_COLUMNS, "epoch")
+            _write_epoch(out, outbox_path)
+            _write_epoch(dead, dead_path)
         finally:
             plan.unpersist()
 
@@ -72,3 +132,7 @@ def read_outbox(spark: SparkSession, out_root: str) -> DataFrame:
 
 def read_dead_letters(spark: SparkSession, out_root: str) -> DataFrame:
     return spark.read.parquet(os.path.join(out_root, "dead_letter"))
+
+
+def read_payloads(spark: SparkSession, out_root: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(out_root, "payload"))

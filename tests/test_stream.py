@@ -58,3 +58,38 @@ def test_replay_and_restart(spark, tmp_path):
     _run(spark, src, out, ckpt)
     keys_after = [r.key for r in read_outbox(spark, out).collect()]
     assert len(keys_after) == len(set(keys_after)) == 4
+
+
+def test_stream_delivery_payloads_signatures_and_missing(spark, tmp_path):
+    import gzip
+    import hashlib
+    import os
+
+    from segmint.streaming.activation_stream import read_payloads
+    root = tmp_path / "bucket"
+    bdir = root / "output" / "batch" / "seg one" / "chunk=0"
+    bdir.mkdir(parents=True)
+    with gzip.open(bdir / "p.csv.gz", "wt") as fh:
+        fh.write("row_id,schema,hash,segment_name\n0,EMAIL_SHA256,h1,seg one\n"
+                 "1,PHONE_SHA256,h2,seg one\n")
+    fdir = root / "output" / "file" / "known" / "schema=EMAIL_SHA256" / "chunk=0"
+    fdir.mkdir(parents=True)
+    (fdir / "p.csv").write_text("h1\nh2\n")
+    src, out, ckpt = str(tmp_path / "q"), str(tmp_path / "out"), str(tmp_path / "ck")
+    _land(spark, src, _records(["output/batch/seg+one/chunk=0/p.csv.gz",
+                                "output/file/known/schema=EMAIL_SHA256/chunk=0/p.csv"]))
+    _land(spark, src, _records(["output/batch/seg+one/chunk=0/missing.csv.gz"], start=10))
+    aud, seg = _catalogues(spark)
+    q = start_activation_stream(spark, src, aud, seg, out, ckpt, max_files_per_trigger=1,
+                                files_root=str(root))
+    q.awaitTermination()
+    pay = {r.schema: r.n_users for r in read_payloads(spark, out).collect()}
+    assert pay == {"EMAIL_SHA256": 1, "PHONE_SHA256": 1}
+    ob = {r.key: r for r in read_outbox(spark, out).collect()}
+    f = ob["output/file/known/schema=EMAIL_SHA256/chunk=0/p.csv"]
+    assert f.calculate_type == "EMAIL_SHA256" and f.action == "APPEND"
+    assert f.file_signature == hashlib.md5(b"h1\nh2\n").hexdigest()
+    assert "output/batch/seg one/chunk=0/missing.csv.gz" not in ob
+    dl = {r.key: r.reason for r in read_dead_letters(spark, out).collect()}
+    assert dl == {"output/batch/seg one/chunk=0/missing.csv.gz": "OBJECT_NOT_READABLE"}
+    assert os.path.isdir(out)
