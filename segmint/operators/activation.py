@@ -26,6 +26,11 @@ CALCULATE_TYPES = ("PHONE_SHA256", "EMAIL_SHA256", "GAID_SHA256", "IDFA_SHA256")
 # Schemas the batch-profile destination accepts, in the order they are sent.
 SCHEMA_OPTIONS = ("EMAIL_SHA256", "MOBILE_AD_ID_SHA256", "PHONE_SHA256")
 BATCH_SUFFIX = ".gz"
+# Status messages per record.
+MSG_UPDATED = "Audience %s is successfully updated"
+MSG_CREATED = "Audience %s is successfully created"
+MSG_SENT = "Users sent to segment %s"
+MSG_ERROR = "ERROR %s for key %s"
 # ---------------------------------------------------------------------------
 
 QUEUE_SCHEMA = T.StructType([
@@ -238,12 +243,9 @@ def dead_letters(plan: DataFrame) -> DataFrame:
 
 def status_message(plan: DataFrame) -> DataFrame:
     """T5: a status code and message per record."""
-    msg = (F.when(F.col("action") == "APPEND",
-                  F.format_string("Audience %s is successfully updated", F.col("audience")))
-           .when(F.col("action") == "CREATE",
-                 F.format_string("Audience %s is successfully created", F.col("audience")))
-           .when(F.col("action") == "ADD_USERS",
-                 F.format_string("Users sent to segment %s", F.col("audience")))
-           .otherwise(F.format_string("ERROR %s for key %s", F.col("reason"), F.col("key"))))
+    msg = (F.when(F.col("action") == "APPEND", F.format_string(MSG_UPDATED, F.col("audience")))
+           .when(F.col("action") == "CREATE", F.format_string(MSG_CREATED, F.col("audience")))
+           .when(F.col("action") == "ADD_USERS", F.format_string(MSG_SENT, F.col("audience")))
+           .otherwise(F.format_string(MSG_ERROR, F.col("reason"), F.col("key"))))
     code = F.when(F.col("reason").isNull(), F.lit(200)).otherwise(F.lit(400))
     return plan.select("message_id", code.alias("status_code"), msg.alias("message"))

@@ -16,6 +16,11 @@ from pyspark.sql import types as T
 from ..functions.paths import split_hash_list
 from .activation import SCHEMA_OPTIONS
 
+# --- fixed values: delivery responses ----------------------------------------
+NO_SCHEMAS = "no schemas were found"
+DELIVERED = "%d users in %d requests"
+# ---------------------------------------------------------------------------
+
 
 def hash_lists(df: DataFrame) -> DataFrame:
     """each hash cell as a list (cells may join several hashes by ', ')."""
@@ -115,6 +120,6 @@ def delivery_status(adds: DataFrame, requests: DataFrame) -> DataFrame:
         "message_id", "key", "audience",
         F.coalesce("n_requests", F.lit(0).cast("long")).alias("n_requests"),
         F.coalesce("n_users", F.lit(0).cast("long")).alias("n_users"),
-        F.when(F.col("n_requests").isNull(), F.lit("no schemas were found"))
-        .otherwise(F.format_string("%d users in %d requests", F.col("n_users"),
+        F.when(F.col("n_requests").isNull(), F.lit(NO_SCHEMAS))
+        .otherwise(F.format_string(DELIVERED, F.col("n_users"),
                                    F.col("n_requests"))).alias("response"))

@@ -20,6 +20,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.activation import BUCKET_PREFIX, EVENT_DETAIL_TYPE, EVENT_SOURCE
 from ..session import scratch_path
 
 IDEOGRAPHIC_SPACE = "\u3000"
@@ -97,11 +98,6 @@ def contacts_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 # --- activation inputs -------------------------------------------------------
-# fixed values: the event pattern the activation side listens for
-EVENT_SOURCE = "aws.s3"
-EVENT_DETAIL_TYPE = "Object Created"
-BUCKET_PREFIX = "uploader-etl-artifacts"
-KEY_PREFIX = "output/"
 
 # Each events row becomes one object-created notification.  Profile, audience,
 # identifier directory and file suffix come from the row's own fields; a few

@@ -351,8 +351,9 @@ def q_scan_hash_csv(spark, sf_dir):
 
 NOTIF_CTE = f"nt AS ({notifications_sql()})"
 FILTERED_CTE = (
-    "f AS (SELECT * FROM nt WHERE source = 'aws.s3' AND detail_type = 'Object Created' "
-    "AND starts_with(bucket, 'uploader-etl-artifacts') AND starts_with(object_key, 'output/'))")
+    f"f AS (SELECT * FROM nt WHERE source = '{A.EVENT_SOURCE}' "
+    f"AND detail_type = '{A.EVENT_DETAIL_TYPE}' "
+    f"AND starts_with(bucket, '{A.BUCKET_PREFIX}') AND starts_with(object_key, '{A.KEY_PREFIX}'))")
 ROUTED_CTE = (
     "r0 AS (SELECT message_id, bucket, object_key, size, url_decode(replace(object_key, '+', ' ')) AS key FROM f), "
     "r1 AS (SELECT *, regexp_extract(key, '[^/]*$', 0) AS file_name, "

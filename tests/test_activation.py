@@ -9,7 +9,7 @@ from segmint.operators import activation as A
 def queue_df(spark, rows):
     recs = []
     for i, (bucket, key) in enumerate(rows):
-        body = {"source": "aws.s3", "detail-type": "Object Created",
+        body = {"source": A.EVENT_SOURCE, "detail-type": A.EVENT_DETAIL_TYPE,
                 "detail": {"bucket": {"name": bucket}, "object": {"key": key, "size": 65}}}
         recs.append((str(i), json.dumps(body)))
     return spark.createDataFrame(recs, A.QUEUE_SCHEMA)

@@ -13,7 +13,7 @@ BUCKET = "uploader-etl-artifacts-x"
 def _records(keys, start=0):
     out = []
     for i, key in enumerate(keys, start=start):
-        body = {"source": "aws.s3", "detail-type": "Object Created",
+        body = {"source": A.EVENT_SOURCE, "detail-type": A.EVENT_DETAIL_TYPE,
                 "detail": {"bucket": {"name": BUCKET}, "object": {"key": key, "size": 650}}}
         out.append({"messageId": str(i), "body": json.dumps(body)})
     return out
