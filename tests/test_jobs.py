@@ -61,3 +61,21 @@ def test_manifest_and_object_metadata(spark, tmp_path):
     assert "T" in rows["y.csv"].last_modified
     one = object_metadata(spark, str(tmp_path), "a/x.json").collect()
     assert len(one) == 1 and one[0].size == 3
+
+
+def test_cli_transform_list_columns_runs(spark, tmp_path, capsys):
+    from segmint.cli import main
+    src = tmp_path / "mydata.json"
+    src.write_text("\n".join(FX1_LINES) + "\n")
+    out, runs = str(tmp_path / "out"), str(tmp_path / "runs")
+    assert main(["transform", "--source", str(src), "--output", out, "--profile", "batch",
+                 "--pii-fields", MAPPING, "--segment-name", "myaudience", "--runs", runs]) == 0
+    assert '"JobRunState": "SUCCEEDED"' in capsys.readouterr().out
+    main(["list", "--root", out])
+    listed = capsys.readouterr().out
+    assert "output/batch/myaudience/chunk=0/" in listed and ".csv.gz" in listed
+    main(["columns", "--path", str(src)])
+    cols = capsys.readouterr().out
+    assert '"column_name": "e-mail"' in cols and '"n_records": 2' in cols
+    main(["runs", "--path", runs])
+    assert '"SegmentName": "myaudience"' in capsys.readouterr().out
