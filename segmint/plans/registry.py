@@ -726,8 +726,8 @@ def _delivery(spark: SparkSession, sf_dir: str):
     plan = A.plan_activation(_records_for(spark, base, "*.gz"), audiences(spark, sf_dir),
                              segments(spark, sf_dir))
     adds = A.outbox(plan).where(F.col("action") == "ADD_USERS")
-    keys = [r.key for r in adds.select("key").collect()]  # one per written file
-    requests = PL.delivery_requests(adds, scan_hash_files(spark, base, keys))
+    # batch form: scan the output folder and join on key (no key list on the driver)
+    requests = PL.delivery_requests(adds, scan_hash_files(spark, base))
     return adds, requests
 
 
@@ -804,10 +804,10 @@ def q_file_delivery(spark, sf_dir):
     plan = A.plan_activation(_records_for(spark, base, "*.csv"), audiences(spark, sf_dir),
                              segments(spark, sf_dir))
     sent = A.outbox(plan)
-    keys = [r.key for r in sent.select("key").collect()]  # one per written file
-    sig = (D.file_signatures_of(spark, base, keys)
+    # batch form: sign every file below the folder, join on key (one row per file)
+    sig = (D.file_signatures(spark, f"{base}/output/file", "*.csv", recursive=True)
            .select(relative_key(F.col("path"), base).alias("key"), "file_signature"))
-    out = sent.join(sig, "key")  # both sides one row per file
+    out = sent.join(sig, "key")
     return out.select("audience", "audience_id", "action", "calculate_type",
                       _chunk_of().alias("chunk"), "size", "file_signature")
 

@@ -85,11 +85,20 @@ def relative_key(path: Column, root: str) -> Column:
     return F.substring(no_scheme, len(prefix) + 1, 1 << 20)
 
 
-def scan_hash_files(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
-    """Rows of the named batch-profile files, each tagged with its object key.
-
-    ``keys`` is the bounded list of objects one activation batch refers to
-    (one per record); only those files are read.
+def scan_hash_files(spark: SparkSession, root: str, keys: list[str] | None = None,
+                    under: str = "output/batch") -> DataFrame:
+    """Rows of batch-profile files, each tagged with its object key.
+
+    With ``keys`` (the bounded list one stream micro-batch names) only those
+    files are read.  Without, every ``.gz`` file below ``root/under`` is
+    scanned (recursive listing, no key list on the driver); callers join the
+    rows to the records they want.
     """
-    paths = [f"{root.rstrip('/')}/{k}" for k in keys]
-    return scan_hash_csv(spark, paths).withColumn("key", relative_key(F.input_file_name(), root))
+    if keys is not None:
+        paths = [f"{root.rstrip('/')}/{k}" for k in keys]
+        df = scan_hash_csv(spark, paths)
+    else:
+        df = (spark.read.option("header", "true").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.gz").schema(HASH_FILE_SCHEMA)
+              .csv(f"{root.rstrip('/')}/{under}"))
+    return df.withColumn("key", relative_key(F.input_file_name(), root))

@@ -63,9 +63,13 @@ def object_metadata(spark: SparkSession, root: str, key: str) -> DataFrame:
     return file_manifest(spark, root).where(F.col("key") == key)
 
 
-def file_signatures(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(path, size, md5) of every file below ``root`` (reads the contents)."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
+def file_signatures(spark: SparkSession, root: str, glob: str | None = None,
+                    recursive: bool = False) -> DataFrame:
+    """(path, size, md5) of every file below ``root`` (reads the contents).
+
+    Non-recursive reads keep Hive-style partition columns from the folders.
+    """
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
     files = r.load(root)
@@ -77,7 +81,8 @@ def file_signatures(spark: SparkSession, root: str, glob: str | None = None) ->
 def file_signatures_of(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
     """(path, size, md5) of the named objects below ``root`` only.
 
-    ``keys`` is the bounded list one activation batch refers to.
+    ``keys`` is the bounded list one stream micro-batch refers to; for a
+    whole folder use ``file_signatures``.
     """
     paths = [f"{root.rstrip('/')}/{k}" for k in keys]
     files = spark.read.format("binaryFile").load(paths)
