@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.activation import (QUEUE_SCHEMA, audience_lookup, parse_records,
                                     plan_activation, segment_lookup)
-from ..operators.lookup import sized_lookup
+from ..operators.lookup import join_small, sized_lookup
 from ..operators.payloads import delivery_requests
 from ..sources.audience import relative_key, scan_hash_files
 from ..sources.discovery import file_signatures_of
@@ -67,7 +67,7 @@ def _deliver(spark: SparkSession, plan: DataFrame, files_root: str, epoch_id: in
             sig = None
     out = sent.select(*PLAN_COLUMNS, "epoch")
     if sig is not None:
-        out = out.join(F.broadcast(sig), "key", "left")  # ≤ one row per batch record
+        out = join_small(out, sig, "key", how="left")  # ≤ one row per batch record
     else:
         out = out.withColumn("file_signature", F.lit(None).cast("string"))
     dead = None
