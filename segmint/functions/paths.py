@@ -6,9 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: key and list formats ------------------------------------
-# Extension = the last '.suffix' of the base name, unless the name starts with
-# the dot (dot-files keep their name), as os.path.splitext does.
-EXTENSION_PATTERN = r"(?<=[^/.])\.[^./]*$"
+# Extension = the base name from its last dot on, provided some non-dot
+# character precedes that dot (leading dots do not count), as in
+# os.path.splitext.  Groups: directory, root of the base name.
+EXTENSION_PATTERN = r"^(.*/)?(\.*[^./][^/]*)\.[^./]*$"
 # Hash lists arrive as one string joined by ", ".
 HASH_LIST_SEPARATOR = ", "
 # ---------------------------------------------------------------------------
@@ -20,7 +21,7 @@ def decode_key(c: Column) -> Column:
 
 
 def strip_extension(c: Column) -> Column:
-    return F.regexp_replace(c, EXTENSION_PATTERN, "")
+    return F.regexp_replace(c, EXTENSION_PATTERN, "$1$2")
 
 
 def base_name(c: Column) -> Column:
