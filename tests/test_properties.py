@@ -58,3 +58,34 @@ def test_empty_upload_gives_empty_output(spark, tmp_path):
                                          BATCH_SPEC)
     assert n_parts == 0 and rows.count() == 0
     write_output(rows, str(tmp_path / "out"), "batch", "s", num_parts=n_parts)
+
+
+TEXT = st.text(alphabet=st.characters(codec="utf-8", exclude_categories=("Cs",)), max_size=16)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=15))
+def test_decode_key_inverts_quote_plus(spark, keys):
+    from urllib.parse import quote_plus, unquote_plus
+
+    from segmint.functions.paths import decode_key
+    enc = [quote_plus(k, safe="/") for k in keys]
+    df = spark.createDataFrame([(e,) for e in enc], "e string")
+    got = [r.d for r in df.select(decode_key(F.col("e")).alias("d")).collect()]
+    assert got == [unquote_plus(e) for e in enc] == keys
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=15))
+def test_phone_rule_matches_python(spark, values):
+    import re
+    import unicodedata
+
+    from segmint.functions.normalize import normalized
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r.p for r in df.select(normalized(F.col("v"), "PHONE").alias("p")).collect()]
+    expect = []
+    for v in values:
+        p = re.sub(r"[^0-9]+", "", unicodedata.normalize("NFKD", v).strip()).lstrip("0")
+        expect.append(p or None)
+    assert got == expect
