@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from segmint.functions.paths import base_name, dir_part, strip_extension
 from segmint.operators.reshape import balanced_chunk
 
+# raise for a deeper search, e.g. SEGMINT_EXAMPLES=500
+N_EXAMPLES = int(os.environ.get("SEGMINT_EXAMPLES", "30"))
 
-@settings(max_examples=30, deadline=None)
+
+@settings(max_examples=N_EXAMPLES, deadline=None)
 @given(st.integers(min_value=1, max_value=5000), st.integers(min_value=1, max_value=700))
 def test_balanced_chunk_equals_array_split(spark, n, cap):
     k = -(-n // cap)
@@ -31,7 +34,7 @@ def _model(key):
     return (tail, parts[2] if len(parts) > 2 else None, parts[3] if len(parts) > 3 else None)
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=N_EXAMPLES, deadline=None)
 @given(st.lists(SEGMENT, min_size=1, max_size=12))
 def test_key_parts_match_path_split(spark, keys):
     # os.path.split drops trailing slashes of the head; keys with '//' or a
@@ -63,7 +66,7 @@ def test_empty_upload_gives_empty_output(spark, tmp_path):
 TEXT = st.text(alphabet=st.characters(codec="utf-8", exclude_categories=("Cs",)), max_size=16)
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=N_EXAMPLES, deadline=None)
 @given(st.lists(TEXT, min_size=1, max_size=15))
 def test_decode_key_inverts_quote_plus(spark, keys):
     from urllib.parse import quote_plus, unquote_plus
@@ -75,7 +78,7 @@ def test_decode_key_inverts_quote_plus(spark, keys):
     assert got == [unquote_plus(e) for e in enc] == keys
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=N_EXAMPLES, deadline=None)
 @given(st.lists(TEXT, min_size=1, max_size=15))
 def test_phone_rule_matches_python(spark, values):
     import re
@@ -89,3 +92,15 @@ def test_phone_rule_matches_python(spark, values):
         p = re.sub(r"[^0-9]+", "", unicodedata.normalize("NFKD", v).strip()).lstrip("0")
         expect.append(p or None)
     assert got == expect
+
+
+@settings(max_examples=N_EXAMPLES, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=15))
+def test_ad_id_rule_matches_python(spark, values):
+    import unicodedata
+
+    from segmint.functions.normalize import normalized
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r.p for r in df.select(normalized(F.col("v"), "GAID").alias("p")).collect()]
+    expect = [unicodedata.normalize("NFKD", v).strip().lower() or None for v in values]
+    assert got == expect
