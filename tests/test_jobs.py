@@ -79,3 +79,19 @@ def test_cli_transform_list_columns_runs(spark, tmp_path, capsys):
     assert '"column_name": "e-mail"' in cols and '"n_records": 2' in cols
     main(["runs", "--path", runs])
     assert '"SegmentName": "myaudience"' in capsys.readouterr().out
+
+
+def test_cli_activate(spark, tmp_path):
+    from segmint.cli import main
+    from segmint.plans.derived import audience_pages_dir, queue_dir, segment_pages_dir
+    from segmint.streaming.activation_stream import read_dead_letters, read_outbox
+    from tests.conftest import SF_SMALL
+    out = str(tmp_path / "act")
+    assert main(["activate", "--queue", queue_dir(spark, SF_SMALL),
+                 "--audiences", audience_pages_dir(spark, SF_SMALL),
+                 "--segments", segment_pages_dir(spark, SF_SMALL),
+                 "--out", out, "--checkpoint", str(tmp_path / "ck"),
+                 "--max-files-per-trigger", "4"]) == 0
+    n_out, n_dead = read_outbox(spark, out).count(), read_dead_letters(spark, out).count()
+    n_in = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert n_out > 0 and n_dead > 0 and n_out + n_dead <= n_in
