@@ -105,7 +105,13 @@ def apply_null_policy_after(c: Column, policy: str) -> Column:
 
 def normalized(c: Column, pii_type: str, policy: str = "skip",
                lowercase_email: bool = False) -> Column:
-    """Full normalisation of one identifier column."""
+    """Full normalisation of one identifier column.
+
+    The null policy reads the value twice, so a plan built from this single
+    expression calls the NFKD UDF twice per non-ASCII value; DataFrame code
+    should prefer ``plans.transform.normalize_all``, which cleans in a
+    projection of its own.
+    """
     v = apply_null_policy_before(c, policy)
     v = normalize_kind(clean_text(v), pii_type, lowercase_email)
     return apply_null_policy_after(v, policy)

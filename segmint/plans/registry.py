@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import sha256_hex
-from ..functions.normalize import nfkd, normalized, strip
+from ..functions.normalize import nfkd, strip
 from ..operators import activation as A
 from ..operators import payloads as PL
 from ..operators.reshape import MID, SPLIT_FILE, SPLIT_START, tag_source_order
@@ -176,10 +176,9 @@ def q_null_policy(spark, sf_dir):
 @register("nfkd")
 def q_nfkd(spark, sf_dir):
     """NFKD of every document's whole text (hash + length of the result)."""
-    docs = table(spark, sf_dir, "documents")
-    t = nfkd(F.col("text"))
-    return docs.select("doc_id", sha256_hex(t).alias("text_sha256"),
-                       F.length(t).cast("long").alias("n_chars_nfkd"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", nfkd(F.col("text")).alias("t"))
+    return docs.select("doc_id", sha256_hex(F.col("t")).alias("text_sha256"),
+                       F.length("t").cast("long").alias("n_chars_nfkd"))
 
 
 @register("strip", "SELECT doc_id, sha256(" + O.strip_sql("text") + ") AS text_sha256, "
@@ -192,29 +191,31 @@ def q_strip(spark, sf_dir):
         F.length(t).cast("long").alias("n_chars_stripped"))
 
 
+def _normalize_one(spark: SparkSession, sf_dir: str, column: str, kind: str) -> DataFrame:
+    spec = AudienceSpec("file", (PiiField(column, kind),), SEGMENT, SOURCE_KEY,
+                        extra_columns=(("contact_id", "LONG"),))
+    return normalize_all(audience_scan(spark, sf_dir, spec), spec, keep=["contact_id"])
+
+
 @register("normalize_phone", O.with_ctes(O.CONTACTS_CTE, O.NORMALIZED_CTE) +
           "SELECT contact_id, phone_n AS phone_number FROM n")
 def q_normalize_phone(spark, sf_dir):
     """digits only, no leading zeros (empty → null)."""
-    c = contacts_scan(spark, sf_dir)
-    return c.select("contact_id", normalized(F.col("phone_number"), "PHONE").alias("phone_number"))
+    return _normalize_one(spark, sf_dir, "phone_number", "PHONE")
 
 
 @register("normalize_email", O.with_ctes(O.CONTACTS_CTE, O.NORMALIZED_CTE) +
           'SELECT contact_id, email_n AS "e-mail" FROM n')
 def q_normalize_email(spark, sf_dir):
     """e-mail is NFKD + strip only (no lower-casing by default)."""
-    c = contacts_scan(spark, sf_dir)
-    return c.select("contact_id", normalized(F.col("e-mail"), "EMAIL").alias("e-mail"))
+    return _normalize_one(spark, sf_dir, "e-mail", "EMAIL")
 
 
 @register("normalize_ad_id", O.with_ctes(O.CONTACTS_CTE, O.NORMALIZED_CTE) +
           "SELECT contact_id, ad_n AS mobile_advertiser_id FROM n")
 def q_normalize_ad_id(spark, sf_dir):
     """advertising ids lower-cased."""
-    c = contacts_scan(spark, sf_dir)
-    return c.select("contact_id", normalized(F.col("mobile_advertiser_id"), "GAID")
-                    .alias("mobile_advertiser_id"))
+    return _normalize_one(spark, sf_dir, "mobile_advertiser_id", "GAID")
 
 
 @register("normalize_all", O.with_ctes(O.CONTACTS_CTE, O.NORMALIZED_CTE) +
