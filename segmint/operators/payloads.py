@@ -38,24 +38,21 @@ def schema_send_order() -> F.Column:
 def supported_schemas(parts: DataFrame) -> DataFrame:
     """P10+A2: rows per supported schema in each file, in send order.
 
-    Supported schemas absent from a file are listed too, with ``n_rows = 0``:
-    per file the set of present schemas (at most a handful) is collected and
-    ``array_except`` against the option list yields the absent ones, so no
-    file × option cross product is formed.
+    Every supported schema is listed for every file, absent ones with
+    ``n_rows = 0``: per file the schema counts are gathered into a map (at
+    most a handful of entries) and the option list is exploded against it,
+    in one pipeline, with no file × option cross product.
     """
     counts = (parts.groupBy("segment_name", "chunk", "schema")
               .agg(F.count(F.lit(1)).alias("n_rows")))
-    present = (counts.withColumn("send_order", schema_send_order())
-               .where(F.col("send_order").isNotNull()))
-    options = F.array(*[F.lit(s) for s in SCHEMA_OPTIONS])
-    absent = (counts.groupBy("segment_name", "chunk")
-              .agg(F.collect_set("schema").alias("present"))
-              .select("segment_name", "chunk",
-                      F.explode(F.array_except(options, F.col("present"))).alias("schema"))
-              .withColumn("send_order", schema_send_order())
-              .withColumn("n_rows", F.lit(0).cast("long")))
-    cols = ["segment_name", "chunk", "send_order", "schema", "n_rows"]
-    return present.select(*cols).unionByName(absent.select(*cols))
+    per_file = counts.groupBy("segment_name", "chunk").agg(
+        F.map_from_entries(F.collect_list(F.struct("schema", "n_rows"))).alias("m"))
+    options = F.array(*[F.struct(F.lit(i).alias("send_order"), F.lit(s).alias("schema"))
+                        for i, s in enumerate(SCHEMA_OPTIONS, start=1)])
+    return (per_file.select("segment_name", "chunk", "m", F.inline(options))
+            .select("segment_name", "chunk", "send_order", "schema",
+                    F.coalesce(F.col("m")[F.col("schema")], F.lit(0).cast("long"))
+                    .alias("n_rows")))
 
 
 def payloads(parts: DataFrame) -> DataFrame:

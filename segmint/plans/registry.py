@@ -726,7 +726,8 @@ def _delivery(spark: SparkSession, sf_dir: str):
     write_output(rows, base, "batch", DELIVERY_SEGMENT, num_parts=n_parts)
     plan = A.plan_activation(_records_for(spark, base, "*.gz"), audiences(spark, sf_dir),
                              segments(spark, sf_dir))
-    adds = A.outbox(plan).where(F.col("action") == "ADD_USERS")
+    # the outbox is a table in its own right: materialise it once (one row per file)
+    adds = A.outbox(plan).where(F.col("action") == "ADD_USERS").checkpoint(eager=True)
     # batch form: scan the output folder and join on key (no key list on the driver)
     requests = PL.delivery_requests(adds, scan_hash_files(spark, base))
     return adds, requests
