@@ -47,6 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--format", choices=("json", "csv"), default="json")
     t.add_argument("--null-policy", choices=("skip", "literal"), default="skip")
     t.add_argument("--lowercase-email", action="store_true")
+    t.add_argument("--permissive", action="store_true",
+                   help="read malformed lines as nulls instead of failing")
     t.add_argument("--runs", help="run history folder to append to")
 
     a = sub.add_parser("activate", help="run the activation stream")
@@ -80,7 +82,8 @@ def main(argv: list[str] | None = None) -> int:
         run = run_transform_job(spark, args.source, args.output, args.profile, args.pii_fields,
                                 args.segment_name, key, runs_path=args.runs,
                                 source_format=args.format, null_policy=args.null_policy,
-                                lowercase_email=args.lowercase_email)
+                                lowercase_email=args.lowercase_email,
+                                read_mode="PERMISSIVE" if args.permissive else "FAILFAST")
         print(json.dumps({"JobRunId": run["Id"], "JobRunState": run["JobRunState"],
                           "n_parts": run.get("n_parts")}))
     elif args.cmd == "activate":

@@ -87,7 +87,8 @@ def contacts_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audience_scan(spark: SparkSession, sf_dir: str, spec: AudienceSpec) -> DataFrame:
-    return scan_jsonl(spark, contacts_jsonl(spark, sf_dir), spec.read_schema())
+    return scan_jsonl(spark, contacts_jsonl(spark, sf_dir), spec.read_schema(),
+                      mode=spec.read_mode)
 
 
 # ===========================================================================

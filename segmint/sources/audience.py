@@ -24,16 +24,17 @@ HASH_FILE_SCHEMA = T.StructType([
 ])
 
 
-def scan_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+def scan_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType,
+               mode: str = "PERMISSIVE") -> DataFrame:
     """Newline-delimited JSON objects with an explicit schema (splittable)."""
-    return (spark.read.schema(schema).option("mode", "PERMISSIVE")
+    return (spark.read.schema(schema).option("mode", mode)
             .option("multiLine", "false").json(path))
 
 
 def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-             header: bool = True) -> DataFrame:
+             header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
     """CSV with header; without a schema every column is read as a string."""
-    r = spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE")
+    r = spark.read.option("header", str(header).lower()).option("mode", mode)
     if schema is not None:
         r = r.schema(schema).option("enforceSchema", "false")
     return r.csv(path)
@@ -42,6 +43,7 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 def scan_audience(spark: SparkSession, path: str | list[str], spec: AudienceSpec) -> DataFrame:
     """Scan an upload with the spec's columns.
 
+    Malformed lines fail the job unless the spec opts into PERMISSIVE.
     JSON lines: the explicit schema picks fields by name.  CSV is
     positional, so the header supplies the names (every column a string, no
     inference pass) and the spec's columns are selected by name, cast to
@@ -49,9 +51,9 @@ def scan_audience(spark: SparkSession, path: str | list[str], spec: AudienceSpec
     """
     schema = spec.read_schema()
     if spec.source_format == "csv":
-        df = scan_csv(spark, path)
+        df = scan_csv(spark, path, mode=spec.read_mode)
         return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
-    return scan_jsonl(spark, path, schema)
+    return scan_jsonl(spark, path, schema, mode=spec.read_mode)
 
 
 def scan_hash_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:

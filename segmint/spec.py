@@ -69,6 +69,9 @@ class AudienceSpec:
     include_unmapped: bool = False
     source_format: str = "json"
     extra_columns: tuple[tuple[str, str], ...] = field(default_factory=tuple)
+    # FAILFAST: a malformed line fails the job (no silent loss);
+    # PERMISSIVE: it reads as nulls and, under ``skip``, yields no hash.
+    read_mode: str = "FAILFAST"
 
     @staticmethod
     def from_args(profile: str, pii_fields: str | list, segment_name: str,
@@ -106,6 +109,8 @@ class AudienceSpec:
             raise ValueError("include_unmapped applies to the batch profile only")
         if self.source_format not in ("json", "csv"):
             raise ValueError("source_format must be json or csv")
+        if self.read_mode not in ("FAILFAST", "PERMISSIVE"):
+            raise ValueError("read_mode must be FAILFAST or PERMISSIVE")
         for _, t in self.extra_columns:
             if t.upper() not in _TYPE_NAMES:
                 raise ValueError(f"unsupported declared type {t!r}")

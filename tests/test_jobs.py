@@ -95,3 +95,18 @@ def test_cli_activate(spark, tmp_path):
     n_out, n_dead = read_outbox(spark, out).count(), read_dead_letters(spark, out).count()
     n_in = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     assert n_out > 0 and n_dead > 0 and n_out + n_dead <= n_in
+
+
+def test_malformed_line_fails_unless_permissive(spark, tmp_path):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from segmint.plans.transform import transform
+    from segmint.spec import AudienceSpec
+    src = tmp_path / "bad.json"
+    src.write_text(FX1_LINES[0] + "\n{not json\n" + FX1_LINES[1] + "\n")
+    spec = AudienceSpec.from_args("batch", MAPPING, "s")
+    with pytest.raises((PySparkException, Exception)):
+        transform(spark, str(src), spec).count()
+    lenient = AudienceSpec.from_args("batch", MAPPING, "s", read_mode="PERMISSIVE")
+    assert transform(spark, str(src), lenient).count() == 6
