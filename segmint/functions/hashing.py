@@ -16,8 +16,3 @@ def hashed(c: Column, pii_type: str, policy: str = "skip",
            lowercase_email: bool = False) -> Column:
     """Normalise then hash one identifier column (null stays null)."""
     return sha256_hex(normalized(c, pii_type, policy, lowercase_email))
-
-
-def md5_hex(c: Column) -> Column:
-    """Byte signature of a file body (binary) or of text."""
-    return F.md5(c)

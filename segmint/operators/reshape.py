@@ -60,13 +60,6 @@ def melt_by_branches(df: DataFrame, columns: list[tuple[str, str]],
     return reduce(DataFrame.unionAll, branches)
 
 
-def melt_unpivot(df: DataFrame, columns: list[str], keep: list[str] | None = None,
-                 value_name: str = "hash", name_name: str = "schema") -> DataFrame:
-    """Wide → long with one ``Expand`` (row-major order; single scan)."""
-    casted = df.select(*(keep or []), *[F.col(c).cast("string").alias(c) for c in columns])
-    return casted.unpivot(keep or [], columns, name_name, value_name)
-
-
 def prefix_offsets(counts: DataFrame, order: list[str], n_col: str = "__n",
                    out_col: str = "__off", rows_per_bucket: int = 250_000) -> DataFrame:
     """Exclusive prefix sum of ``n_col`` in ``order``, computed distributed.
