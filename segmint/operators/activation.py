@@ -53,7 +53,7 @@ BODY_SCHEMA = T.StructType([
 ])
 
 
-def parse_records(queue: DataFrame) -> DataFrame:
+def parse_records(queue: DataFrame, with_time: bool = False) -> DataFrame:
     """Queue records → flat notification columns (bad JSON → null fields).
 
     The body is parsed inside ``inline_outer`` of a one-element array: a
@@ -64,14 +64,17 @@ def parse_records(queue: DataFrame) -> DataFrame:
     parsed = F.from_json("body", BODY_SCHEMA, {"mode": "PERMISSIVE"})
     flat = queue.select(F.col("messageId").cast("long").alias("message_id"),
                         F.inline_outer(F.array(parsed)))
-    return flat.select(
+    cols = [
         "message_id",
         F.col("source").alias("source"),
         F.col("`detail-type`").alias("detail_type"),
         F.col("detail.bucket.name").alias("bucket"),
         F.col("detail.object.key").alias("object_key"),
         F.col("detail.object.size").alias("size"),
-    )
+    ]
+    if with_time:
+        cols.append(F.to_timestamp("time").alias("event_time"))
+    return flat.select(*cols)
 
 
 def event_filter(df: DataFrame, source: str = EVENT_SOURCE,

@@ -84,7 +84,8 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Dat
                             segments: DataFrame, out_root: str, checkpoint: str,
                             max_files_per_trigger: int = 1,
                             available_now: bool = True,
-                            files_root: str | None = None) -> StreamingQuery:
+                            files_root: str | None = None,
+                            dedupe_watermark: str | None = None) -> StreamingQuery:
     """Start the job; returns the running query (``awaitTermination`` to wait).
 
     ``audiences`` / ``segments`` are catalogue snapshots (name, id, page,
@@ -93,11 +94,24 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Dat
     With ``files_root`` (where object keys resolve to files) the job also
     reads the named objects: batch-profile files become request bodies in
     the ``payload`` table, file-profile rows get the md5 ``file_signature``.
+
+    Redelivery is removed by ``dropDuplicates(bucket, object_key)``; its state
+    holds one key per object ever seen.  ``dedupe_watermark`` (e.g.
+    ``"1 day"``) bounds that state with ``dropDuplicatesWithinWatermark`` on
+    the record's event time instead, at the price that records arriving
+    later than the watermark are dropped as late; leave it unset unless the
+    queue's redelivery window is known to be shorter.
     """
     lookups = (sized_lookup(audience_lookup(audiences)), sized_lookup(segment_lookup(segments)))
     stream = (spark.readStream.schema(QUEUE_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger).json(queue_path))
-    recs = parse_records(stream).dropDuplicates(["bucket", "object_key"])
+    if dedupe_watermark:
+        recs = (parse_records(stream, with_time=True)
+                .withWatermark("event_time", dedupe_watermark)
+                .dropDuplicatesWithinWatermark(["bucket", "object_key"])
+                .drop("event_time"))
+    else:
+        recs = parse_records(stream).dropDuplicates(["bucket", "object_key"])
     outbox_path = os.path.join(out_root, "outbox")
     dead_path = os.path.join(out_root, "dead_letter")
     payload_path = os.path.join(out_root, "payload")

@@ -93,3 +93,20 @@ def test_stream_delivery_payloads_signatures_and_missing(spark, tmp_path):
     dl = {r.key: r.reason for r in read_dead_letters(spark, out).collect()}
     assert dl == {"output/batch/seg one/chunk=0/missing.csv.gz": "OBJECT_NOT_READABLE"}
     assert os.path.isdir(out)
+
+
+def test_watermarked_dedupe_option(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "q"), str(tmp_path / "out"), str(tmp_path / "ck")
+    recs = _records(["output/file/known/EMAIL_SHA256/a.csv", "output/file/new/gaid_sha256/b.csv"])
+    for r in recs:
+        body = json.loads(r["body"])
+        body["time"] = "2024-01-01T00:00:00Z"
+        r["body"] = json.dumps(body)
+    _land(spark, src, recs)
+    _land(spark, src, recs)  # redelivered
+    aud, seg = _catalogues(spark)
+    q = start_activation_stream(spark, src, aud, seg, out, ckpt, max_files_per_trigger=1,
+                                dedupe_watermark="1 day")
+    q.awaitTermination()
+    assert sorted(r.key for r in read_outbox(spark, out).collect()) == [
+        "output/file/known/EMAIL_SHA256/a.csv", "output/file/new/gaid_sha256/b.csv"]
