@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from segmint.plans.derived import contacts_frame  # noqa: E402
 from segmint.plans.registry import BATCH_SPEC, FILE_SPEC  # noqa: E402
-from segmint.plans.transform import hash_wide, transform_with_parts  # noqa: E402
+from segmint.plans.transform import hash_wide, run_transform  # noqa: E402
 from segmint.session import local_session, scratch_path  # noqa: E402
 from segmint.sinks.writers import write_batch_profile, write_file_profile  # noqa: E402
 from segmint.sources.audience import scan_jsonl  # noqa: E402
@@ -43,14 +43,19 @@ def main() -> None:
     # warm the Python workers once (the NFKD UDF), as in a long-running session
     hash_wide(scan_jsonl(spark, path, BATCH_SPEC.read_schema()), BATCH_SPEC) \
         .write.format("noop").mode("overwrite").save()
+    single_scan = os.environ.get("BENCH_SINGLE_SCAN", "1") == "1"
     for spec, writer in ((BATCH_SPEC, write_batch_profile), (FILE_SPEC, write_file_profile)):
         t0 = time.perf_counter()
-        rows, n_parts = transform_with_parts(scan_jsonl(spark, path, spec.read_schema()), spec)
-        writer(rows, scratch_path(spark, "scale_out"), num_parts=n_parts)
+        job = run_transform(scan_jsonl(spark, path, spec.read_schema()), spec,
+                            single_scan=single_scan)
+        n_parts = job.n_parts
+        writer(job.rows, scratch_path(spark, "scale_out"), num_parts=n_parts)
+        job.release()
         dt = time.perf_counter() - t0
         print(json.dumps({"profile": spec.profile, "replicate": k, "input_rows": n_in,
                           "parts": n_parts, "sec": round(dt, 2),
-                          "input_rows_per_sec": int(n_in / dt), "cpus": cpus}))
+                          "input_rows_per_sec": int(n_in / dt), "cpus": cpus,
+                          "single_scan": single_scan}))
     spark.stop()
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..sinks.writers import write_output
 from ..sources.audience import scan_audience
 from ..spec import AudienceSpec
-from .transform import transform_with_parts
+from .transform import run_transform
 
 RUN_SCHEMA = T.StructType([
     T.StructField("Id", T.StringType()),
@@ -52,10 +52,14 @@ def run_transform_job(spark: SparkSession, source_path: str, output_path: str,
                          else pii_fields, "--segment_name": segment_name,
                          "--profile": profile}}
     try:
-        df, n_parts = transform_with_parts(scan_audience(spark, source_path, spec), spec)
-        write_output(df, output_path, spec.profile, spec.segment_name, num_parts=n_parts)
+        job = run_transform(scan_audience(spark, source_path, spec), spec)
+        try:
+            write_output(job.rows, output_path, spec.profile, spec.segment_name,
+                         num_parts=job.n_parts)
+        finally:
+            job.release()
         run["JobRunState"] = "SUCCEEDED"
-        run["n_parts"] = n_parts
+        run["n_parts"] = job.n_parts
     except Exception:
         run["JobRunState"] = "FAILED"
         raise

@@ -78,3 +78,19 @@ def test_csv_upload_same_as_json(spark):
     # CSV cannot carry an empty string apart from a missing value; under the
     # skip policy both give no hash, so the results agree.
     assert a == b
+
+
+def test_single_scan_same_result_and_released(spark):
+    from segmint.plans.transform import run_transform
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        a = run_transform(audience_scan(spark, SF_SMALL, BATCH_SPEC), BATCH_SPEC, cap_rows=29,
+                          single_scan=False)
+        b = run_transform(audience_scan(spark, SF_SMALL, BATCH_SPEC), BATCH_SPEC, cap_rows=29,
+                          single_scan=True)
+        assert a.n_parts == b.n_parts and _rows(a.rows) == _rows(b.rows)
+        assert b._cached and b._cached[0].storageLevel.useDisk
+        b.release()
+        assert not b._cached
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
