@@ -68,6 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     ls = sub.add_parser("list", help="object listing")
     ls.add_argument("--root", required=True)
     ls.add_argument("--limit", type=int, default=1000)
+    ls.add_argument("--sort", choices=("key", "date", "size"), default="key")
 
     r = sub.add_parser("runs", help="run history")
     r.add_argument("--path", required=True)
@@ -100,7 +101,7 @@ def main(argv: list[str] | None = None) -> int:
               else D.discover_columns_csv(spark, args.path))
         _show(df.orderBy("column_name"), 100_000)
     elif args.cmd == "list":
-        _show(D.file_manifest(spark, args.root).orderBy("key"), args.limit)
+        _show(D.sorted_manifest(D.file_manifest(spark, args.root), args.sort), args.limit)
     elif args.cmd == "runs":
         _show(D.job_runs(spark, args.path).orderBy("StartedOn"), args.limit)
     return 0

@@ -576,7 +576,7 @@ def q_file_manifest(spark, sf_dir):
 @register("manifest_sorted")
 def q_manifest_sorted(spark, sf_dir):
     """O1: the listing sorted by size (largest first), then key."""
-    return D.file_manifest(spark, sf_dir, "*.parquet").orderBy(F.desc("size"), "key")
+    return D.sorted_manifest(D.file_manifest(spark, sf_dir, "*.parquet"), "size")
 
 
 @register("job_runs", (
