@@ -58,14 +58,12 @@ def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> Da
         F.col("length").alias("size"))
 
 
-SORT_KEYS = {"key": [F.col("key")],
-             "date": [F.desc("last_modified"), F.col("key")],
-             "size": [F.desc("size"), F.col("key")]}
-
-
 def sorted_manifest(manifest: DataFrame, by: str = "key") -> DataFrame:
     """O1: the listing ordered by key, newest first, or largest first."""
-    return manifest.orderBy(*SORT_KEYS[by])
+    keys = {"key": [F.col("key")],
+            "date": [F.desc("last_modified"), F.col("key")],
+            "size": [F.desc("size"), F.col("key")]}
+    return manifest.orderBy(*keys[by])
 
 
 def object_metadata(spark: SparkSession, root: str, key: str) -> DataFrame:
