@@ -3,8 +3,9 @@
 
 The contacts derived from ``customer`` are replicated ``k`` times (ids kept
 distinct, by ``explode(sequence)``, no cross join), written once as JSON
-lines, then transformed and written in both profiles.  Prints one JSON
-line per profile with input rows per second.
+lines (one file, like a single large upload), then transformed and written
+in both profiles with ``$BENCH_SPLIT_BYTES`` input splits (default 32 MB).
+Prints one JSON line per profile with input rows per second.
 
     python scale_bench.py 100            # BENCH_SF_DIR, BENCH_CPUS as in bench.py
 """
@@ -33,6 +34,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores=cpus, app_name="segmint-scale")
+    # the replicated upload is one large file: its split size sets the scan
+    # parallelism (on a cluster the default 128 MB splits of a big upload do)
+    spark.conf.set("spark.sql.files.maxPartitionBytes",
+                   os.environ.get("BENCH_SPLIT_BYTES", str(32 * 1024 * 1024)))
     base = contacts_frame(spark, sf_dir)
     rep = (base.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
            .withColumn("contact_id", F.col("contact_id") + F.col("r").cast("long") * 1_000_000_000)
