@@ -85,6 +85,9 @@ def hashed_long(df: DataFrame, spec: AudienceSpec,
     if _cache is not None:
         norm = norm.persist(StorageLevel.MEMORY_AND_DISK)
         _cache.append(norm)
+        # build the cache in one stage now; otherwise every branch's stage
+        # would start on it at once and park tasks on each other's blocks
+        norm.count()
     skip = spec.null_policy == "skip"
     branches = []
     for i, f in enumerate(spec.fields):
