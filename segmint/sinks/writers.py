@@ -65,21 +65,27 @@ def read_file_profile(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_output(df: DataFrame, root: str, profile: str, segment_name: str,
-                 num_parts: int | None = None, mode: str = "append") -> str:
+                 num_parts: int | None = None, source: str = "upload") -> str:
     """Write one job's parts where the activation side expects them.
 
     Layout ``<root>/output/<profile>/<segment>/…``, so that directory 2 of
     every object key is the audience.  File profile:
-    ``…/schema=<KIND>_SHA256/chunk=<n>/part-….csv`` (directory 3 names the
-    identifier type); batch profile: ``…/chunk=<n>/part-….csv.gz``.
+    ``…/schema=<KIND>_SHA256/source=<upload>/chunk=<n>/part-….csv``
+    (directory 3 names the identifier type); batch profile:
+    ``…/source=<upload>/chunk=<n>/part-….csv.gz``.  Writes use dynamic
+    partition overwrite: re-running a job for the same upload replaces its
+    own parts and nothing else, so a re-run never duplicates output.
     """
     base = f"{root.rstrip('/')}/output/{profile}/{segment_name}"
+    src = F.lit(source).alias("source")
+    w = lambda d: (d.write.mode("overwrite")
+                   .option("partitionOverwriteMode", "dynamic"))
     if profile == "file":
-        (_gather_parts(df, FILE_PARTS, num_parts).select("schema", "chunk", "hash")
-         .write.mode(mode).partitionBy("schema", "chunk").option("header", "false").csv(base))
+        out = _gather_parts(df, FILE_PARTS, num_parts).select("schema", src, "chunk", "hash")
+        w(out).partitionBy("schema", "source", "chunk").option("header", "false").csv(base)
     else:
-        (_gather_parts(df, BATCH_PARTS, num_parts)
-         .select("row_id", "schema", "hash", "segment_name", "chunk")
-         .write.mode(mode).partitionBy("chunk").option("header", "true")
+        out = _gather_parts(df, BATCH_PARTS, num_parts).select(
+            "row_id", "schema", "hash", "segment_name", src, "chunk")
+        (w(out).partitionBy("source", "chunk").option("header", "true")
          .option("compression", "gzip").csv(base))
     return base

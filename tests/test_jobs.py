@@ -24,7 +24,7 @@ def test_batch_job_end_to_end(spark, tmp_path):
     run = run_transform_job(spark, str(src), out, "batch", MAPPING, "myaudience",
                             "mydata.json", runs_path=runs)
     assert run["JobRunState"] == "SUCCEEDED" and run["n_parts"] == 1
-    rows = scan_hash_csv(spark, f"{out}/output/batch/myaudience/*/*.csv.gz").orderBy("row_id").collect()
+    rows = scan_hash_csv(spark, f"{out}/output/batch/myaudience/*/*/*.csv.gz").orderBy("row_id").collect()
     # column-major, in mapping order
     assert [r.schema for r in rows] == (
         ["EMAIL_SHA256"] * 2 + ["PHONE_SHA256"] * 2 + ["MOBILE_AD_ID_SHA256"] * 2)
@@ -35,6 +35,10 @@ def test_batch_job_end_to_end(spark, tmp_path):
         assert fh.readline().strip() == "row_id,schema,hash,segment_name"
     hist = job_runs(spark, runs).collect()
     assert len(hist) == 1 and hist[0].SegmentName == "myaudience"
+    # re-running the same upload replaces its parts instead of duplicating them
+    run_transform_job(spark, str(src), out, "batch", MAPPING, "myaudience", "mydata.json")
+    again = scan_hash_csv(spark, f"{out}/output/batch/myaudience/*/*/*.csv.gz").count()
+    assert again == len(rows)
 
 
 def test_file_job_headerless_parts(spark, tmp_path):
@@ -73,7 +77,7 @@ def test_cli_transform_list_columns_runs(spark, tmp_path, capsys):
     assert '"JobRunState": "SUCCEEDED"' in capsys.readouterr().out
     main(["list", "--root", out])
     listed = capsys.readouterr().out
-    assert "output/batch/myaudience/chunk=0/" in listed and ".csv.gz" in listed
+    assert "output/batch/myaudience/source=mydata/chunk=0/" in listed and ".csv.gz" in listed
     main(["columns", "--path", str(src)])
     cols = capsys.readouterr().out
     assert '"column_name": "e-mail"' in cols and '"n_records": 2' in cols
