@@ -5,7 +5,8 @@ Subcommands mirror what the original product's users run:
 * ``transform``  — the transform job (source, output, mapping, segment name);
 * ``activate``   — the activation stream over a queue folder;
 * ``columns``    — column discovery of a JSON-lines or CSV upload;
-* ``list``       — object listing (key, last modified, size) below a folder;
+* ``list``       — object listing (key, last modified, size) below a folder,
+  sorted by key, date or size, or one object's metadata (``--key``);
 * ``runs``       — transform run history with the segment name promoted.
 
 The session comes from the environment (``SparkSession.builder.getOrCreate``);
@@ -69,6 +70,7 @@ def main(argv: list[str] | None = None) -> int:
     ls.add_argument("--root", required=True)
     ls.add_argument("--limit", type=int, default=1000)
     ls.add_argument("--sort", choices=("key", "date", "size"), default="key")
+    ls.add_argument("--key", help="metadata of this one object only")
 
     r = sub.add_parser("runs", help="run history")
     r.add_argument("--path", required=True)
@@ -101,7 +103,10 @@ def main(argv: list[str] | None = None) -> int:
               else D.discover_columns_csv(spark, args.path))
         _show(df.orderBy("column_name"), 100_000)
     elif args.cmd == "list":
-        _show(D.sorted_manifest(D.file_manifest(spark, args.root), args.sort), args.limit)
+        if args.key:
+            _show(D.object_metadata(spark, args.root, args.key), 1)
+        else:
+            _show(D.sorted_manifest(D.file_manifest(spark, args.root), args.sort), args.limit)
     elif args.cmd == "runs":
         _show(D.job_runs(spark, args.path).orderBy("StartedOn"), args.limit)
     return 0

@@ -78,6 +78,9 @@ def test_cli_transform_list_columns_runs(spark, tmp_path, capsys):
     main(["list", "--root", out])
     listed = capsys.readouterr().out
     assert "output/batch/myaudience/source=mydata/chunk=0/" in listed and ".csv.gz" in listed
+    main(["list", "--root", str(tmp_path), "--key", "mydata.json"])
+    one = capsys.readouterr().out.strip().splitlines()
+    assert len(one) == 1 and '"key": "mydata.json"' in one[0]
     main(["columns", "--path", str(src)])
     cols = capsys.readouterr().out
     assert '"column_name": "e-mail"' in cols and '"n_records": 2' in cols
