@@ -13,6 +13,7 @@ partition overwrite), so the sink is idempotent too.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,7 +135,9 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Dat
             plan.unpersist()
 
     writer = (recs.writeStream.foreachBatch(handle)
-              .option("checkpointLocation", checkpoint).queryName("activation"))
+              .option("checkpointLocation", checkpoint)
+              # unique: several activation streams may run in one session
+              .queryName(f"activation_{uuid.uuid4().hex[:12]}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="30 seconds")
     return writer.start()
