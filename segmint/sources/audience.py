@@ -75,18 +75,25 @@ def select_string_columns(df: DataFrame) -> DataFrame:
     return df.select(*[df[c] for c in string_columns(df)])
 
 
-def relative_key(path: Column, root: str) -> Column:
-    """Object key of a scanned file: its URI, percent-decoded, minus ``root``.
+def key_below(path: Column, root: str, decode: bool = True) -> Column:
+    """Object key of a file: its path minus ``root`` (scheme-insensitive).
 
-    '+' is literal in a URI, so it is protected before decoding.
+    ``decode`` percent-decodes first (``input_file_name`` gives URIs); '+'
+    is literal in a URI, so it is protected before decoding.
     """
-    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    no_scheme = F.regexp_replace(decoded, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "")
+    if decode:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    no_scheme = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "")
     root_norm = root.split(":", 1)[1] if ":" in root.split("/", 1)[0] else root
     prefix = root_norm.strip("/") + "/"
     return F.substring(no_scheme, len(prefix) + 1, 1 << 20)
 
 
+def relative_key(path: Column, root: str) -> Column:
+    """Object key of a scanned file from its (percent-encoded) URI."""
+    return key_below(path, root, decode=True)
+
+
 def scan_hash_files(spark: SparkSession, root: str, keys: list[str] | None = None,
                     under: str = "output/batch") -> DataFrame:
     """Rows of batch-profile files, each tagged with its object key.

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .audience import scan_csv
+from .audience import key_below, scan_csv
 
 
 def discover_columns_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -50,10 +50,8 @@ def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> Da
     if glob:
         r = r.option("pathGlobFilter", glob)
     files = r.load(root)
-    prefix = root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.col("path"), r"^file:", "")
     return files.select(
-        F.substring(rel, len(prefix) + 1, 1 << 20).alias("key"),
+        key_below(F.col("path"), root, decode=False).alias("key"),
         F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("last_modified"),
         F.col("length").alias("size"))
 
