@@ -137,3 +137,13 @@ def test_relative_key_decodes_uri(spark):
         [("file:///base/dir/output/batch/Audience%207/x+y.csv.gz",)], "p string")
     got = df.select(relative_key(F.col("p"), "/base/dir").alias("k")).first().k
     assert got == "output/batch/Audience 7/x+y.csv.gz"
+
+
+def test_undecodable_key_is_dead_lettered(spark):
+    b = "uploader-etl-artifacts-x"
+    q = queue_df(spark, [(b, "output/file/a%zz/EMAIL_SHA256/x.csv"),
+                         (b, "output/file/caf%C3%A9/EMAIL_SHA256/x.csv")])
+    plan = {r.message_id: r for r in A.plan_activation(
+        A.parse_records(q), catalogue(spark, [], []), seg_catalogue(spark, [], [])).collect()}
+    assert plan[0].reason == "UNDECODABLE_KEY" and plan[0].action is None
+    assert plan[1].reason is None and plan[1].audience == "café"
