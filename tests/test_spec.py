@@ -57,3 +57,15 @@ def test_read_schema_is_string_for_mapped():
                         extra_columns=(("age", "LONG"),))
     names = {f.name: f.dataType.simpleString() for f in spec.read_schema()}
     assert names == {"phone": "string", "age": "bigint"}
+
+
+def test_parity_and_mode_options_validated():
+    with pytest.raises(ValueError):
+        AudienceSpec.from_args("file", FILE_MAPPING, "s", include_unmapped=True)
+    with pytest.raises(ValueError):
+        AudienceSpec.from_args("batch", BATCH_MAPPING, "s", read_mode="DROPMALFORMED")
+    with pytest.raises(ValueError):
+        AudienceSpec.from_args("batch", BATCH_MAPPING, "s", null_policy="drop")
+    ok = AudienceSpec.from_args("batch", BATCH_MAPPING, "s", include_unmapped=True,
+                                read_mode="PERMISSIVE", null_policy="literal")
+    assert ok.include_unmapped and ok.read_mode == "PERMISSIVE"
