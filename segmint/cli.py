@@ -11,13 +11,14 @@ Subcommands mirror what the original product's users run:
 
 The session comes from the environment (``SparkSession.builder.getOrCreate``);
 on a cluster its configuration, including ``spark.checkpoint.dir``, is the
-cluster's own.
+cluster's own.  The web UI stays off unless ``SEGMINT_SPARK_UI=1``.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -77,7 +78,11 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--limit", type=int, default=1000)
 
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName(f"segmint-{args.cmd}").getOrCreate()
+    builder = SparkSession.builder.appName(f"segmint-{args.cmd}")
+    if os.environ.get("SEGMINT_SPARK_UI") != "1":
+        # no web UI (and no port) unless asked for
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
     scratch_root(spark)
 
     if args.cmd == "transform":
