@@ -1,10 +1,13 @@
 """The transform job: scan → normalise → hash → long → index → split → keys.
 
-Two passes over the source (the same as any exact size-capped split needs):
-one small aggregate that counts rows per input split and identifier kind,
-and the output pass.  Neither shuffles data rows; the only shuffle is the
-optional one in ``write_*`` that gathers each output part into one task,
-and a part is bounded by the destination cap.
+Two passes (the same as any exact size-capped split needs): one small
+aggregate that counts rows per input split and identifier kind, and the
+output pass.  Neither shuffles data rows; the only shuffle is the one in
+the writers that gathers each output part into one task, and a part is
+bounded by the destination cap.  The lazy functions (``transform_frame``,
+``transform_with_parts``) read the source in both passes; the job path
+(``run_transform``) parses the upload once and serves both passes from
+persisted normalised columns, released after the write.
 """
 
 from __future__ import annotations
