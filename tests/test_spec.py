@@ -69,3 +69,11 @@ def test_parity_and_mode_options_validated():
     ok = AudienceSpec.from_args("batch", BATCH_MAPPING, "s", include_unmapped=True,
                                 read_mode="PERMISSIVE", null_policy="literal")
     assert ok.include_unmapped and ok.read_mode == "PERMISSIVE"
+
+
+def test_upload_name():
+    from segmint.plans.jobs import upload_name
+    assert upload_name("mydata.json") == "mydata"
+    assert upload_name("uploads/2024/list.v2.csv") == "list.v2"
+    assert upload_name(".hidden") == ".hidden"
+    assert upload_name("noext") == "noext"
