@@ -170,9 +170,13 @@ def segment_catalogue(docs: DataFrame) -> DataFrame:
 
 
 def first_by_name(catalogue: DataFrame, value: str) -> DataFrame:
-    """Exact-name look-up table, first listed entry wins (page, position)."""
-    return catalogue.groupBy("name").agg(
-        F.min_by(value, F.struct("page", "position")).alias(value))
+    """Exact-name look-up table, first listed entry wins (page, position).
+
+    Listing order as one long, ``page << 31 | position`` (a position is an
+    array index, below 2^31), keeps the aggregate hash-based.
+    """
+    order = F.shiftleft(F.col("page").cast("long"), 31) + F.col("position")
+    return catalogue.groupBy("name").agg(F.min_by(value, order).alias(value))
 
 
 def audience_lookup(catalogue: DataFrame) -> DataFrame:
