@@ -23,3 +23,22 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() == 3
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_nfkd_query_against_brute_force(spark):
+    """The rows-only NFKD query equals Python's unicodedata on whole texts."""
+    import hashlib
+    import unicodedata
+
+    import pyarrow.parquet as pq
+
+    from .conftest import SF_SMALL
+    docs = pq.read_table(f"{SF_SMALL}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    expect = {}
+    for d in docs:
+        t = unicodedata.normalize("NFKD", d["text"]) if d["text"] is not None else None
+        expect[d["doc_id"]] = (hashlib.sha256(t.encode()).hexdigest() if t is not None else None,
+                               len(t) if t is not None else None)
+    got = {r.doc_id: (r.text_sha256, r.n_chars_nfkd)
+           for r in QUERIES["nfkd"](spark, SF_SMALL).collect()}
+    assert got == expect
