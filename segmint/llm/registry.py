@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmint.llm import exact_dedup, packing, token_counts
+from segmint.llm import chat_format, exact_dedup, near_dedup, packing, quality_pu, token_counts
 from segmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,37 @@ def op5_token_counts(spark, sf_dir):
                                      public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op6_prefix_target", r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+     e AS (SELECT *, length(regexp_replace(role, '(</?s>|\[/?(ROLE|INST)\])', '\\\1', 'g'))
+                   + length(regexp_replace(text, '(</?s>|\[/?(ROLE|INST)\])', '\\\1', 'g')) + 24 AS chars FROM c),
+     w AS (SELECT *, row_number() OVER o AS k, sum(chars) OVER (o ROWS UNBOUNDED PRECEDING) AS upto,
+                  count(*) OVER (PARTITION BY conv_id) AS n
+           FROM e WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(upto) FILTER (role = 'assistant' OR k = n)::BIGINT AS formatted_chars
+FROM w GROUP BY conv_id
+""")
+def op6_prefix_target(spark, sf_dir):
+    """All conversations, and one made of control strings, formatted and read back."""
+    control = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                 F.lit(control).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat_format.digest(chat_format.expand(turns))
+
+
+@query("op7_minhash")
+def op7_minhash(spark, sf_dir):
+    """Near-duplicate components of all documents."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op9_block_naming", r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
      g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
@@ -47,3 +78,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 def op9_block_naming(spark, sf_dir):
     """Exact copies of every document by recursive block names."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_pu")
+def op10_quality_pu(spark, sf_dir):
+    """A score for every document; the model is fitted without the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    weights, _ = quality_pu.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_pu.score(docs, weights)
