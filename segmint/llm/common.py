@@ -32,25 +32,26 @@ def plain_documents(docs: DataFrame) -> DataFrame:
 
 
 def join_unique(rows: DataFrame, unique: DataFrame, key: str, freq: str, scatter: list[Column],
-                hot_min: int = HOT_MIN, hot_keys: int = HOT_KEYS) -> DataFrame:
-    """Left join of ``rows`` to ``unique`` (one row per string ``key``) that no hot key can skew.
+                matched: bool = False, hot_min: int = HOT_MIN, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """Left join of ``rows`` to ``unique`` (one row per ``key``) that no hot key can skew.
 
     ``unique[freq]`` says how many rows a key has.  The at most ``hot_keys`` most frequent keys are
     broadcast (bounded by their number; a key beyond them has at most a ``1/hot_keys`` share of all
-    rows), and their rows travel under a scattered stand-in key, without the key itself.  No row is
-    dropped: the two ways give one result.  ``freq`` and ``key`` are not returned.
+    rows), and their rows travel under a scattered stand-in key.  No row is dropped: both ways give one
+    result.  ``matched`` keeps only rows that have a partner.  ``freq`` and ``key`` are not returned.
     """
+    kind = rows.schema[key].dataType
     values = [c for c in unique.columns if c not in (key, freq)]
     hot = (unique.filter(F.col(freq) >= hot_min).orderBy(F.col(freq).desc(), key).limit(hot_keys)
            .select(key, F.struct(*values).alias("_hot")))
-    one = rows.join(F.broadcast(hot), key, "left")
-    stand_in = F.concat(F.lit("h"), F.xxhash64(*scatter).cast("string"))
-    one = one.withColumn(key, F.when(F.col("_hot").isNull(), F.concat(F.lit("k"), F.col(key)))
-                         .otherwise(stand_in))
-    rest = unique.select(F.concat(F.lit("k"), F.col(key)).alias(key), F.struct(*values).alias("_rest"))
+    one = rows.join(F.broadcast(hot), key, "left").withColumn("_is_hot", F.col("_hot").isNotNull())
+    one = one.withColumn(key, F.when(F.col("_is_hot"), F.xxhash64(*scatter).cast(kind)).otherwise(F.col(key)))
+    rest = unique.select(key, F.struct(*values).alias("_rest"), F.lit(False).alias("_is_hot"))
+    both = one.join(rest, [key, "_is_hot"], "left")
     got = F.coalesce("_hot", "_rest")
-    return (one.join(rest, key, "left").drop(key)
-            .select(*[c for c in rows.columns if c != key], *[got[v].alias(v) for v in values]))
+    if matched:
+        both = both.filter(got.isNotNull())
+    return both.select(*[c for c in rows.columns if c != key], *[got[v].alias(v) for v in values])
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

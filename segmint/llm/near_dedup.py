@@ -143,10 +143,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                .agg(F.count(F.lit(1)).alias("freq"), F.min_by("vid", spread).alias("c1"),
                     F.min_by("vid", F.xxhash64("vid", "key")).alias("c2"))
                .filter("freq > 1").withColumn("c2", F.when(F.pmod("key", F.lit(4)) == 0, F.col("c2"))))
-    shared = written(join_unique(in_bucket.select("vid", F.col("key").alias("bucket"),
-                                                  F.col("key").cast("string").alias("key")),
-                                 centres.withColumn("key", F.col("key").cast("string")),
-                                 "key", "freq", [F.col("vid")]).filter("c1 is not null"), "buckets")
+    shared = written(join_unique(in_bucket.withColumn("bucket", F.col("key")), centres, "key", "freq",
+                                 [F.col("vid"), F.col("key")], matched=True), "buckets")
     stars = (shared.select("vid", F.explode(F.array("c1", "c2")).alias("c"))
              .filter("vid <> c")
              .select(F.least("vid", "c").alias("a"), F.greatest("vid", "c").alias("b")).distinct())

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmint.llm import chat_format, exact_dedup, near_dedup, packing, quality_pu, token_counts
+from segmint.llm import (chat_format, decontaminate, exact_dedup, near_dedup, packing, pii_surrogates,
+                         quality_pu, substring_dedup, token_counts, url_filter)
 from segmint.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,13 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op1_pii_surrogates")
+def op1_pii_surrogates(spark, sf_dir):
+    """Every document with its personal data replaced."""
+    docs = table(spark, sf_dir, "documents")
+    return pii_surrogates.replace_pii(docs, b"a key for tests; a real one comes from a secret store")
+
+
 @query("op2_packing")
 def op2_packing(spark, sf_dir):
     """All documents as unpadded power-of-two sequences."""
@@ -32,6 +40,18 @@ def op2_packing(spark, sf_dir):
                     "sequence_id", "offset", "bucket")
 
 
+@query("op3_compact_windows")
+def op3_compact_windows(spark, sf_dir):
+    """Every passage of 50 words and more that a document shares with another, linked to a source."""
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op4_url_words")
+def op4_url_words(spark, sf_dir):
+    """A verdict for the url of every page."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark, sf_dir):
     """Tokens of every document by rank-synchronous merging."""
@@ -70,6 +90,12 @@ def op7_minhash(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op8_cgk_decontamination")
+def op8_cgk_decontamination(spark, sf_dir):
+    """Every benchmark item that a document contains, up to a tenth of edits."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op9_block_naming", r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
      g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
