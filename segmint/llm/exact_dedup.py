@@ -41,8 +41,9 @@ def named(rows: DataFrame, scatter: list[str]) -> DataFrame:
     # a stand-in is longer than any key, so it meets none
     stand_in = F.rpad(F.xxhash64(*scatter).cast("string"), BLOCK + 1, "#")
     one = one.withColumn("k", F.when(F.col("hot").isNull(), F.col("k")).otherwise(stand_in))
-    return (one.join(names.select("k", "name"), "k", "left").drop("k")
-            .withColumn("name", F.coalesce("hot", "name")).drop("hot"))
+    # freq is read here too, so that both uses of ``distinct`` share one shuffle
+    named_or_hot = F.coalesce("hot", F.when(F.col("freq").isNotNull(), F.col("name")))
+    return one.join(names, "k", "left").withColumn("name", named_or_hot).drop("k", "hot", "freq")
 
 
 def identities(docs: DataFrame) -> DataFrame:
