@@ -80,22 +80,33 @@ def identities(docs: DataFrame) -> DataFrame:
     return out
 
 
-def exact_dedup(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 (see the module)."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, sha, copies, keep_id, group_size) of each distinct id and text."""
     ids = identities(docs).withColumn("key", F.concat_ws(":", "level", "name"))
     groups = ids.groupBy("key").agg(F.min("doc_id").alias("keep_id"),
                                     F.sum("copies").alias("group_size"),
                                     F.count(F.lit(1)).alias("freq"))
-    # every copy of the smallest id has the same key but may differ as raw text: the hash breaks ties
     rows = join_unique(ids, groups, "key", "freq", [F.col("doc_id"), F.col("sha")])
-    return (rows.select("doc_id", "keep_id", "group_size", F.lower(F.hex("sha")).alias("text_sha256"),
-                        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
-            .select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
-                    (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-                    "text_sha256"))
+    return rows.select("doc_id", "sha", "copies", "keep_id", F.col("group_size").cast("long").alias("group_size"))
+
+
+def exact_dedup(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 (see the module)."""
+    rows = grouped(docs).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return rows.select("doc_id", "keep_id", "group_size",
+                       (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
+                       F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text an earlier row has; all columns stay."""
-    dropped = exact_dedup(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    """``docs`` without the rows whose text another row keeps; all columns stay."""
+    found = written(grouped(docs), "groups")
+    sha = F.unhex(F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), RUN, " "), 256))
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
+        F.col("doc_id").alias("_id"), F.col("sha").alias("_gone"))
+    out = docs.withColumn("_sha", sha)
+    out = out.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_gone")),
+                   "left_anti")
+    if not found.filter("copies > 1").isEmpty():  # fully equal rows, else there is nothing to drop
+        out = out.dropDuplicates(["doc_id", "_sha"])
+    return out.drop("_sha")
