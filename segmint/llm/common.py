@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,30 @@ HOT_MIN = 1000
 HOT_KEYS = 256
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application (like ``--py-files``).
+
+    Workers import it by name, so what a worker has remembered (vocabularies, encoded words) outlives a task.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if not package.endswith(".zip") and os.path.isdir(package):
+        out = os.path.join(tempfile.mkdtemp(prefix="segmint-py-"), "segmint_package.zip")
+        with zipfile.ZipFile(out, "w") as z:
+            for folder, _, names in os.walk(package):
+                for n in sorted(names):
+                    if n.endswith(".py"):
+                        path = os.path.join(folder, n)
+                        z.write(path, os.path.join(os.path.basename(package), os.path.relpath(path, package)))
+        spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from segmint.llm import (chat_format, decontaminate, exact_dedup, near_dedup, packing, pii_surrogates,
                          quality_pu, substring_dedup, token_counts, url_filter)
-from segmint.llm.common import table
+from segmint.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,7 +19,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            ship(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if oracle:
             ORACLE[name] = oracle
         return fn
