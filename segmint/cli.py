@@ -22,6 +22,7 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .plans.jobs import run_transform_job
 from .session import scratch_root
@@ -29,8 +30,9 @@ from .sources import discovery as D
 from .streaming.activation_stream import start_activation_stream
 
 
-def _show(df, limit: int) -> None:
-    for row in df.limit(limit).toLocalIterator():
+def _show(df, limit: int | None = None) -> None:
+    """All rows, one partition at a time; fewer only if the user asks for a limit."""
+    for row in (df if limit is None else df.limit(limit)).toLocalIterator():
         print(json.dumps(row.asDict(recursive=True), default=str))
 
 
@@ -59,6 +61,9 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--segments", required=True, help="segment catalogue docs (JSON)")
     a.add_argument("--out", required=True, help="folder for outbox/dead_letter/payload")
     a.add_argument("--checkpoint", required=True)
+    for name, what in (("bucket-prefix", "bucket names start with this"), ("key-prefix", "keys start with this"),
+                       ("account", "only this account's events"), ("region", "only this region's events")):
+        a.add_argument(f"--{name}", help=what)
     a.add_argument("--files-root", help="where object keys resolve to files")
     a.add_argument("--max-files-per-trigger", type=int, default=1)
     a.add_argument("--continuous", action="store_true", help="keep running (30 s trigger)")
@@ -69,13 +74,13 @@ def main(argv: list[str] | None = None) -> int:
 
     ls = sub.add_parser("list", help="object listing")
     ls.add_argument("--root", required=True)
-    ls.add_argument("--limit", type=int, default=1000)
+    ls.add_argument("--limit", type=int, help="only so many (default: all)")
     ls.add_argument("--sort", choices=("key", "date", "size"), default="key")
     ls.add_argument("--key", help="metadata of this one object only")
 
     r = sub.add_parser("runs", help="run history")
     r.add_argument("--path", required=True)
-    r.add_argument("--limit", type=int, default=1000)
+    r.add_argument("--limit", type=int, help="only the newest so many (default: all)")
 
     args = ap.parse_args(argv)
     builder = SparkSession.builder.appName(f"segmint-{args.cmd}")
@@ -95,25 +100,33 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"JobRunId": run["Id"], "JobRunState": run["JobRunState"],
                           "n_parts": run.get("n_parts")}))
     elif args.cmd == "activate":
-        from .operators.activation import audience_catalogue, segment_catalogue
-        aud = audience_catalogue(spark.read.text(args.audiences))
-        seg = segment_catalogue(spark.read.text(args.segments))
+        from .operators.activation import EventRule, audience_catalogue, segment_catalogue
+        given = {k: getattr(args, k) for k in ("bucket_prefix", "key_prefix", "account", "region")
+                 if getattr(args, k) is not None}
+
+        # read again for every micro-batch
+        def aud():
+            return audience_catalogue(spark.read.text(args.audiences))
+
+        def seg():
+            return segment_catalogue(spark.read.text(args.segments))
+
         q = start_activation_stream(spark, args.queue, aud, seg, args.out, args.checkpoint,
                                     max_files_per_trigger=args.max_files_per_trigger,
                                     available_now=not args.continuous,
-                                    files_root=args.files_root)
+                                    files_root=args.files_root, rule=EventRule(**given))
         q.awaitTermination()
     elif args.cmd == "columns":
         df = (D.discover_columns_json(spark, args.path) if args.format == "JSON"
               else D.discover_columns_csv(spark, args.path))
-        _show(df.orderBy("column_name"), 100_000)
+        _show(df.orderBy("column_name"))
     elif args.cmd == "list":
         if args.key:
             _show(D.object_metadata(spark, args.root, args.key), 1)
         else:
             _show(D.sorted_manifest(D.file_manifest(spark, args.root), args.sort), args.limit)
     elif args.cmd == "runs":
-        _show(D.job_runs(spark, args.path).orderBy("StartedOn"), args.limit)
+        _show(D.job_runs(spark, args.path).orderBy(F.desc("StartedOn"), "Id"), args.limit)
     return 0
 
 

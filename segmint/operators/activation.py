@@ -9,12 +9,13 @@ table while the rest go to the outbox.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import base_name, decode_key, dir_part
-from .lookup import join_small
 
 # --- fixed values: event pattern, supported identifier types ----------------
 EVENT_SOURCE = "aws.s3"
@@ -33,6 +34,29 @@ MSG_SENT = "Users sent to segment %s"
 MSG_ERROR = "ERROR %s for key %s"
 # ---------------------------------------------------------------------------
 
+
+@dataclass(frozen=True)
+class EventRule:
+    """Which notifications concern the product; account and region are checked only when given."""
+
+    source: str = EVENT_SOURCE
+    detail_type: str = EVENT_DETAIL_TYPE
+    bucket_prefix: str = BUCKET_PREFIX
+    key_prefix: str = KEY_PREFIX
+    account: str | None = None
+    region: str | None = None
+
+    def fits(self) -> Column:
+        """True or false for each parsed record, never null."""
+        cond = ((F.col("source") == self.source) & (F.col("detail_type") == self.detail_type)
+                & F.col("bucket").startswith(self.bucket_prefix)
+                & F.col("object_key").startswith(self.key_prefix))
+        for name, value in (("account", self.account), ("region", self.region)):
+            if value is not None:
+                cond = cond & (F.col(name) == value)
+        return F.coalesce(cond, F.lit(False))
+
+
 QUEUE_SCHEMA = T.StructType([
     T.StructField("messageId", T.StringType()),
     T.StructField("body", T.StringType()),
@@ -43,18 +67,24 @@ BODY_SCHEMA = T.StructType([
     T.StructField("detail-type", T.StringType()),
     T.StructField("source", T.StringType()),
     T.StructField("time", T.StringType()),
+    T.StructField("account", T.StringType()),
+    T.StructField("region", T.StringType()),
     T.StructField("detail", T.StructType([
         T.StructField("bucket", T.StructType([T.StructField("name", T.StringType())])),
         T.StructField("object", T.StructType([
             T.StructField("key", T.StringType()),
             T.StructField("size", T.LongType()),
+            T.StructField("etag", T.StringType()),
         ])),
     ])),
 ])
 
 
 def parse_records(queue: DataFrame, with_time: bool = False) -> DataFrame:
-    """Queue records → flat notification columns (bad JSON → null fields).
+    """Queue records → flat notification columns.
+
+    ``malformed`` marks a body that is no notification (no JSON, or without
+    source, type, bucket or key); its other columns may be null.
 
     The body is parsed inside ``inline_outer`` of a one-element array: a
     Generate is a boundary filters are not pushed through, so the event
@@ -71,19 +101,22 @@ def parse_records(queue: DataFrame, with_time: bool = False) -> DataFrame:
         F.col("detail.bucket.name").alias("bucket"),
         F.col("detail.object.key").alias("object_key"),
         F.col("detail.object.size").alias("size"),
+        "account", "region",
+        F.col("detail.object.etag").alias("etag"),
     ]
     if with_time:
         cols.append(F.to_timestamp("time").alias("event_time"))
-    return flat.select(*cols)
+    out = flat.select(*cols)
+    needed = ("source", "detail_type", "bucket", "object_key")
+    lacking = F.col(needed[0]).isNull()
+    for c in needed[1:]:
+        lacking = lacking | F.col(c).isNull()
+    return out.withColumn("malformed", lacking)
 
 
-def event_filter(df: DataFrame, source: str = EVENT_SOURCE,
-                 detail_type: str = EVENT_DETAIL_TYPE, bucket_prefix: str = BUCKET_PREFIX,
-                 key_prefix: str = KEY_PREFIX) -> DataFrame:
+def event_filter(df: DataFrame, rule: EventRule = EventRule()) -> DataFrame:
     """The rule in front of the queue: created objects under ``output/``."""
-    return df.where((F.col("source") == source) & (F.col("detail_type") == detail_type)
-                    & F.col("bucket").startswith(bucket_prefix)
-                    & F.col("object_key").startswith(key_prefix))
+    return df.where(rule.fits())
 
 
 def route_key(df: DataFrame) -> DataFrame:
@@ -112,7 +145,8 @@ def route_reasons(df: DataFrame) -> DataFrame:
     """Per-record checks; ``reason`` is null for a routable record."""
     is_file = F.col("profile") == "file"
     ctype = F.when(is_file, calculate_type(F.col("type_dir")))
-    reason = (F.when(F.col("key").isNull(), F.lit("UNDECODABLE_KEY"))
+    reason = (F.when(F.col("malformed"), F.lit("BAD_BODY"))
+              .when(F.col("key").isNull(), F.lit("UNDECODABLE_KEY"))
               .when(F.col("audience").isNull() | (F.col("audience") == ""), F.lit("BAD_KEY"))
               .when(~F.col("profile").isin("file", "batch"), F.lit("UNKNOWN_PROFILE"))
               .when(is_file & F.col("type_dir").isNull(), F.lit("BAD_KEY"))
@@ -128,7 +162,7 @@ AUDIENCE_PAGE_SCHEMA = T.StructType([
     T.StructField("data", T.StructType([
         T.StructField("list", T.ArrayType(T.StructType([
             T.StructField("name", T.StringType()),
-            T.StructField("audience_id", T.LongType())]))),
+            T.StructField("audience_id", T.StringType())]))),
         T.StructField("page_info", T.StructType([
             T.StructField("page", T.LongType()),
             T.StructField("total_page", T.LongType())])),
@@ -141,17 +175,21 @@ SEGMENT_PAGE_SCHEMA = T.StructType([
     T.StructField("segments", T.ArrayType(T.StructType([
         T.StructField("sub_request_status", T.StringType()),
         T.StructField("segment", T.StructType([
-            T.StructField("id", T.LongType()),
+            T.StructField("id", T.StringType()),
             T.StructField("name", T.StringType())])),
     ]))),
 ])
 
 
 def audience_catalogue(pages: DataFrame) -> DataFrame:
-    """List responses (one JSON doc per page) → (name, audience_id, page, position)."""
+    """List responses (one JSON doc per page) → (name, audience_id, page, position).
+
+    Ids are text (a destination may quote them); a response without page
+    information is the first page.
+    """
     doc = pages.select(F.from_json("value", AUDIENCE_PAGE_SCHEMA).alias("d"))
     return (doc.where(F.col("d.code") == 0)
-            .select(F.col("d.data.page_info.page").alias("page"),
+            .select(F.coalesce("d.data.page_info.page", F.lit(0).cast("long")).alias("page"),
                     F.posexplode_outer("d.data.list").alias("position", "item"))
             .where(F.col("item").isNotNull())
             .select(F.col("item.name").alias("name"),
@@ -162,7 +200,7 @@ def audience_catalogue(pages: DataFrame) -> DataFrame:
 def segment_catalogue(docs: DataFrame) -> DataFrame:
     """Segment responses → (name, id, page, position)."""
     d = docs.select(F.from_json("value", SEGMENT_PAGE_SCHEMA).alias("d"))
-    return (d.select(F.col("d.page").alias("page"),
+    return (d.select(F.coalesce("d.page", F.lit(0).cast("long")).alias("page"),
                      F.posexplode_outer("d.segments").alias("position", "s"))
             .where(F.col("s").isNotNull())
             .select(F.col("s.segment.name").alias("name"), F.col("s.segment.id").alias("id"),
@@ -175,7 +213,7 @@ def first_by_name(catalogue: DataFrame, value: str) -> DataFrame:
     Listing order as one long, ``page << 31 | position`` (a position is an
     array index, below 2^31), keeps the aggregate hash-based.
     """
-    order = F.shiftleft(F.col("page").cast("long"), 31) + F.col("position")
+    order = F.shiftleft(F.coalesce(F.col("page"), F.lit(0)).cast("long"), 31) + F.col("position")
     return catalogue.groupBy("name").agg(F.min_by(value, order).alias(value))
 
 
@@ -194,12 +232,11 @@ def resolve_audience(routed: DataFrame, catalogue: DataFrame | None = None,
                      lookup: DataFrame | None = None) -> DataFrame:
     """Attach ``audience_id`` (null when the audience does not exist yet).
 
-    Pass ``lookup`` (from ``audience_lookup``, already size-checked and
-    possibly broadcast-hinted) to skip re-deriving it, e.g. per micro-batch.
+    Pass ``lookup`` (from ``audience_lookup``) to skip re-deriving it, e.g. per micro-batch.
     """
     if lookup is not None:
         return routed.join(lookup, "audience", "left")
-    return join_small(routed, audience_lookup(catalogue), "audience", how="left")
+    return routed.join(audience_lookup(catalogue), "audience", "left")
 
 
 def resolve_segment(routed: DataFrame, catalogue: DataFrame | None = None,
@@ -208,32 +245,47 @@ def resolve_segment(routed: DataFrame, catalogue: DataFrame | None = None,
     if lookup is not None:
         out = routed.join(lookup, "audience", "left")
     else:
-        out = join_small(routed, segment_lookup(catalogue), "audience", how="left")
-    return out.withColumn("segment_id", F.coalesce("segment_id", F.lit(0).cast("long")))
+        out = routed.join(segment_lookup(catalogue), "audience", "left")
+    kind = out.schema["segment_id"].dataType
+    return out.withColumn("segment_id", F.coalesce("segment_id", F.lit("0").cast(kind)))
 
 
 def plan_activation(records: DataFrame, audiences: DataFrame | None = None,
                     segments: DataFrame | None = None,
-                    lookups: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                    lookups: tuple[DataFrame, DataFrame] | None = None,
+                    rule: EventRule = EventRule(),
+                    created: DataFrame | None = None) -> DataFrame:
     """Filter, route, resolve and decide per record.
 
     Output columns: message_id, bucket, key, file_name, profile, audience,
     calculate_type, audience_id, segment_id, action, reason, size.  ``action`` is
     APPEND / CREATE (file profile) or ADD_USERS (batch); ``reason`` is set
-    for records that go to the dead-letter table.
+    for records that go to the dead-letter table; a malformed body goes there
+    as ``BAD_BODY``, whatever the rule.
+
+    An audience that the catalogue does not list is created once, by its
+    first record (smallest message id); its other records append to it.
+    ``created(audience)`` names audiences that an earlier batch created.
     """
-    routed = route_reasons(route_key(event_filter(records)))
+    routed = route_reasons(route_key(records.where(rule.fits() | F.col("malformed"))))
     aud_lk, seg_lk = lookups if lookups is not None else (None, None)
     with_aud = resolve_audience(routed, audiences, aud_lk)
     with_seg = resolve_segment(with_aud, segments, seg_lk)
     is_file = F.col("profile") == "file"
     reason = F.coalesce(F.col("reason"), F.when(
-        ~is_file & (F.col("segment_id") == 0), F.lit("SEGMENT_NOT_FOUND")))
+        ~is_file & (F.col("segment_id").cast("string") == "0"), F.lit("SEGMENT_NOT_FOUND")))
+    unlisted = routed.where(is_file & F.col("reason").isNull())
+    # one row per audience: a minimum, combined before the shuffle
+    first = unlisted.groupBy("audience").agg(
+        F.min(F.struct("message_id", "key")).alias("__first"))
+    if created is not None:
+        first = first.join(created.select("audience").distinct(), "audience", "left_anti")
+    is_first = F.struct("message_id", "key").eqNullSafe(F.col("__first"))
     action = (F.when(reason.isNotNull(), F.lit(None).cast("string"))
-              .when(is_file & F.col("audience_id").isNotNull(), F.lit("APPEND"))
-              .when(is_file, F.lit("CREATE"))
+              .when(is_file & F.col("audience_id").isNull() & is_first, F.lit("CREATE"))
+              .when(is_file, F.lit("APPEND"))
               .otherwise(F.lit("ADD_USERS")))
-    return with_seg.select(
+    return with_seg.join(first, "audience", "left").select(
         "message_id", "bucket", "key", "file_name", "profile", "audience", "calculate_type",
         F.when(is_file, F.col("audience_id")).alias("audience_id"),
         F.when(~is_file, F.col("segment_id")).alias("segment_id"),
@@ -253,6 +305,6 @@ def status_message(plan: DataFrame) -> DataFrame:
     msg = (F.when(F.col("action") == "APPEND", F.format_string(MSG_UPDATED, F.col("audience")))
            .when(F.col("action") == "CREATE", F.format_string(MSG_CREATED, F.col("audience")))
            .when(F.col("action") == "ADD_USERS", F.format_string(MSG_SENT, F.col("audience")))
-           .otherwise(F.format_string(MSG_ERROR, F.col("reason"), F.col("key"))))
+           .otherwise(F.format_string(MSG_ERROR, F.col("reason"), F.coalesce("key", F.lit("")))))
     code = F.when(F.col("reason").isNull(), F.lit(200)).otherwise(F.lit(400))
     return plan.select("message_id", code.alias("status_code"), msg.alias("message"))

@@ -92,11 +92,9 @@ def delivery_requests(adds: DataFrame, hash_rows: DataFrame) -> DataFrame:
     ``adds``: outbox rows with action ADD_USERS (``key``, ``audience``,
     ``segment_id``), bounded by the micro-batch; ``hash_rows``: the rows of
     the files those records name (``key``, ``row_id``, ``schema``, ``hash``).
-    The record side is joined by broadcast after a size check; each request
-    is bounded by the part cap, as the file is.
+    Each request is bounded by the part cap, as the file is.
     """
-    from .lookup import join_small
-    rows = join_small(hash_rows, adds.select("key", "audience", "segment_id"), "key")
+    rows = hash_rows.join(adds.select("key", "audience", "segment_id"), "key")
     grouped = (rows.withColumn("send_order", schema_send_order())
                .where(F.col("send_order").isNotNull())
                .groupBy("key", "audience", "segment_id", "send_order", "schema")

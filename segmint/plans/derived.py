@@ -116,9 +116,13 @@ NOTIFICATION_BASE = [
     "concat('part-', lpad(CAST(event_id AS STRING), 8, '0')) AS stem",
     "value",
     "CAST(round(value * 1000) AS BIGINT) AS size",
+    "CASE WHEN user_id % 11 = 5 THEN '210987654321' ELSE '123456789012' END AS account",
+    "CASE WHEN user_id % 13 = 4 THEN 'eu-west-1' ELSE 'us-east-1' END AS region",
+    # some bodies arrive cut off
+    "event_id % 61 = 7 AS broken",
 ]
 NOTIFICATION_KEYS = [
-    "message_id", "event_time", "bucket", "detail_type", "source", "size",
+    "message_id", "event_time", "bucket", "detail_type", "source", "size", "account", "region", "broken",
     ("CASE WHEN value > 150 THEN concat('transform_tmp/', type_dir, '/', stem, '.csv') "
      "WHEN value < 1 THEN concat('output/', stem, '.csv') "
      "WHEN profile = 'file' THEN concat('output/file/', replace(audience, ' ', '+'), '/', type_dir, '/', stem, '.csv') "
@@ -128,9 +132,12 @@ NOTIFICATION_KEYS = [
 
 
 def notifications_sql() -> str:
-    """DuckDB text of the flat notifications table."""
+    """DuckDB text of the flat notifications table, as a reader of the queue sees it."""
     inner = "SELECT " + ", ".join(NOTIFICATION_BASE) + " FROM events"
-    return "SELECT " + ", ".join(NOTIFICATION_KEYS) + f" FROM ({inner}) nb"
+    flat = "SELECT " + ", ".join(NOTIFICATION_KEYS) + f" FROM ({inner}) nb"
+    seen = [f"CASE WHEN NOT broken THEN {c} END AS {c}" for c in
+            ("bucket", "detail_type", "source", "size", "account", "region", "object_key")]
+    return f"SELECT message_id, event_time, {', '.join(seen)} FROM ({flat}) nk"
 
 
 def notifications_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,20 +153,25 @@ def queue_records(flat: DataFrame) -> DataFrame:
         F.col("detail_type").alias("detail-type"),
         F.col("source").alias("source"),
         F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
+        *[F.col(c) for c in ("account", "region") if c in flat.columns],
         F.struct(F.struct(F.col("bucket").alias("name")).alias("bucket"),
-                 F.struct(F.col("object_key").alias("key"), F.col("size").alias("size"))
+                 F.struct(F.col("object_key").alias("key"), F.col("size").alias("size"),
+                          F.md5(F.concat_ws("/", "object_key", "message_id")).alias("etag"))
                  .alias("object")).alias("detail"),
     )
-    return flat.select(F.col("message_id").cast("string").alias("messageId"),
-                       F.to_json(body).alias("body"))
+    text = F.to_json(body)
+    if "broken" in flat.columns:
+        # ends in the middle of the document
+        text = F.when(F.col("broken"), F.concat(F.lit("{"), F.col("message_id").cast("string"))).otherwise(text)
+    return flat.select(F.col("message_id").cast("string").alias("messageId"), text.alias("body"))
 
 
-def queue_dir(spark: SparkSession, sf_dir: str, n_files: int = 8) -> str:
+def queue_dir(spark: SparkSession, sf_dir: str) -> str:
     """Queue records as JSON-lines files (several files, ordered by id)."""
     def build() -> str:
         path = scratch_path(spark, "derived", "queue")
         (queue_records(notifications_frame(spark, sf_dir))
-         .repartitionByRange(n_files, F.col("messageId").cast("long"))
+         .repartitionByRange(F.col("messageId").cast("long"))
          .sortWithinPartitions(F.col("messageId").cast("long"))
          .write.json(path))
         return path
@@ -170,7 +182,7 @@ def queue_dir(spark: SparkSession, sf_dir: str, n_files: int = 8) -> str:
 # repeat at larger scale, so "first listed wins" matters.
 AUDIENCE_CATALOGUE = [
     "concat('Audience ', CAST((s_suppkey * 7) % 160 AS STRING)) AS name",
-    "7000000 + s_suppkey AS audience_id",
+    "CAST(7000000 + s_suppkey AS STRING) AS audience_id",
     "CAST(floor(s_suppkey / 100) AS BIGINT) + 1 AS page",
     "CAST(s_suppkey % 100 AS BIGINT) AS position",
 ]
@@ -208,7 +220,7 @@ def audience_pages_dir(spark: SparkSession, sf_dir: str) -> str:
 # Destination segment catalogue (batch profile), one row per part.
 SEGMENT_CATALOGUE = [
     "concat('Audience ', CAST((p_partkey * 11) % 170 AS STRING)) AS name",
-    "900000 + p_partkey AS id",
+    "CAST(900000 + p_partkey AS STRING) AS id",
     "CAST(floor(p_partkey / 1000) AS BIGINT) AS page",
     "CAST(p_partkey % 1000 AS BIGINT) AS position",
 ]
@@ -227,7 +239,8 @@ def segment_pages_dir(spark: SparkSession, sf_dir: str) -> str:
             F.struct("position", "name", "id"))).alias("items"))
         doc = docs.select(F.to_json(F.struct(
             F.lit("SUCCESS").alias("request_status"),
-            F.col("page").alias("page"),
+            # a first response may come without page information
+            F.when(F.col("page") > 0, F.col("page")).alias("page"),
             F.transform("items", lambda x: F.struct(
                 F.lit("SUCCESS").alias("sub_request_status"),
                 F.struct(x["id"].alias("id"), x["name"].alias("name")).alias("segment")))

@@ -114,3 +114,21 @@ def file_split_sql(cap: int, segment: str = "contacts",
         "CAST(length(CAST(n_parts AS VARCHAR)) AS INTEGER), '0') ELSE '' END, '.csv') AS object_key "
         "FROM q"
     )
+
+
+# --- NFKD in DuckDB -----------------------------------------------------------
+# Letters and signs of these ranges, as a table made from the Unicode data; texts
+# with other decomposable code points, or with marks to reorder, need the UDF.
+NFKD_RANGES = ((0x00A0, 0x0180), (0x2000, 0x2010), (0xFB00, 0xFB07), (0xFF01, 0xFF5F))
+
+
+def nfkd_sql(column: str) -> str:
+    """NFKD of ``column`` for code points of ``NFKD_RANGES``: one ``replace`` per code point."""
+    import unicodedata
+    out = column
+    for low, high in NFKD_RANGES:
+        for cp in range(low, high):
+            form = unicodedata.normalize("NFKD", chr(cp))
+            if form != chr(cp):
+                out = f"replace({out}, chr({cp}), '{form.replace(chr(39), chr(39) * 2)}')"
+    return out

@@ -37,7 +37,7 @@ from .derived import (audience_catalogue_sql, audience_pages_dir, contacts_csv,
                       contacts_jsonl, job_runs_dir, job_runs_sql, notifications_frame,
                       notifications_sql, queue_dir, queue_records, segment_catalogue_sql,
                       segment_pages_dir)
-from .transform import (hash_wide, hashed_long, normalize_all, transform_frame,
+from .transform import (hash_wide, hashed_unpivot, normalize_all, transform_frame,
                         transform_with_parts)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,7 +174,8 @@ def q_null_policy(spark, sf_dir):
     return hash_wide(audience_scan(spark, sf_dir, LITERAL_SPEC), LITERAL_SPEC)
 
 
-@register("nfkd")
+@register("nfkd", "SELECT doc_id, sha256(t) AS text_sha256, CAST(length(t) AS BIGINT) AS n_chars_nfkd "
+          f"FROM (SELECT doc_id, {O.nfkd_sql('text')} AS t FROM documents)")
 def q_nfkd(spark, sf_dir):
     """NFKD of every document's whole text (hash + length of the result)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", nfkd(F.col("text")).alias("t"))
@@ -239,7 +240,7 @@ def q_hash_wide(spark, sf_dir):
           f"SELECT schema, hash, '{SEGMENT}' AS segment_name FROM l")
 def q_melt_hashes(spark, sf_dir):
     """R1+P6: wide → long (schema, hash) plus the constant segment name."""
-    long = hashed_long(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC)
+    long = hashed_unpivot(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC)
     return long.select("schema", "hash", F.lit(SEGMENT).alias("segment_name"))
 
 
@@ -247,7 +248,7 @@ def q_melt_hashes(spark, sf_dir):
           f"SELECT '{SEGMENT}' AS segment_name, schema, count(*) AS n_hashes FROM l GROUP BY schema")
 def q_schema_counts(spark, sf_dir):
     """A1+A2: rows per identifier kind in the long table (flagship)."""
-    long = hashed_long(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC)
+    long = hashed_unpivot(audience_scan(spark, sf_dir, BATCH_SPEC), BATCH_SPEC)
     return (long.groupBy("schema").agg(F.count(F.lit(1)).alias("n_hashes"))
             .select(F.lit(SEGMENT).alias("segment_name"), "schema", "n_hashes"))
 
@@ -301,7 +302,7 @@ def q_output_keys(spark, sf_dir):
     "FROM l GROUP BY schema"))
 def q_output_size(spark, sf_dir):
     """K4: bytes each identifier file would take, without a trial write."""
-    long = hashed_long(audience_scan(spark, sf_dir, FILE_SPEC), FILE_SPEC)
+    long = hashed_unpivot(audience_scan(spark, sf_dir, FILE_SPEC), FILE_SPEC)
     size = F.sum(F.octet_length("hash") + 1)
     return long.groupBy("schema").agg(
         F.count(F.lit(1)).alias("n_rows"), size.cast("long").alias("n_bytes"),
@@ -352,9 +353,13 @@ def q_scan_hash_csv(spark, sf_dir):
 
 
 NOTIF_CTE = f"nt AS ({notifications_sql()})"
+# the rule of a deployment: one account and region, a bucket prefix of its own
+RULE = A.EventRule(account="123456789012", region="us-east-1")
+# rows without a source are malformed bodies
 FILTERED_CTE = (
     f"f AS (SELECT * FROM nt WHERE source = '{A.EVENT_SOURCE}' "
     f"AND detail_type = '{A.EVENT_DETAIL_TYPE}' "
+    f"AND account = '{RULE.account}' AND region = '{RULE.region}' "
     f"AND starts_with(bucket, '{A.BUCKET_PREFIX}') AND starts_with(object_key, '{A.KEY_PREFIX}'))")
 ROUTED_CTE = (
     "r0 AS (SELECT message_id, bucket, object_key, size, url_decode(replace(object_key, '+', ' ')) AS key FROM f), "
@@ -379,15 +384,19 @@ SEG_CTE = (f"sc AS ({segment_catalogue_sql()}), "
            "sl AS (SELECT name, arg_min(id, page * 1000000 + position) AS segment_id "
            "FROM sc GROUP BY name)")
 PLAN_CTE = (
-    "pj AS (SELECT rs.*, al.audience_id AS aid, coalesce(sl.segment_id, 0) AS sid FROM rs "
+    "pj AS (SELECT rs.*, al.audience_id AS aid, coalesce(sl.segment_id, '0') AS sid FROM rs "
     "LEFT JOIN al ON al.name = rs.audience LEFT JOIN sl ON sl.name = rs.audience), "
-    "pr AS (SELECT *, coalesce(reason0, CASE WHEN profile <> 'file' AND sid = 0 "
-    "THEN 'SEGMENT_NOT_FOUND' END) AS reason FROM pj), "
+    "pr AS (SELECT *, coalesce(reason0, CASE WHEN profile <> 'file' AND sid = '0' "
+    "THEN 'SEGMENT_NOT_FOUND' END) AS reason, "
+    "row_number() OVER (PARTITION BY audience, profile = 'file' AND reason0 IS NULL "
+    "ORDER BY message_id) AS nth FROM pj), "
     "plan AS (SELECT message_id, bucket, key, file_name, profile, audience, calculate_type, "
     "CASE WHEN profile = 'file' THEN aid END AS audience_id, "
     "CASE WHEN profile <> 'file' THEN sid END AS segment_id, "
-    "CASE WHEN reason IS NOT NULL THEN NULL WHEN profile = 'file' AND aid IS NOT NULL THEN 'APPEND' "
-    "WHEN profile = 'file' THEN 'CREATE' ELSE 'ADD_USERS' END AS action, reason, size FROM pr)")
+    "CASE WHEN reason IS NOT NULL THEN NULL WHEN profile = 'file' AND aid IS NULL AND nth = 1 THEN 'CREATE' "
+    "WHEN profile = 'file' THEN 'APPEND' ELSE 'ADD_USERS' END AS action, reason, size FROM pr "
+    "UNION ALL SELECT message_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'BAD_BODY', NULL "
+    "FROM nt WHERE source IS NULL)")
 PLAN_WITH = O.with_ctes(NOTIF_CTE, FILTERED_CTE, ROUTED_CTE, REASON_CTE, AUD_CTE, SEG_CTE,
                         PLAN_CTE)
 
@@ -406,28 +415,31 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activation_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.plan_activation(records(spark, sf_dir), audiences(spark, sf_dir),
-                             segments(spark, sf_dir))
+                             segments(spark, sf_dir), rule=RULE)
 
 
 @register("event_source", O.with_ctes(NOTIF_CTE) +
-          "SELECT message_id, source, detail_type, bucket, object_key, size FROM nt")
+          "SELECT message_id, source, detail_type, account, region, bucket, object_key, size, "
+          "source IS NULL AS malformed FROM nt")
 def q_event_source(spark, sf_dir):
     """Queue records with a JSON body → flat notification columns."""
-    return records(spark, sf_dir)
+    return records(spark, sf_dir).select("message_id", "source", "detail_type", "account", "region",
+                                         "bucket", "object_key", "size", "malformed")
 
 
 @register("event_filter", O.with_ctes(NOTIF_CTE, FILTERED_CTE) +
-          "SELECT message_id, source, detail_type, bucket, object_key, size FROM f")
+          "SELECT message_id, source, detail_type, account, region, bucket, object_key, size FROM f")
 def q_event_filter(spark, sf_dir):
-    """Created objects under output/ in the artifacts bucket only."""
-    return A.event_filter(records(spark, sf_dir))
+    """Created objects under output/ in the artifacts buckets of one account and region."""
+    return A.event_filter(records(spark, sf_dir), RULE).select(
+        "message_id", "source", "detail_type", "account", "region", "bucket", "object_key", "size")
 
 
 @register("route_key", O.with_ctes(NOTIF_CTE, FILTERED_CTE, ROUTED_CTE) +
           "SELECT message_id, key, file_name, profile, audience, type_dir FROM r")
 def q_route_key(spark, sf_dir):
     """T2+F12+F13: decode the key, split into profile/audience/type/file."""
-    return A.route_key(A.event_filter(records(spark, sf_dir))).select(
+    return A.route_key(A.event_filter(records(spark, sf_dir), RULE)).select(
         "message_id", "key", "file_name", "profile", "audience", "type_dir")
 
 
@@ -435,7 +447,7 @@ def q_route_key(spark, sf_dir):
           "SELECT message_id, type_dir, calculate_type FROM rr WHERE profile = 'file'")
 def q_route_type(spark, sf_dir):
     """Identifier type from the key, case-insensitive, null when unsupported."""
-    routed = A.route_key(A.event_filter(records(spark, sf_dir)))
+    routed = A.route_key(A.event_filter(records(spark, sf_dir), RULE))
     return routed.where(F.col("profile") == "file").select(
         "message_id", "type_dir", A.calculate_type(F.col("type_dir")).alias("calculate_type"))
 
@@ -445,7 +457,7 @@ def q_route_type(spark, sf_dir):
           "FROM r WHERE profile = 'batch'")
 def q_route_suffix(spark, sf_dir):
     """Batch-profile files must be gzipped (.gz)."""
-    routed = A.route_key(A.event_filter(records(spark, sf_dir)))
+    routed = A.route_key(A.event_filter(records(spark, sf_dir), RULE))
     return routed.where(F.col("profile") == "batch").select(
         "message_id", "file_name", A.supported_file(F.col("file_name")).alias("supported"))
 
@@ -472,7 +484,7 @@ def q_resolve_audience(spark, sf_dir):
           "SELECT message_id, audience, sid AS segment_id FROM pj WHERE profile = 'batch'")
 def q_resolve_segment(spark, sf_dir):
     """Segment id per batch-profile record, 0 when the name is unknown."""
-    routed = A.route_key(A.event_filter(records(spark, sf_dir)))
+    routed = A.route_key(A.event_filter(records(spark, sf_dir), RULE))
     batch = routed.where(F.col("profile") == "batch")
     return A.resolve_segment(batch, segments(spark, sf_dir)).select(
         "message_id", "audience", "segment_id")
@@ -496,7 +508,7 @@ def q_dead_letters(spark, sf_dir):
     "CASE WHEN action = 'APPEND' THEN format('Audience {} is successfully updated', audience) "
     "WHEN action = 'CREATE' THEN format('Audience {} is successfully created', audience) "
     "WHEN action = 'ADD_USERS' THEN format('Users sent to segment {}', audience) "
-    "ELSE format('ERROR {} for key {}', reason, key) END AS message FROM plan"))
+    "ELSE format('ERROR {} for key {}', reason, coalesce(key, '')) END AS message FROM plan"))
 def q_activation_status(spark, sf_dir):
     """T5: one status code and message per record."""
     return A.status_message(activation_plan(spark, sf_dir))
@@ -689,8 +701,15 @@ STREAM_FILES = 8
 STREAM_FILES_PER_TRIGGER = 3
 
 
-@register("stream_activation", PLAN_WITH + "SELECT " + ", ".join(PLAN_COLUMNS)
-          + " FROM plan WHERE reason IS NULL")
+# Which record of a new audience comes first depends on the order in which files
+# arrive, so its rows are compared as NEW, with the number of creations (one).
+STREAM_COLUMNS = [c for c in PLAN_COLUMNS if c != "action"]
+
+
+@register("stream_activation", PLAN_WITH + "SELECT " + ", ".join(STREAM_COLUMNS) + (
+    ", CASE WHEN profile = 'file' AND audience_id IS NULL THEN 'NEW' ELSE action END AS action, "
+    "CAST(CASE WHEN profile = 'file' AND audience_id IS NULL THEN 1 ELSE 0 END AS BIGINT) AS n_creates "
+    "FROM plan WHERE reason IS NULL"))
 def q_stream_activation(spark, sf_dir):
     """T1+T6: new queue files → outbox, once per object even when redelivered.
 
@@ -707,9 +726,15 @@ def q_stream_activation(spark, sf_dir):
     recs.repartitionByRange(STREAM_FILES // 2, key).write.mode("append").json(src)
     q = start_activation_stream(spark, src, audiences(spark, sf_dir), segments(spark, sf_dir),
                                 f"{base}/out", f"{base}/checkpoint",
-                                max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+                                max_files_per_trigger=STREAM_FILES_PER_TRIGGER, rule=RULE)
     q.awaitTermination()
-    return read_outbox(spark, f"{base}/out").select(*PLAN_COLUMNS)
+    out = read_outbox(spark, f"{base}/out")
+    creates = (out.where(F.col("action") == "CREATE").groupBy("audience")
+               .agg(F.count(F.lit(1)).alias("n")))
+    new = (F.col("profile") == "file") & F.col("audience_id").isNull()
+    return out.join(creates, "audience", "left").select(
+        *STREAM_COLUMNS, F.when(new, F.lit("NEW")).otherwise(F.col("action")).alias("action"),
+        F.when(new, F.coalesce("n", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long")).alias("n_creates"))
 
 
 # ===========================================================================

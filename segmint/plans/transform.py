@@ -107,6 +107,19 @@ def hashed_long(df: DataFrame, spec: AudienceSpec,
     return reduce(DataFrame.unionAll, branches)
 
 
+def hashed_unpivot(df: DataFrame, spec: AudienceSpec) -> DataFrame:
+    """Long ``(schema, hash)`` rows in no particular order: one scan, one ``Expand``.
+
+    For everything that needs no row order (counts, sizes); the mapped
+    columns are normalised and hashed once per input row.
+    """
+    wide = hash_wide(df, spec)
+    names = [f.output_name for f in spec.fields]
+    pairs = F.array(*[F.struct(F.lit(n).alias("schema"), F.col(n).alias("hash")) for n in names])
+    long = wide.select(F.inline(pairs))
+    return long.where(F.col("hash").isNotNull()) if spec.null_policy == "skip" else long
+
+
 def output_key_column(spec: AudienceSpec, schema_col: str = "schema",
                       chunk_col: str = "chunk", parts_col: str = "n_parts"):
     """Reference-style object key for each output row."""

@@ -45,13 +45,15 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for derived tables and checkpoints.
 
     Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (local
-    runs) creates a fresh temporary folder and registers it as the
+    runs only; elsewhere it raises) creates a fresh temporary folder and registers it as the
     checkpoint dir, so ``DataFrame.checkpoint()`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="segmint-scratch-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

@@ -86,7 +86,7 @@ def key_below(path: Column, root: str, decode: bool = True) -> Column:
     no_scheme = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "")
     root_norm = root.split(":", 1)[1] if ":" in root.split("/", 1)[0] else root
     prefix = root_norm.strip("/") + "/"
-    return F.substring(no_scheme, len(prefix) + 1, 1 << 20)
+    return F.right(no_scheme, F.char_length(no_scheme) - F.lit(len(prefix)))
 
 
 def relative_key(path: Column, root: str) -> Column:

@@ -1,10 +1,13 @@
 """Structured Streaming activation job.
 
 Queue records land as JSON-lines files; each new file is read once (file
-source + checkpoint).  Redelivered records (the queue is at-least-once) are
-dropped by ``dropDuplicates`` on ``(bucket, object_key)``, whose state lives
-in the checkpoint, so a replay never reaches the outbox twice.  Each
-micro-batch is routed and resolved with the batch operators and written to
+source + checkpoint).  The event rule is applied first.  Redelivered records
+(the queue is at-least-once) are then dropped by ``dropDuplicates`` on bucket,
+object key and object version (its etag), whose state lives in the checkpoint,
+so a replay never reaches the outbox twice, while a new upload to an old key
+does.  Malformed bodies are told apart by message id.  Audiences created by an
+earlier micro-batch are kept in the ``created`` table, so each is created once.
+Each micro-batch is routed and resolved with the batch operators and written to
 ``outbox`` and ``dead_letter`` tables partitioned by batch id; a batch that
 is re-run after a failure overwrites its own partition only (dynamic
 partition overwrite), so the sink is idempotent too.
@@ -14,18 +17,18 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.activation import (QUEUE_SCHEMA, audience_lookup, parse_records,
+from ..operators.activation import (QUEUE_SCHEMA, EventRule, audience_lookup, parse_records,
                                     plan_activation, segment_lookup)
-from ..operators.lookup import join_small, sized_lookup
 from ..operators.payloads import delivery_requests
 from ..sources.audience import relative_key, scan_hash_files
-from ..sources.discovery import file_signatures_of
+from ..sources.discovery import file_manifest, file_signatures_of
 
 PLAN_COLUMNS = ["message_id", "bucket", "key", "file_name", "profile", "audience",
                 "calculate_type", "audience_id", "segment_id", "action", "size"]
@@ -37,100 +40,117 @@ def _write_epoch(df: DataFrame, path: str) -> None:
 
 
 def _deliver(spark: SparkSession, plan: DataFrame, files_root: str, epoch_id: int,
-             payload_path: str) -> tuple[DataFrame, DataFrame | None]:
+             payload_path: str) -> tuple[DataFrame, DataFrame]:
     """Read the objects a batch names; write batch-profile requests.
 
     Returns the outbox rows (file-profile rows carrying the md5 of their
-    object) and, when the named objects cannot be read, dead letters for
-    the affected records (reason ``OBJECT_NOT_READABLE``) instead of failing
-    the stream.  Key lists are bounded by the micro-batch (one per record).
+    object) and dead letters (``OBJECT_NOT_READABLE``) for the records whose
+    object is not there; other records of the batch are not affected.  The
+    objects are found by joining the store's listing; the keys of the present
+    ones, bounded by the micro-batch, name the files to scan.
     """
     sent = plan.where(F.col("reason").isNull())
-    adds = sent.where(F.col("action") == "ADD_USERS")
-    files = sent.where(F.col("profile") == "file")
-    add_keys = [r.key for r in adds.select("key").distinct().collect()]
-    file_keys = [r.key for r in files.select("key").distinct().collect()]
-    failed = []
-    if add_keys:
-        try:
+    try:
+        there = file_manifest(spark, f"{files_root.rstrip('/')}/output").select(
+            F.concat(F.lit("output/"), "key").alias("key"))
+    except AnalysisException:  # nothing was ever written below the root
+        there = spark.createDataFrame([], "key string")
+    found = sent.join(there, "key", "left_semi").persist()
+    try:
+        dead = sent.join(there, "key", "left_anti").select(
+            "message_id", "bucket", "key", F.lit("OBJECT_NOT_READABLE").alias("reason"), "epoch")
+        adds = found.where(F.col("action") == "ADD_USERS")
+        add_keys = [r.key for r in adds.select("key").distinct().toLocalIterator()]
+        file_keys = [r.key for r in found.where(F.col("profile") == "file")
+                     .select("key").distinct().toLocalIterator()]
+        if add_keys:
             req = delivery_requests(adds, scan_hash_files(spark, files_root, add_keys))
             _write_epoch(req.withColumn("epoch", F.lit(epoch_id)), payload_path)
-        except AnalysisException:
-            failed.append(adds)
-    sig = None
-    if file_keys:
-        try:
+        if file_keys:
             sig = (file_signatures_of(spark, files_root, file_keys)
-                   .select(relative_key(F.col("path"), files_root).alias("key"),
-                           "file_signature"))
-        except AnalysisException:  # raised when a named object does not exist
-            failed.append(files)
-            sig = None
-    out = sent.select(*PLAN_COLUMNS, "epoch")
-    if sig is not None:
-        out = join_small(out, sig, "key", how="left")  # ≤ one row per batch record
-    else:
-        out = out.withColumn("file_signature", F.lit(None).cast("string"))
-    dead = None
-    if failed:
-        bad = failed[0] if len(failed) == 1 else failed[0].unionByName(failed[1])
-        bad_keys = bad.select("key")
-        out = out.join(bad_keys, "key", "left_anti")
-        dead = bad.select("message_id", "bucket", "key",
-                          F.lit("OBJECT_NOT_READABLE").alias("reason"), "epoch")
-    return out.select(*PLAN_COLUMNS, "file_signature", "epoch"), dead
-
-
-def start_activation_stream(spark: SparkSession, queue_path: str, audiences: DataFrame,
-                            segments: DataFrame, out_root: str, checkpoint: str,
+                   .select(relative_key(F.col("path"), files_root).alias("key"), "file_signature"))
+            out = sent.join(there, "key", "left_semi").join(sig, "key", "left")
+        else:
+            out = sent.join(there, "key", "left_semi").withColumn(
+                "file_signature", F.lit(None).cast("string"))
+        return out.select(*PLAN_COLUMNS, "file_signature", "epoch"), dead
+    finally:
+        found.unpersist()
+
+
+Catalogue = DataFrame | Callable[[], DataFrame]
+
+
+def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Catalogue,
+                            segments: Catalogue, out_root: str, checkpoint: str,
                             max_files_per_trigger: int = 1,
                             available_now: bool = True,
                             files_root: str | None = None,
-                            dedupe_watermark: str | None = None) -> StreamingQuery:
+                            dedupe_watermark: str | None = None,
+                            rule: EventRule = EventRule()) -> StreamingQuery:
     """Start the job; returns the running query (``awaitTermination`` to wait).
 
-    ``audiences`` / ``segments`` are catalogue snapshots (name, id, page,
-    position); their name look-ups are derived, checkpointed and size-checked
-    once, so micro-batches neither re-read the landed pages nor re-count.
+    ``audiences`` / ``segments`` are catalogues (name, id, page, position).  A
+    DataFrame is one snapshot, whose name look-up is checkpointed once; a
+    function is called for every micro-batch, so that a long-running job sees
+    new audiences and segments.
     With ``files_root`` (where object keys resolve to files) the job also
     reads the named objects: batch-profile files become request bodies in
     the ``payload`` table, file-profile rows get the md5 ``file_signature``.
 
-    Redelivery is removed by ``dropDuplicates(bucket, object_key)``; its state
-    holds one key per object ever seen.  ``dedupe_watermark`` (e.g.
-    ``"1 day"``) bounds that state with ``dropDuplicatesWithinWatermark`` on
-    the record's event time instead, at the price that records arriving
-    later than the watermark are dropped as late; leave it unset unless the
-    queue's redelivery window is known to be shorter.
+    Redelivery is removed by ``dropDuplicates``; its state holds one key per
+    relevant object version ever seen.  ``dedupe_watermark`` (e.g. ``"1 day"``)
+    bounds that state with ``dropDuplicatesWithinWatermark`` on the record's
+    event time instead, at the price that records arriving later than the
+    watermark are dropped as late; leave it unset unless the queue's
+    redelivery window is known to be shorter.
     """
-    lookups = (sized_lookup(audience_lookup(audiences)), sized_lookup(segment_lookup(segments)))
+    def lookup(catalogue: Catalogue, derive) -> Callable[[], DataFrame]:
+        if callable(catalogue):
+            return lambda: derive(catalogue())
+        once = derive(catalogue).checkpoint(eager=True)
+        return lambda: once
+
+    audience_names, segment_names = lookup(audiences, audience_lookup), lookup(segments, segment_lookup)
     stream = (spark.readStream.schema(QUEUE_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger).json(queue_path))
+    recs = parse_records(stream, with_time=bool(dedupe_watermark))
+    recs = recs.where(rule.fits() | F.col("malformed")).withColumn(
+        "__seen", F.when(F.col("malformed"), F.concat(F.lit("m:"), F.col("message_id").cast("string")))
+        .otherwise(F.concat_ws("|", "bucket", "object_key", "etag")))
     if dedupe_watermark:
-        recs = (parse_records(stream, with_time=True)
-                .withWatermark("event_time", dedupe_watermark)
-                .dropDuplicatesWithinWatermark(["bucket", "object_key"])
-                .drop("event_time"))
+        recs = (recs.withWatermark("event_time", dedupe_watermark)
+                .dropDuplicatesWithinWatermark(["__seen"]).drop("event_time"))
     else:
-        recs = parse_records(stream).dropDuplicates(["bucket", "object_key"])
+        recs = recs.dropDuplicates(["__seen"])
+    recs = recs.drop("__seen")
+    created_path = os.path.join(out_root, "created")
+    created_schema = "audience string, epoch long"
+    # an empty part, so that the first micro-batch finds the table
+    spark.createDataFrame([], "audience string").coalesce(1).write.mode("overwrite").parquet(
+        os.path.join(created_path, "epoch=-1"))
     outbox_path = os.path.join(out_root, "outbox")
     dead_path = os.path.join(out_root, "dead_letter")
     payload_path = os.path.join(out_root, "payload")
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        plan = plan_activation(batch, lookups=lookups).withColumn("epoch", F.lit(epoch_id))
+        # a batch that is run again must not see what its first run created
+        created = (spark.read.schema(created_schema).parquet(created_path)
+                   .where(F.col("epoch") < epoch_id))
+        plan = plan_activation(batch, lookups=(audience_names(), segment_names()), rule=rule,
+                               created=created).withColumn("epoch", F.lit(epoch_id))
         plan = plan.persist()
         try:
             dead = (plan.where(F.col("reason").isNotNull())
                     .select("message_id", "bucket", "key", "reason", "epoch"))
             if files_root:
-                out, more_dead = _deliver(spark, plan, files_root, epoch_id, payload_path)
-                if more_dead is not None:
-                    dead = dead.unionByName(more_dead)
+                out, missing = _deliver(spark, plan, files_root, epoch_id, payload_path)
+                dead = dead.unionByName(missing)
             else:
                 out = plan.where(F.col("reason").isNull()).select(*PLAN_COLUMNS, "epoch")
             _write_epoch(out, outbox_path)
             _write_epoch(dead, dead_path)
+            _write_epoch(plan.where(F.col("action") == "CREATE").select("audience", "epoch"), created_path)
         finally:
             plan.unpersist()
 
@@ -143,13 +163,29 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Dat
     return writer.start()
 
 
+OUTBOX_SCHEMA = ("message_id long, bucket string, key string, file_name string, profile string,"
+                 " audience string, calculate_type string, audience_id string, segment_id string,"
+                 " action string, size long, file_signature string, epoch long")
+DEAD_SCHEMA = "message_id long, bucket string, key string, reason string, epoch long"
+
+
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of the job, empty when nothing was written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def read_outbox(spark: SparkSession, out_root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(out_root, "outbox"))
+    return _table(spark, os.path.join(out_root, "outbox"), OUTBOX_SCHEMA)
 
 
 def read_dead_letters(spark: SparkSession, out_root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(out_root, "dead_letter"))
+    return _table(spark, os.path.join(out_root, "dead_letter"), DEAD_SCHEMA)
 
 
 def read_payloads(spark: SparkSession, out_root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(out_root, "payload"))
+    return _table(spark, os.path.join(out_root, "payload"),
+                  "key string, audience string, segment_id string, send_order int, schema string,"
+                  " n_users long, payload string, epoch long")

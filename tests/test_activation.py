@@ -76,9 +76,61 @@ def test_fx11_status_messages(spark):
     assert msgs[1][0] == 200 and "successfully created" in msgs[1][1]
 
 
-def test_bad_json_body_is_isolated(spark):
-    q = spark.createDataFrame([("1", "{not json"), ("2", None)], A.QUEUE_SCHEMA)
-    assert A.event_filter(A.parse_records(q)).count() == 0
+def test_bad_json_body_goes_to_dead_letters(spark):
+    good = json.dumps({"source": A.EVENT_SOURCE, "detail-type": A.EVENT_DETAIL_TYPE,
+                       "detail": {"bucket": {"name": A.BUCKET_PREFIX}, "object": {"key": "output/file/a/EMAIL_SHA256/x"}}})
+    q = spark.createDataFrame([("1", "{not json"), ("2", None), ("3", good), ("4", "[]")], A.QUEUE_SCHEMA)
+    recs = A.parse_records(q)
+    assert [r.message_id for r in A.event_filter(recs).collect()] == [3]
+    plan = {r.message_id: r for r in A.plan_activation(
+        recs, catalogue(spark, [], []), seg_catalogue(spark, [], [])).collect()}
+    assert {i: plan[i].reason for i in plan} == {1: "BAD_BODY", 2: "BAD_BODY", 3: None, 4: "BAD_BODY"}
+    assert {r.message_id: r.status_code for r in A.status_message(
+        A.plan_activation(recs, catalogue(spark, [], []), seg_catalogue(spark, [], []))).collect()} == {
+        1: 400, 2: 400, 3: 200, 4: 400}
+
+
+def test_event_rule_account_region_and_bucket(spark):
+    def body(bucket, account, region):
+        return json.dumps({"source": A.EVENT_SOURCE, "detail-type": A.EVENT_DETAIL_TYPE, "account": account,
+                           "region": region, "detail": {"bucket": {"name": bucket}, "object": {"key": "output/x"}}})
+    q = spark.createDataFrame([("1", body("mine-a", "1", "eu")), ("2", body("mine-b", "2", "eu")),
+                               ("3", body("mine-c", "1", "us")), ("4", body(A.BUCKET_PREFIX, "1", "eu"))],
+                              A.QUEUE_SCHEMA)
+    recs = A.parse_records(q)
+    ids = lambda rule: sorted(r.message_id for r in A.event_filter(recs, rule).collect())
+    assert ids(A.EventRule(bucket_prefix="mine")) == [1, 2, 3]
+    assert ids(A.EventRule(bucket_prefix="mine", account="1")) == [1, 3]
+    assert ids(A.EventRule(bucket_prefix="mine", account="1", region="eu")) == [1]
+    assert ids(A.EventRule()) == [4]
+
+
+def test_new_audience_is_created_once(spark):
+    b = A.BUCKET_PREFIX
+    q = queue_df(spark, [(b, "output/file/new/EMAIL_SHA256/a.csv"), (b, "output/file/new/PHONE_SHA256/b.csv"),
+                         (b, "output/file/old/EMAIL_SHA256/c.csv"), (b, "output/file/new/type_3/d.csv")])
+    args = (A.parse_records(q), catalogue(spark, [], []), seg_catalogue(spark, [], []))
+    got = {r.message_id: r.action for r in A.plan_activation(*args).collect()}
+    assert got == {0: "CREATE", 1: "APPEND", 2: "CREATE", 3: None}
+    before = spark.createDataFrame([("new",)], "audience string")
+    got = {r.message_id: r.action for r in A.plan_activation(*args, created=before).collect()}
+    assert got == {0: "APPEND", 1: "APPEND", 2: "CREATE", 3: None}
+
+
+def test_fx6_fx7_documents_through_the_catalogues(spark):
+    """The documented responses: no page information, quoted ids."""
+    seg = json.dumps({"request_status": "SUCCESS", "segments": [
+        {"sub_request_status": "SUCCESS", "segment": {"id": i, "name": n}}
+        for i, n in (("1", "segment1"), (2, "segment2"), ("x-3", "segment3"), (9, "segment2"))]})
+    docs = spark.createDataFrame([(seg,)], "value string")
+    routed = spark.createDataFrame([("segment1",), ("segment2",), ("segment3",), ("none",)], "audience string")
+    got = {r.audience: r.segment_id for r in A.resolve_segment(routed, A.segment_catalogue(docs)).collect()}
+    assert got == {"segment1": "1", "segment2": "2", "segment3": "x-3", "none": "0"}
+    aud = json.dumps({"code": 0, "data": {"list": [{"name": "a", "audience_id": "22"}, {"name": "b", "audience_id": 23}]}})
+    cat = A.audience_catalogue(spark.createDataFrame([(aud,)], "value string"))
+    routed = spark.createDataFrame([("a",), ("b",), ("c",)], "audience string")
+    got = {r.audience: r.audience_id for r in A.resolve_audience(routed, cat).collect()}
+    assert got == {"a": "22", "b": "23", "c": None}
 
 
 def test_supported_schemas_lists_absent_options(spark):

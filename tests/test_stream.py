@@ -19,6 +19,15 @@ def _records(keys, start=0):
     return out
 
 
+def _with_etag(recs, etag):
+    out = []
+    for r in recs:
+        body = json.loads(r["body"])
+        body["detail"]["object"]["etag"] = etag
+        out.append({"messageId": r["messageId"], "body": json.dumps(body)})
+    return out
+
+
 def _land(spark, path, recs):
     spark.createDataFrame(recs, A.QUEUE_SCHEMA).coalesce(1).write.mode("append").json(path)
 
@@ -110,3 +119,41 @@ def test_watermarked_dedupe_option(spark, tmp_path):
     q.awaitTermination()
     assert sorted(r.key for r in read_outbox(spark, out).collect()) == [
         "output/file/known/EMAIL_SHA256/a.csv", "output/file/new/gaid_sha256/b.csv"]
+
+
+def test_new_version_malformed_body_and_second_batch_of_a_new_audience(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "q"), str(tmp_path / "out"), str(tmp_path / "ck")
+    key = "output/file/new/EMAIL_SHA256/a.csv"
+    _land(spark, src, _with_etag(_records([key]), "v1"))
+    _land(spark, src, [{"messageId": "90", "body": "{cut"}, {"messageId": "91", "body": "{cut"}])
+    _run(spark, src, out, ckpt)
+    _land(spark, src, _with_etag(_records([key], start=1), "v1"))   # redelivered
+    _land(spark, src, _with_etag(_records([key], start=2), "v2"))   # uploaded again
+    _land(spark, src, _with_etag(_records(["output/file/new/PHONE_SHA256/b.csv"], start=3), "v1"))
+    _run(spark, src, out, ckpt)
+    got = sorted((r.message_id, r.action) for r in read_outbox(spark, out).collect())
+    assert got == [(0, "CREATE"), (2, "APPEND"), (3, "APPEND")]
+    dead = sorted((r.message_id, r.reason) for r in read_dead_letters(spark, out).collect())
+    assert dead == [(90, "BAD_BODY"), (91, "BAD_BODY")]
+
+
+def test_mixed_batch_dead_letters_only_the_missing_object(spark, tmp_path):
+    from segmint.streaming.activation_stream import read_payloads
+    root = tmp_path / "bucket"
+    fdir = root / "output" / "file" / "known" / "schema=EMAIL_SHA256"
+    fdir.mkdir(parents=True)
+    (fdir / "p.csv").write_text("h1\n")
+    src, out, ckpt = str(tmp_path / "q"), str(tmp_path / "out"), str(tmp_path / "ck")
+    _land(spark, src, _records(["output/file/known/schema=EMAIL_SHA256/p.csv",
+                                "output/file/known/schema=EMAIL_SHA256/gone.csv"]))
+    aud, seg = _catalogues(spark)
+    start_activation_stream(spark, src, lambda: aud, lambda: seg, out, ckpt, files_root=str(root)).awaitTermination()
+    assert [r.key for r in read_outbox(spark, out).collect()] == ["output/file/known/schema=EMAIL_SHA256/p.csv"]
+    assert [(r.key, r.reason) for r in read_dead_letters(spark, out).collect()] == [
+        ("output/file/known/schema=EMAIL_SHA256/gone.csv", "OBJECT_NOT_READABLE")]
+    assert read_payloads(spark, out).count() == 0
+
+
+def test_readers_of_a_job_that_wrote_nothing(spark, tmp_path):
+    assert read_outbox(spark, str(tmp_path)).count() == 0
+    assert read_dead_letters(spark, str(tmp_path)).count() == 0
