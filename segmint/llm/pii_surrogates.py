@@ -219,7 +219,7 @@ def _detected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([r[3] for r in rows], pa.string())], names=["rk", "start", "end", "kind", "entity"])
 
 
-def assign(entities: DataFrame, key: bytes) -> DataFrame:
+def assign(entities: DataFrame, key: bytes, make=surrogate) -> DataFrame:
     """(kind, entity, surrogate) for distinct ``entities(kind, entity)``: collision-free rounds."""
     entities = written(entities.select("kind", "entity").distinct(), "entities")
     # names share one space whatever their gender; the other kinds have one each
@@ -229,7 +229,7 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
     while not open_.isEmpty():
         def propose(batches: Iterator[pa.RecordBatch], attempt=attempt) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                new = [surrogate(key, k, e, attempt) for k, e in zip(b.column("kind").to_pylist(),
+                new = [make(key, k, e, attempt) for k, e in zip(b.column("kind").to_pylist(),
                                                                      b.column("entity").to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("entity"), pa.array(new, pa.string())],
                                                  names=["kind", "entity", "surrogate"])
