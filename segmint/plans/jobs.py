@@ -31,10 +31,8 @@ RUN_SCHEMA = T.StructType([
 
 
 def upload_name(source_key: str) -> str:
-    """Partition value naming an upload: its file name without extension."""
-    name = source_key.rstrip("/").split("/")[-1]
-    stem = name.rsplit(".", 1)[0] if "." in name.lstrip(".") else name
-    return stem or "upload"
+    """Partition value naming an upload: its whole key, so equal base names stay apart."""
+    return source_key.strip("/") or "upload"
 
 
 def _iso(ts: float) -> str:
@@ -62,7 +60,7 @@ def run_transform_job(spark: SparkSession, source_path: str, output_path: str,
         job = run_transform(scan_audience(spark, source_path, spec), spec)
         try:
             write_output(job.rows, output_path, spec.profile, spec.segment_name,
-                         num_parts=job.n_parts, source=upload_name(source_key))
+                         num_parts=job.n_parts, source=upload_name(source_key), chunks=job.chunks)
         finally:
             job.release()
         run["JobRunState"] = "SUCCEEDED"

@@ -170,10 +170,14 @@ def transform_with_parts(df: DataFrame, spec: AudienceSpec,
 
 @dataclass
 class TransformRun:
-    """Output rows, exact part count, and a ``release`` for the scan cache."""
+    """Output rows, exact part count, and a ``release`` for the scan cache.
+
+    ``chunks`` has the number of parts of each schema (batch profile: of ``""``).
+    """
 
     rows: DataFrame
     n_parts: int
+    chunks: dict[str, int] = field(default_factory=dict)
     _cached: list = field(default_factory=list)
 
     def release(self) -> None:
@@ -199,8 +203,13 @@ def run_transform(df: DataFrame, spec: AudienceSpec, cap_rows: int | None = None
         single_scan = spec.source_format in ("json", "csv")
     cache: list = [] if single_scan else None
     out, sizes = _transform(df, spec, cap, cache)
-    n_parts = sizes.agg(F.sum(F.ceil(F.col("n") / F.lit(cap)))).first()[0] or 0
-    return TransformRun(out, int(n_parts), cache or [])
+    # one row per identifier kind at most
+    per_kind = sizes.withColumn("parts", F.ceil(F.col("n") / F.lit(cap))).collect()
+    if spec.profile == "file":
+        chunks = {spec.fields[r[ORDINAL]].output_name: int(r.parts) for r in per_kind}
+    else:
+        chunks = {"": sum(int(r.parts or 0) for r in per_kind)}
+    return TransformRun(out, sum(chunks.values()), chunks, cache or [])
 
 
 def transform_frame(df: DataFrame, spec: AudienceSpec, cap_rows: int | None = None) -> DataFrame:

@@ -65,16 +65,20 @@ def read_file_profile(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_output(df: DataFrame, root: str, profile: str, segment_name: str,
-                 num_parts: int | None = None, source: str = "upload") -> str:
+                 num_parts: int | None = None, source: str = "upload",
+                 chunks: dict[str, int] | None = None) -> str:
     """Write one job's parts where the activation side expects them.
 
     Layout ``<root>/output/<profile>/<segment>/…``, so that directory 2 of
     every object key is the audience.  File profile:
     ``…/schema=<KIND>_SHA256/source=<upload>/chunk=<n>/part-….csv``
     (directory 3 names the identifier type); batch profile:
-    ``…/source=<upload>/chunk=<n>/part-….csv.gz``.  Writes use dynamic
-    partition overwrite: re-running a job for the same upload replaces its
-    own parts and nothing else, so a re-run never duplicates output.
+    ``…/source=<upload>/chunk=<n>/part-….csv.gz``.  ``source`` is the upload's
+    whole key, so uploads of one base name stay apart.  The write replaces
+    the chunks it makes (dynamic partition overwrite); with ``chunks`` (the
+    number of chunks of each schema, or of ``""`` in the batch profile) it then
+    removes what an earlier run of the same upload had left beyond them, so
+    that a run replaces its upload as a whole and nothing else.
     """
     base = f"{root.rstrip('/')}/output/{profile}/{segment_name}"
     src = F.lit(source).alias("source")
@@ -88,4 +92,29 @@ def write_output(df: DataFrame, root: str, profile: str, segment_name: str,
             "row_id", "schema", "hash", "segment_name", src, "chunk")
         (w(out).partitionBy("source", "chunk").option("header", "true")
          .option("compression", "gzip").csv(base))
+    if chunks is not None:
+        _drop_stale(df.sparkSession, base, profile, source, chunks)
     return base
+
+
+def _drop_stale(spark: SparkSession, base: str, profile: str, source: str,
+                chunks: dict[str, int]) -> None:
+    """Remove chunk folders of the upload that this run has not written.
+
+    Lists the folders of one upload only (one per kind and chunk).
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    own = "source=" + jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(source)
+
+    def folders(at) -> list:
+        return [x.getPath() for x in fs.listStatus(at) if x.isDirectory()] if fs.exists(at) else []
+
+    above = [(p.getName().removeprefix("schema="), p) for p in folders(path(base))
+             if p.getName().startswith("schema=")] if profile == "file" else [("", path(base))]
+    for schema, at in above:
+        for chunk in folders(path(at, own)):
+            number = chunk.getName().removeprefix("chunk=")
+            if number.isdigit() and int(number) >= chunks.get(schema, 0):
+                fs.delete(chunk, True)

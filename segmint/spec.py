@@ -55,9 +55,10 @@ class AudienceSpec:
 
     ``null_policy``: ``skip`` (default) emits no hash for a null or an
     empty normalised value; ``literal`` hashes the text ``None`` for a null
-    and hashes empty strings, as the original job did.
+    or absent value, which a scan cannot tell apart, and hashes empty strings.
     ``include_unmapped`` (batch profile only) melts unmapped string columns
-    in clear text too, as the original job did; it is off by default.
+    in clear text too; it is off by default, and ``extra_columns`` must name
+    these columns, since a scan reads only what the spec lists.
     """
 
     profile: str
@@ -107,6 +108,8 @@ class AudienceSpec:
             raise ValueError(f"null_policy must be one of {NULL_POLICIES}")
         if self.include_unmapped and self.profile != "batch":
             raise ValueError("include_unmapped applies to the batch profile only")
+        if self.include_unmapped and not any(t.upper() == "STRING" for _, t in self.extra_columns):
+            raise ValueError("include_unmapped needs the string columns in extra_columns")
         if self.source_format not in ("json", "csv"):
             raise ValueError("source_format must be json or csv")
         if self.read_mode not in ("FAILFAST", "PERMISSIVE"):

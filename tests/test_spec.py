@@ -67,13 +67,21 @@ def test_parity_and_mode_options_validated():
     with pytest.raises(ValueError):
         AudienceSpec.from_args("batch", BATCH_MAPPING, "s", null_policy="drop")
     ok = AudienceSpec.from_args("batch", BATCH_MAPPING, "s", include_unmapped=True,
+                                extra_columns=(("city", "STRING"),),
                                 read_mode="PERMISSIVE", null_policy="literal")
     assert ok.include_unmapped and ok.read_mode == "PERMISSIVE"
 
 
 def test_upload_name():
     from segmint.plans.jobs import upload_name
-    assert upload_name("mydata.json") == "mydata"
-    assert upload_name("uploads/2024/list.v2.csv") == "list.v2"
-    assert upload_name(".hidden") == ".hidden"
-    assert upload_name("noext") == "noext"
+    assert upload_name("mydata.json") == "mydata.json"
+    assert upload_name("/uploads/2024/list.v2.csv") == "uploads/2024/list.v2.csv"
+    assert upload_name("") == "upload"
+
+
+def test_include_unmapped_needs_the_columns():
+    import pytest
+    args = ("batch", '[{"column_name":"e","pii_type":"EMAIL"}]', "s")
+    with pytest.raises(ValueError, match="extra_columns"):
+        AudienceSpec.from_args(*args, include_unmapped=True)
+    AudienceSpec.from_args(*args, include_unmapped=True, extra_columns=(("city", "STRING"),))
