@@ -7,12 +7,14 @@
    random probe sequence, so two sets agree in a bin with the probability of their similarity.
 3. ``BANDS`` bands of ``ROWS`` bins are bucket keys.  At similarity 0.75 a pair shares no bucket with a
    probability of about 1e-4.
-4. Stars: in each bucket every class is compared with one centre only, the same for all buckets as
-   far as possible, then with a second centre.  Both counts are linear in the bucket.
-5. What stars can miss is finished exactly.  In a bucket whose classes now form several components, two
-   classes of different components are compared too, unless their distances from the bucket's
-   centre differ by more than a link allows (the Jaccard distance is a metric).  So every pair that
-   shares a bucket is either compared, or known to be no link, or joined by other links.
+4. Stars: in each bucket every class is compared with one centre, the class that meets the most others
+   in all its buckets (in a family of copies that is the original), and in a quarter of the buckets
+   with a second one.  Both counts are linear in the bucket.
+5. Where a bucket's classes still form several components, a bucket of at most ``SMALL`` classes is
+   finished exactly: all its pairs of different components are compared.  In a larger one every class
+   is compared with ``DRAWS`` centres drawn by hash, those that are in another component.  A class shares
+   about 8 buckets with each class it is linked to, so it is compared with some 64 classes; only a link
+   that alone holds two parts of a large bucket together, and that no draw meets, can be missed.
 6. Each candidate is confirmed on the full shingle sets of both texts.
 
 Defined cases: null text counts as empty; a text of fewer than five words has one shingle, its whole
@@ -38,6 +40,11 @@ BANDS, ROWS = 24, 4
 BINS = 128  # a power of two, at least BANDS * ROWS; the first BANDS * ROWS of them form the bands
 #: A link: 100 * intersection >= PERCENT * union.
 PERCENT = 75
+LINK = f"common * 100 >= total * {PERCENT}"
+#: Buckets of up to so many classes are compared pair by pair: at most this many pairs a class.
+SMALL = 16
+#: Centres of a larger bucket for the classes that the stars have not joined.
+DRAWS = 8
 _EMPTY = np.uint64(2**64 - 1)
 _rng = np.random.default_rng(77)
 #: The probe sequences of densification: for each bin a random order of all bins.
@@ -136,16 +143,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = (rows.filter("vid is not null and doc_id is not null").groupBy("vid")
                .agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")))
     in_bucket = classes.select("vid", F.explode("keys").alias("key"))
-    # a bucket's first centre: the same order everywhere; a quarter of the buckets have a second centre
-    # in an order of their own, so that large groups grow together before step 5
-    spread = F.xxhash64("vid")
-    centres = (in_bucket.groupBy("key")
-               .agg(F.count(F.lit(1)).alias("freq"), F.min_by("vid", spread).alias("c1"),
-                    F.min_by("vid", F.xxhash64("vid", "key")).alias("c2"))
-               .filter("freq > 1").withColumn("c2", F.when(F.pmod("key", F.lit(4)) == 0, F.col("c2"))))
-    shared = written(join_unique(in_bucket.withColumn("bucket", F.col("key")), centres, "key", "freq",
-                                 [F.col("vid"), F.col("key")], matched=True), "buckets")
-    stars = (shared.select("vid", F.explode(F.array("c1", "c2")).alias("c"))
+    sizes = (in_bucket.groupBy("key").agg(F.count(F.lit(1)).alias("freq")).filter("freq > 1")
+             .withColumn("size", F.col("freq")))
+    met = written(join_unique(in_bucket.withColumn("bucket", F.col("key")), sizes, "key", "freq",
+                              [F.col("vid"), F.col("key")], matched=True), "buckets")
+    # how many classes a class meets: in a family of copies the original meets the most
+    weight = met.groupBy("vid").agg(F.sum("size").alias("weight"))
+    met = written(met.join(weight, "vid"), "weighted")
+    # a bucket's first centre meets the most; a quarter of the buckets have a second one, drawn by hash
+    centres = (met.groupBy("bucket")
+               .agg(F.count(F.lit(1)).alias("freq"), F.max_by("vid", F.struct("weight", "vid")).alias("c1"),
+                    F.min_by("vid", F.xxhash64("vid", "bucket")).alias("c2"))
+               .withColumn("c2", F.when(F.pmod("bucket", F.lit(4)) == 0, F.col("c2"))))
+    shared = met
+    with_centres = join_unique(met.select("vid", "bucket"), centres, "bucket", "freq", [F.col("vid")])
+    stars = (with_centres.select("vid", F.explode(F.array("c1", "c2")).alias("c"))
              .filter("vid <> c")
              .select(F.least("vid", "c").alias("a"), F.greatest("vid", "c").alias("b")).distinct())
     stars = written(stars, "stars")
@@ -154,19 +166,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .join(ends, "vid"))
     texts = _texts(docs, written(reps, "involved"))
     tested = compared(stars, texts, "tested")
-    links = tested.filter(F.col("common") * 100 >= F.col("total") * PERCENT).select("a", "b")
+    links = tested.filter(LINK).select("a", "b")
     parts = components(links)
     more = written(_unsettled(shared, parts, tested), "more")
     if not more.isEmpty():
-        found = compared(more, texts, "tested").filter(F.col("common") * 100 >= F.col("total") * PERCENT)
-        links = links.union(found.select("a", "b"))
+        links = links.union(compared(more, texts, "tested").filter(LINK).select("a", "b"))
         parts = components(links)
     return _labelled(members, parts)
 
 
 def _texts(docs: DataFrame, involved: DataFrame) -> DataFrame:
     """(vid, text) of one document of each class in ``involved(vid, doc_id)``."""
-    got = docs.join(involved.select("doc_id").distinct(), "doc_id", "left_semi")
+    # merged whatever the sizes, so that the plan is the same at every scale
+    got = docs.join(involved.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     # an id may stand on several rows: its row must have the class's set
     own = got.mapInArrow(_with_vid, "doc_id long, vid long, text string")
     return written(own.join(involved, ["doc_id", "vid"]).dropDuplicates(["vid"]).select("vid", "text"), "texts")
@@ -181,27 +193,32 @@ def _with_vid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unsettled(shared: DataFrame, parts: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components that may still be links and weren't compared."""
+    """Pairs (a, b) of a bucket in different components, not compared yet.
+
+    In a small bucket these are all such pairs; in a larger one each class with ``DRAWS`` centres.
+    """
     # a class without any link is a component of its own
-    s = shared.join(parts.withColumnRenamed("v", "vid"), "vid", "left").withColumn(
-        "root", F.coalesce("root", "vid"))
-    several = (s.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-               .filter("lo <> hi").select("bucket"))
-    s = s.join(several, "bucket", "left_semi")
-    far = tested.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
-    s = (s.withColumn("a", F.least("vid", "c1")).withColumn("b", F.greatest("vid", "c1"))
-         .join(far, ["a", "b"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
-         .select("bucket", "vid", "root", "d"))
-    # cells as wide as a link: only neighbouring cells can hold a link
-    width = 1 - PERCENT / 100
-    s = s.withColumn("cell", F.floor(F.col("d") / F.lit(width)).cast("int"))
-    x = s.select("bucket", F.col("vid").alias("x"), F.col("root").alias("rx"), F.col("d").alias("dx"),
-                 F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell"))
-    y = s.select("bucket", F.col("vid").alias("y"), F.col("root").alias("ry"), F.col("d").alias("dy"), "cell")
-    pairs = (x.join(y, ["bucket", "cell"])
-             .filter((F.col("rx") != F.col("ry")) & (F.abs(F.col("dx") - F.col("dy")) <= width + 1e-9))
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    s = shared.join(parts.withColumnRenamed("v", "vid"), "vid", "left").select(
+        "bucket", "size", "weight", "vid", F.coalesce("root", "vid").alias("root"))
+    s = written(s, "rooted")
+    # drawn in each bucket; a class that meets many is likelier (the least of exponential variables
+    # with these rates)
+    drawn = []
+    for k in range(DRAWS):
+        u = (F.pmod(F.xxhash64("vid", "bucket", F.lit(k)), F.lit(1 << 30)) + 1) / F.lit(float((1 << 30) + 1))
+        drawn.append(F.min_by(F.struct("vid", "root"), -F.log(u) / F.col("weight")))
+    mixed = (s.groupBy("bucket").agg(F.count(F.lit(1)).alias("freq"), F.min("root").alias("lo"),
+                                     F.max("root").alias("hi"), F.array(*drawn).alias("centres"))
+             .filter("lo <> hi").select("bucket", "freq", "centres"))
+    star = join_unique(s.filter(F.col("size") > SMALL), mixed, "bucket", "freq", [F.col("vid")], matched=True)
+    pairs = (star.select("root", F.col("vid").alias("x"), F.explode(F.array_distinct("centres")).alias("c"))
+             .filter(F.col("root") != F.col("c.root")).select("x", F.col("c.vid").alias("y")))
+    few = s.filter(F.col("size") <= SMALL)
+    every = few.select("bucket", F.col("vid").alias("x"), F.col("root").alias("rx")).join(
+        few.select("bucket", F.col("vid").alias("y"), F.col("root").alias("ry")), "bucket").filter("x < y and rx <> ry")
+    return (pairs.union(every.select("x", "y"))
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
 
 
 def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -228,5 +245,6 @@ def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id; all columns stay."""
-    dropped = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    dropped = written(near_duplicates(docs).filter("not kept").select("doc_id").distinct(), "dropped")
+    # merged whatever the sizes, so that the plan is the same at every scale
+    return docs.join(dropped.hint("merge"), "doc_id", "left_anti")
