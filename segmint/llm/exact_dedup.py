@@ -105,7 +105,8 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
         F.col("doc_id").alias("_id"), F.col("sha").alias("_gone"))
     out = docs.withColumn("_sha", sha)
-    out = out.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_gone")),
+    # merged whatever the sizes, so that the plan is the same at every scale
+    out = out.join(gone.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_gone")),
                    "left_anti")
     if not found.filter("copies > 1").isEmpty():  # fully equal rows, else there is nothing to drop
         out = out.dropDuplicates(["doc_id", "_sha"])
