@@ -7,8 +7,8 @@ catalogues) are written once before timing, as they would already exist,
 and every query runs once untimed on the smallest data set first (JVM JIT
 and Python workers warm).
 Each query is run to completion through the ``noop`` sink (full
-execution, nothing collected to the driver); the best of ``$BENCH_REPS``
-runs is reported.
+execution, nothing collected to the driver); the median of ``$BENCH_REPS``
+runs is reported, with the spread in ``"spread"``.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -65,7 +66,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    reps = int(os.environ.get("BENCH_REPS", "2"))
+    reps = int(os.environ.get("BENCH_REPS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app_name="segmint-bench")
@@ -78,18 +79,18 @@ def main() -> None:
     if os.path.isdir(warm_dir):
         for name in names:
             run_once(spark, name, warm_dir)
-    times = {}
+    times, spread = {}, {}
     for name in names:
-        best = None
+        runs = []
         for _ in range(reps):
             t0 = time.perf_counter()
             run_once(spark, name, sf_dir)
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs), 3)
+        spread[name] = [round(min(runs), 3), round(max(runs), 3)]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times,
+                      "unit": "sec", "queries": times, "spread": spread,
                       "sf": float(m.group(1)) if m else None, "cpus": cpus}))
     spark.stop()
 

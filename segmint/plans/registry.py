@@ -579,16 +579,39 @@ def q_first_rows(spark, sf_dir):
             .select(*CONTACTS_SCHEMA.fieldNames()))
 
 
-@register("file_manifest")
+def written_parts(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the file-profile parts at the small byte cap, freshly written."""
+    df, n_parts = transform_with_parts(audience_scan(spark, sf_dir, FILE_SPEC), FILE_SPEC,
+                                       cap_rows=SMALL_BYTE_CAP // HASH_LINE_BYTES)
+    return write_file_profile(df, scratch_path(spark, "out", "file_profile"), num_parts=n_parts)
+
+
+def _manifest_sql(more: str = "") -> str:
+    return ("SELECT concat('segment_name=', segment_name, '/schema=', schema, '/chunk=', chunk) AS folder, "
+            "CAST(sum(strlen(hash) + 1) AS BIGINT) AS size" + more + " FROM ("
+            + O.file_split_sql(SMALL_BYTE_CAP // HASH_LINE_BYTES) + ") t GROUP BY segment_name, schema, chunk")
+
+
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}(Z|[+-]\d{2}:\d{2})$"
+
+
+def _listed(manifest: DataFrame) -> DataFrame:
+    """Without the part's own file name, which is random."""
+    return manifest.withColumn("folder", F.regexp_replace("key", "/[^/]*$", ""))
+
+
+@register("file_manifest", _manifest_sql(", true AS iso_time"))
 def q_file_manifest(spark, sf_dir):
-    """Listing of the table files (key, ISO last-modified, size); no contents read."""
-    return D.file_manifest(spark, sf_dir, "*.parquet")
+    """S6+F17: listing of the written parts (key, ISO last-modified, size); no contents read."""
+    m = D.file_manifest(spark, written_parts(spark, sf_dir), "*.csv")
+    return _listed(m).select("folder", "size", F.col("last_modified").rlike(ISO_TIME).alias("iso_time"))
 
 
-@register("manifest_sorted")
+@register("manifest_sorted", _manifest_sql() + " ORDER BY size DESC, folder")
 def q_manifest_sorted(spark, sf_dir):
     """O1: the listing sorted by size (largest first), then key."""
-    return D.sorted_manifest(D.file_manifest(spark, sf_dir, "*.parquet"), "size")
+    m = D.file_manifest(spark, written_parts(spark, sf_dir), "*.csv")
+    return _listed(D.sorted_manifest(m, "size")).select("folder", "size")
 
 
 @register("job_runs", (

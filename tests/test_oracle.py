@@ -44,19 +44,24 @@ def test_nfkd_query_against_brute_force(spark):
     assert got == expect
 
 
-def test_manifest_queries_against_os_stat(spark):
-    """The rows-only listing queries equal a plain os.stat walk of the folder."""
+def test_manifest_against_os_stat(spark):
+    """The listing equals a plain os.stat walk of the folder, sorted as asked."""
     import os
     from datetime import datetime, timezone
 
+    from segmint.sources.discovery import file_manifest, sorted_manifest
+
     from .conftest import SF_SMALL
     names = sorted(n for n in os.listdir(SF_SMALL) if n.endswith(".parquet"))
     stat = {n: os.stat(os.path.join(SF_SMALL, n)) for n in names}
-    rows = {r.key: r for r in QUERIES["file_manifest"](spark, SF_SMALL).collect()}
+    manifest = file_manifest(spark, SF_SMALL, "*.parquet")
+    rows = {r.key: r for r in manifest.collect()}
     assert sorted(rows) == names
     for n in names:
         assert rows[n].size == stat[n].st_size
         mtime = datetime.fromtimestamp(stat[n].st_mtime, tz=timezone.utc)
         assert rows[n].last_modified.startswith(mtime.strftime("%Y-%m-%dT%H:%M:%S"))
-    ordered = [r.key for r in QUERIES["manifest_sorted"](spark, SF_SMALL).collect()]
+    ordered = [r.key for r in sorted_manifest(manifest, "size").collect()]
     assert ordered == sorted(names, key=lambda n: (-stat[n].st_size, n))
+    sizes = [r.size for r in QUERIES["manifest_sorted"](spark, SF_SMALL).collect()]
+    assert sizes == sorted(sizes, reverse=True) and len(sizes) > 1
