@@ -211,8 +211,9 @@ def _unsettled(shared: DataFrame, parts: DataFrame, tested: DataFrame) -> DataFr
                                      F.max("root").alias("hi"), F.array(*drawn).alias("centres"))
              .filter("lo <> hi").select("bucket", "freq", "centres"))
     star = join_unique(s.filter(F.col("size") > SMALL), mixed, "bucket", "freq", [F.col("vid")], matched=True)
-    pairs = (star.select("root", F.col("vid").alias("x"), F.explode(F.array_distinct("centres")).alias("c"))
-             .filter(F.col("root") != F.col("c.root")).select("x", F.col("c.vid").alias("y")))
+    apart = F.filter(F.array_distinct("centres"), lambda c: c["root"] != F.col("root"))
+    pairs = (star.select(F.col("vid").alias("x"), F.explode(apart).alias("c"))
+             .select("x", F.col("c.vid").alias("y")))
     few = s.filter(F.col("size") <= SMALL)
     every = few.select("bucket", F.col("vid").alias("x"), F.col("root").alias("rx")).join(
         few.select("bucket", F.col("vid").alias("y"), F.col("root").alias("ry")), "bucket").filter("x < y and rx <> ry")
