@@ -12,10 +12,12 @@
    with a second one.  Both counts are linear in the bucket.
 5. Where a bucket's classes still form several components, a bucket of at most ``SMALL`` classes is
    finished exactly: all its pairs of different components are compared.  In a larger one every class
-   is compared with ``DRAWS`` centres drawn by hash, those that are in another component.  A class shares
-   about 8 buckets with each class it is linked to, so it is compared with some 64 classes; only a link
-   that alone holds two parts of a large bucket together, and that no draw meets, can be missed.
-6. Each candidate is confirmed on the full shingle sets of both texts.
+   is compared with ``DRAWS`` centres drawn by hash, those that are in another component.
+6. Larger buckets that still hold several components are finished exactly too: two classes of different
+   components are compared, unless their distances from the bucket's first centre differ by more than a
+   link allows (the Jaccard distance is a metric).  So every pair that shares a bucket is compared,
+   or known to be no link, or joined by other links.
+7. Each candidate is confirmed on the full shingle sets of both texts.
 
 Defined cases: null text counts as empty; a text of fewer than five words has one shingle, its whole
 word sequence; without words the set is empty and linked with nothing.  The vertices of the result
@@ -45,6 +47,8 @@ LINK = f"common * 100 >= total * {PERCENT}"
 SMALL = 16
 #: Centres of a larger bucket for the classes that the stars have not joined.
 DRAWS = 8
+#: The exact step deals a bucket into groups of about so many classes; each two groups meet by themselves.
+GROUP = 256
 _EMPTY = np.uint64(2**64 - 1)
 _rng = np.random.default_rng(77)
 #: The probe sequences of densification: for each bin a random order of all bins.
@@ -170,8 +174,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = components(links)
     more = written(_unsettled(shared, parts, tested), "more")
     if not more.isEmpty():
-        links = links.union(compared(more, texts, "tested").filter(LINK).select("a", "b"))
+        again = compared(more, texts, "tested")
+        links = links.union(again.filter(LINK).select("a", "b"))
         parts = components(links)
+        rest = written(_remaining(shared, parts, tested, again), "rest")
+        if not rest.isEmpty():
+            links = links.union(compared(rest, texts, "tested").filter(LINK).select("a", "b"))
+            parts = components(links)
     return _labelled(members, parts)
 
 
@@ -192,15 +201,18 @@ def _with_vid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc_id", "vid", "text"])
 
 
+def _rooted(shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """``shared`` with the component of each class; one without any link is a component of its own."""
+    return shared.join(parts.withColumnRenamed("v", "vid"), "vid", "left").select(
+        "bucket", "size", "weight", "vid", F.coalesce("root", "vid").alias("root"))
+
+
 def _unsettled(shared: DataFrame, parts: DataFrame, tested: DataFrame) -> DataFrame:
     """Pairs (a, b) of a bucket in different components, not compared yet.
 
     In a small bucket these are all such pairs; in a larger one each class with ``DRAWS`` centres.
     """
-    # a class without any link is a component of its own
-    s = shared.join(parts.withColumnRenamed("v", "vid"), "vid", "left").select(
-        "bucket", "size", "weight", "vid", F.coalesce("root", "vid").alias("root"))
-    s = written(s, "rooted")
+    s = written(_rooted(shared, parts), "rooted")
     # drawn in each bucket; a class that meets many is likelier (the least of exponential variables
     # with these rates)
     drawn = []
@@ -222,6 +234,35 @@ def _unsettled(shared: DataFrame, parts: DataFrame, tested: DataFrame) -> DataFr
             .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
 
 
+def _remaining(shared: DataFrame, parts: DataFrame, tested: DataFrame, again: DataFrame) -> DataFrame:
+    """All pairs (a, b) of a larger bucket in different components that may be links and weren't compared."""
+    s = written(_rooted(shared.filter(F.col("size") > SMALL), parts), "rooted")
+    # the first centre as for the stars: every class of the bucket has been compared with it
+    mixed = (s.groupBy("bucket").agg(F.count(F.lit(1)).alias("freq"), F.min("root").alias("lo"),
+                                     F.max("root").alias("hi"), F.max_by("vid", F.struct("weight", "vid")).alias("c1"))
+             .filter("lo <> hi").select("bucket", "freq", F.col("bucket").alias("key"), "c1"))
+    s = join_unique(s, mixed, "bucket", "freq", [F.col("vid")], matched=True)
+    far = tested.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
+    s = (s.withColumn("a", F.least("vid", "c1")).withColumn("b", F.greatest("vid", "c1"))
+         .join(far, ["a", "b"], "left").withColumn("d", F.coalesce("d", F.lit(0.0))))
+    # cells as wide as a link: only neighbouring cells can hold a link
+    width = 1 - PERCENT / 100
+    groups = F.ceil(F.col("size") / GROUP).cast("int")
+    s = s.select("key", "vid", "root", "d", F.floor(F.col("d") / F.lit(width)).cast("int").alias("cell"),
+                 F.pmod(F.xxhash64("vid"), groups).cast("int").alias("own"),
+                 F.sequence(F.lit(0), groups - 1).alias("others"))
+    x = (s.select("key", F.col("vid").alias("x"), F.col("root").alias("rx"), F.col("d").alias("dx"),
+                  F.col("cell").alias("cx"), F.col("own").alias("gx"), F.explode("others").alias("gy"))
+         .withColumn("cell", F.explode(F.array(F.col("cx"), F.col("cx") + 1))))
+    y = s.select("key", F.col("vid").alias("y"), F.col("root").alias("ry"), F.col("d").alias("dy"), "cell",
+                 F.col("own").alias("gy"), F.explode("others").alias("gx"))
+    pairs = (x.join(y, ["key", "cell", "gx", "gy"])
+             .filter((F.col("rx") != F.col("ry")) & (F.abs(F.col("dx") - F.col("dy")) <= width + 1e-9)
+                     & ((F.col("cx") != F.col("cell")) | (F.col("x") < F.col("y"))))
+             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    return pairs.join(tested.select("a", "b").union(again.select("a", "b")), ["a", "b"], "left_anti")
+
+
 def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Component ids of documents: classes joined by links, and ids that stand on several rows."""
     roots = parts.select(F.col("v").alias("vid"), "root")
