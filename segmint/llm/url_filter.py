@@ -13,6 +13,8 @@ is counted once; hot words, parts and shapes reach their rows through ``join_uni
 Defined cases: a null url or one without ``://`` has empty host and path, fits no rule and is judged by
 the class prior alone.  Null and repeated page_ids stay, row by row; other columns are ignored; an
 empty table gives no rows.  Without judged urls both classes are equally likely.
+Only runs of a-z and of digits are words: letters of other scripts are left out of parts and counts, so a
+host in another script has the prior alone.
 """
 
 from __future__ import annotations
