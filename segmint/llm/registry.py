@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmint.llm import (chat_format, decontaminate, exact_dedup, near_dedup, packing, pii_surrogates,
+from segmint.llm import (chat_format, decontaminate, exact_dedup, fill_middle, near_dedup, packing, pii_surrogates,
                          quality_pu, substring_dedup, token_counts, url_filter)
 from segmint.llm.common import ship, table
 
@@ -117,3 +117,27 @@ def op10_quality_pu(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     weights, _ = quality_pu.fit(docs, table(spark, sf_dir, "labels"))
     return quality_pu.score(docs, weights)
+
+
+@query("op11_fill_in_middle", r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS x FROM documents),
+     h AS (SELECT *, length(t) AS n, ('0x' || substr(x, 1, 8))::BIGINT AS h1, ('0x' || substr(x, 9, 8))::BIGINT AS h2,
+                  ('0x' || substr(x, 17, 8))::BIGINT AS h3, ('0x' || substr(x, 25, 8))::BIGINT AS h4 FROM d),
+     c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+                       THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+              WHEN 'psm' THEN '<P>' || substring(t, 1, a) || '<S>' || substring(t, b + 1) || '<M>' || substring(t, a + 1, b - a)
+              ELSE '<S>' || substring(t, b + 1) || '<P>' || substring(t, 1, a) || '<M>' || substring(t, a + 1, b - a)
+              END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
+""")
+def op11_fill_in_middle(spark, sf_dir):
+    """Every document in fill-in-the-middle form, and the text read back from it."""
+    out = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"),
+                      F.col("middle_units").alias("middle_chars"), F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
