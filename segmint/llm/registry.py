@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmint.llm import (chat_format, decontaminate, exact_dedup, fill_middle, near_dedup, packing, pii_surrogates,
-                         quality_pu, substring_dedup, token_counts, url_filter)
+                         quality_pu, substring_dedup, token_counts, token_store, url_filter)
 from segmint.llm.common import ship, table
+from segmint.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -141,3 +142,11 @@ def op11_fill_in_middle(spark, sf_dir):
     return out.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"),
                       F.col("middle_units").alias("middle_chars"), F.sha2("output", 256).alias("output_sha256"),
                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op13_simple8b")
+def op13_simple8b(spark, sf_dir):
+    """All documents as Simple-8b files in doc_id order, and what the files give back."""
+    path = scratch_path(spark, "token_ids")
+    token_store.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return token_store.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
