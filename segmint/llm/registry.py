@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmint.llm import (chat_format, decontaminate, exact_dedup, fill_middle, near_dedup, packing, pii_surrogates,
-                         quality_pu, substring_dedup, token_counts, token_store, url_filter)
+from segmint.llm import (chat_format, collocations, decontaminate, exact_dedup, fill_middle, near_dedup, packing,
+                         pii_surrogates, quality_pu, substring_dedup, token_counts, token_store, url_filter)
 from segmint.llm.common import ship, table
 from segmint.session import scratch_path
 
@@ -144,6 +144,32 @@ def op11_fill_in_middle(spark, sf_dir):
                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+@query("op12_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+     g AS (SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+           FROM w, (VALUES (1), (2), (3), (4)) t(k) WHERE len(w) >= k),
+     f AS (SELECT lang, phrase, k, count(*) AS n FROM g GROUP BY ALL),
+     sizes AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+     c AS (SELECT lang, phrase, k, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 30),
+     o AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+           FROM c, (VALUES (1, 2), (2, 2), (3, 2), (1, 3), (2, 3)) t(s, m) WHERE m < k AND s + m - 1 <= k GROUP BY ALL),
+     x AS (SELECT c.lang, c.phrase, a, w, k, unnest(range(1, k)) AS cut FROM c LEFT JOIN o USING (lang, phrase)
+           WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+     y AS (SELECT x.lang, x.phrase, a, cut, l.n AS l, r.n AS r, ((2000000::HUGEINT * a) // (l.n + r.n))::BIGINT AS score
+           FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+                  JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(w[cut + 1:x.k], ' ')),
+     z AS (SELECT lang, phrase, a, min(score) AS score, arg_min(l, (score, cut)) AS l, arg_min(r, (score, cut)) AS r
+           FROM y GROUP BY ALL),
+     q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+SELECT lang, rank, phrase, a, l, r, sizes.n AS n, score FROM q JOIN sizes USING (lang) WHERE rank <= 2000
+""")
+def op12_collocations(spark, sf_dir):
+    """The 2000 strongest phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op13_simple8b")
 def op13_simple8b(spark, sf_dir):
     """All documents as Simple-8b files in doc_id order, and what the files give back."""
