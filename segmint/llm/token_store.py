@@ -33,15 +33,17 @@ ignored; an empty table gives no segments.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from segmint.llm.arrays import blocks, ragged_arange
+from segmint.llm.arrays import blocks
 from segmint.llm.common import plain_documents
 
 #: (ids in a word, bits of each) by selector; selector 0 is the escape, selector 1 a run of zeros.
@@ -153,19 +155,49 @@ def decode_block(offsets: np.ndarray, words: np.ndarray, escapes: np.ndarray, n:
 
 # --- text to ids -------------------------------------------------------------
 
+#: Kinds of bytes that are certain: letter, sign, digit (Latin and Cyrillic letters beyond ASCII: ``_letters``).
+_LETTER, _SIGN, _DIGIT = 1, 2, 3
 _KIND = np.zeros(256, np.int8)
-_KIND[33:127] = 2
-_KIND[[*range(65, 91), *range(97, 123)]] = 1
-_KIND[48:58] = 3
+_KIND[33:127] = _SIGN
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[48:58] = _DIGIT
 _APOSTROPHE = 39
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, 0x0A, 0x09, 0x0D]] = True
+#: First bytes of two-byte letters: U+00C0 to U+027F but the signs U+00D7 and U+00F7, U+0400 to U+047F.
+_TWO = np.zeros(256, bool)
+_TWO[[*range(0xC3, 0xCA), 0xD0, 0xD1]] = True
+#: A piece that is one pre-token, after the rules below.
+_ONE = re.compile(rb" ?(?:(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc9\xd0\xd1][\x80-\xbf])+"
+                  rb"|[0-9]+|[!-&(-/:-@\[-`{-~]+)")
+#: A byte-level vocabulary writes a byte as its character where that is printable, the others behind U+0100 in order.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
+def _letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(kind, whether certainly the last byte of a character that is no white space) of each byte."""
+    kind = _KIND[data]
+    solid = kind > 0
+    inner = (data & 0xC0) == 0x80
+    if inner.any():
+        two = inner[1:] & _TWO[data[:-1]] & ~((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
+        kind[1:][two] = _LETTER
+        kind[:-1][two] = _LETTER
+        # white space beyond ASCII begins with C2, E1, E2 or E3
+        solid[1:] |= inner[1:] & (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
+        solid[2:] |= inner[2:] & (data[:-2] >= 0xE4) & (data[:-2] <= 0xEF)
+        solid[3:] |= inner[3:] & (data[:-3] >= 0xF0)
+    return kind, solid
 
 
 class ByteEncoder:
     """Ids of whole texts for a byte-level vocabulary whose pre-tokens are a blank and a run of one kind.
 
-    Behind an ASCII letter, digit or sign a pre-token ends where white space or, but for the apostrophe,
-    another ASCII kind begins.  Texts are cut there; each distinct piece, compared by its bytes, is
-    encoded by the library once and remembered.  A text with a special string is encoded whole.
+    A pre-token ends before white space; behind a letter, digit or sign but the apostrophe, where another
+    kind begins; before the last blank of several; and behind a line feed or tab that something follows.
+    Texts are cut where that is certain; each distinct piece, compared by its bytes, is encoded by the
+    library once and remembered.  A text with a special string is encoded whole.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -177,17 +209,17 @@ class ByteEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.known = pa.array([], pa.large_binary())
+        self.ids = pa.array([], pa.list_(pa.uint32()))  # of each known piece
 
     def _encode(self, parts: list[bytes]) -> list[list[int]]:
         out: list[list[int]] = [[]] * len(parts)
         other = []
         for i, p in enumerate(parts):
-            word = p[1:] if p[:1] == b" " else p
-            if word.isalpha():  # ASCII letters: one pre-token
-                out[i] = [t.id for t in self.model.tokenize(("Ġ" if len(word) < len(p) else "") + word.decode())]
+            if _ONE.fullmatch(p):
+                text = p.decode("latin-1")
+                text = text.replace(" ", "\u0120") if p.isascii() else text.translate(_BYTE_CHARS)
+                out[i] = [t.id for t in self.model.tokenize(text)]
             else:
                 other.append(i)
         for i, e in zip(other, self.tokenizer.encode_batch([parts[i].decode() for i in other],
@@ -214,45 +246,39 @@ class ByteEncoder:
         n = len(data)
         if not n:
             return np.zeros(len(offsets) - 1, np.int64), np.zeros(0, np.uint32)
-        kind = _KIND[data]
-        blank = (data == 0x20) | (data == 0x0A) | (data == 0x09) | (data == 0x0D)
-        cut = np.zeros(n, bool)
+        kind, solid = _letters(data)
+        blank = _BLANK[data]
+        cut, begin = np.zeros(n, bool), np.zeros(n, bool)
+        begin[offsets[:-1][offsets[:-1] < n]] = True
         a, b = kind[:-1], kind[1:]
-        cut[1:] = (a > 0) & (blank[1:] | ((b > 0) & (a != b) & (data[:-1] != _APOSTROPHE)))
-        cut[offsets[:-1][offsets[:-1] < n]] = True
-        begins = np.flatnonzero(cut)
-        spans = np.append(begins, n).astype(np.int32 if n < 2**31 else np.int64)
-        pieces = pa.Array.from_buffers(pa.binary() if n < 2**31 else pa.large_binary(), len(begins),
+        cut[1:] = (solid[:-1] & blank[1:]) | ((a > 0) & (b > 0) & (a != b) & (data[:-1] != _APOSTROPHE))
+        cut[1:] |= blank[:-1] & (data[:-1] != 0x20) & (b > 0)
+        cut[1:-1] |= blank[:-2] & blank[1:-1] & (b[1:] > 0) & ~begin[2:]
+        begins = np.flatnonzero(cut | begin)
+        spans = np.append(begins, n)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(begins),
                                        [None, pa.py_buffer(spans), pa.py_buffer(np.ascontiguousarray(data))])
         pieces = pieces.dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
+        distinct = pieces.dictionary
         if len(self.known) + len(distinct) > REMEMBERED:
             self._forget()
-        slot = np.array([self.known.get(p, -1) for p in distinct], np.int64)
+        slot = pc.index_in(distinct, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
         new = np.flatnonzero(slot < 0)
-        begin, size, ids = self.begin, self.size, self.ids
+        ids = self.ids
         if len(new):
-            parts = [distinct[i] for i in new.tolist()]
-            got = self._encode(parts)
-            sizes = np.array([len(x) for x in got], np.int64)
-            short = np.array([len(p) <= REMEMBERED_BYTES for p in parts])
             # remembered ones first, so that the others can be left out afterwards
-            order = np.argsort(~short, kind="stable")
-            flat = np.array([i for k in order.tolist() for i in got[k]], np.uint32)
-            sizes = sizes[order]
-            slot[new[order]] = len(begin) + np.arange(len(new))
-            begin = np.concatenate([begin, len(ids) + np.cumsum(sizes) - sizes])
-            size, ids = np.concatenate([size, sizes]), np.concatenate([ids, flat])
-            kept = len(self.begin) + int(short.sum())
-            for k in order[:int(short.sum())].tolist():
-                self.known[parts[k]] = int(slot[new[k]])
-            self.begin, self.size = begin[:kept], size[:kept]
-            self.ids = ids[:len(self.ids) + int(sizes[:int(short.sum())].sum())]
-        own = slot[pieces.indices.to_numpy()]
-        long = size[own]
-        out = ids[np.repeat(begin[own], long) + ragged_arange(long)]
-        bounds = np.concatenate([[0], np.cumsum(long)])[np.searchsorted(begins, offsets)]
-        return np.diff(bounds), out
+            long = pc.binary_length(distinct).to_numpy()[new] > REMEMBERED_BYTES
+            new = new[np.argsort(long, kind="stable")]
+            parts = distinct.take(pa.array(new))
+            got = pa.array(self._encode(parts.to_pylist()), pa.list_(pa.uint32()))
+            slot[new] = len(ids) + np.arange(len(new))
+            kept = len(new) - int(long.sum())
+            self.known = pa.concat_arrays([self.known, parts[:kept]])
+            self.ids = pa.concat_arrays([ids, got[:kept]])
+            ids = self.ids if kept == len(new) else pa.concat_arrays([ids, got])
+        found = ids.take(pa.array(slot[pieces.indices.to_numpy()]))
+        bounds = found.offsets.to_numpy()[np.searchsorted(begins, offsets)]
+        return np.diff(bounds), found.flatten().to_numpy()
 
 
 _ENCODERS: dict[str, ByteEncoder] = {}

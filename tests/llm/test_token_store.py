@@ -51,7 +51,7 @@ def hostile():
     rng = random.Random(2)
     bits = ["<|endoftext|>", "<|endof", " ", "  ", "\n", "\t", "\r\n", "'s", "'", "don't", "!'re", "é", "漢字", " ", "　",
             " ", "\u0085", " ", "a", "Word", "12", "3", ".", "...", "\x00", "\x1c", "😀", "_", "   ", "ǅ", "²"]
-    return ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(6000)]
+    return ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(20000)]
 
 
 def test_ids_of_hostile_texts_equal_the_library(monkeypatch):
