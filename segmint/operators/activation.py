@@ -92,8 +92,8 @@ def parse_records(queue: DataFrame, with_time: bool = False) -> DataFrame:
     once (a plain projection would be re-parsed inside the pushed filter).
     """
     parsed = F.from_json("body", BODY_SCHEMA, {"mode": "PERMISSIVE"})
-    flat = queue.select(F.col("messageId").cast("long").alias("message_id"),
-                        F.inline_outer(F.array(parsed)))
+    # an id is text: queues send UUIDs
+    flat = queue.select(F.col("messageId").alias("message_id"), F.inline_outer(F.array(parsed)))
     cols = [
         "message_id",
         F.col("source").alias("source"),
@@ -250,6 +250,50 @@ def resolve_segment(routed: DataFrame, catalogue: DataFrame | None = None,
     return out.withColumn("segment_id", F.coalesce("segment_id", F.lit("0").cast(kind)))
 
 
+def resolve_records(records: DataFrame, audiences: DataFrame | None = None,
+                    segments: DataFrame | None = None,
+                    lookups: tuple[DataFrame, DataFrame] | None = None,
+                    rule: EventRule = EventRule()) -> DataFrame:
+    """Filter, route and resolve per record: the columns of a plan, but the ``action``."""
+    routed = route_reasons(route_key(records.where(rule.fits() | F.col("malformed"))))
+    aud_lk, seg_lk = lookups if lookups is not None else (None, None)
+    with_aud = resolve_audience(routed, audiences, aud_lk)
+    with_seg = resolve_segment(with_aud, segments, seg_lk)
+    is_file = F.col("profile") == "file"
+    reason = F.coalesce(F.col("reason"), F.when(
+        ~is_file & (F.col("segment_id").cast("string") == "0"), F.lit("SEGMENT_NOT_FOUND")))
+    return with_seg.select(
+        "message_id", "bucket", "key", "file_name", "profile", "audience", "calculate_type",
+        F.when(is_file, F.col("audience_id")).alias("audience_id"),
+        F.when(~is_file, F.col("segment_id")).alias("segment_id"),
+        reason.alias("reason"), "size")
+
+
+def choose_actions(resolved: DataFrame, created: DataFrame | None = None) -> DataFrame:
+    """The ``action`` of each resolved record (null where it has a ``reason``).
+
+    Records that cannot be delivered must have their reason by now: the first record that can be
+    (smallest message id) creates an audience that the catalogue does not list.
+    """
+    is_file = F.col("profile") == "file"
+    # one row per audience: a minimum, combined before the shuffle
+    first = (resolved.where(is_file & F.col("reason").isNull() & F.col("audience_id").isNull())
+             .groupBy("audience").agg(F.min(F.struct("message_id", "key")).alias("__first")))
+    if created is not None:
+        first = first.join(created.select("audience").distinct(), "audience", "left_anti")
+    is_first = F.struct("message_id", "key").eqNullSafe(F.col("__first"))
+    action = (F.when(F.col("reason").isNotNull(), F.lit(None).cast("string"))
+              .when(is_file & F.col("audience_id").isNull() & is_first, F.lit("CREATE"))
+              .when(is_file, F.lit("APPEND"))
+              .otherwise(F.lit("ADD_USERS")))
+    more = [c for c in resolved.columns if c not in PLAN_FIELDS]
+    return resolved.join(first, "audience", "left").withColumn("action", action).select(*PLAN_FIELDS, *more)
+
+
+PLAN_FIELDS = ("message_id", "bucket", "key", "file_name", "profile", "audience", "calculate_type",
+               "audience_id", "segment_id", "action", "reason", "size")
+
+
 def plan_activation(records: DataFrame, audiences: DataFrame | None = None,
                     segments: DataFrame | None = None,
                     lookups: tuple[DataFrame, DataFrame] | None = None,
@@ -267,29 +311,7 @@ def plan_activation(records: DataFrame, audiences: DataFrame | None = None,
     first record (smallest message id); its other records append to it.
     ``created(audience)`` names audiences that an earlier batch created.
     """
-    routed = route_reasons(route_key(records.where(rule.fits() | F.col("malformed"))))
-    aud_lk, seg_lk = lookups if lookups is not None else (None, None)
-    with_aud = resolve_audience(routed, audiences, aud_lk)
-    with_seg = resolve_segment(with_aud, segments, seg_lk)
-    is_file = F.col("profile") == "file"
-    reason = F.coalesce(F.col("reason"), F.when(
-        ~is_file & (F.col("segment_id").cast("string") == "0"), F.lit("SEGMENT_NOT_FOUND")))
-    unlisted = routed.where(is_file & F.col("reason").isNull())
-    # one row per audience: a minimum, combined before the shuffle
-    first = unlisted.groupBy("audience").agg(
-        F.min(F.struct("message_id", "key")).alias("__first"))
-    if created is not None:
-        first = first.join(created.select("audience").distinct(), "audience", "left_anti")
-    is_first = F.struct("message_id", "key").eqNullSafe(F.col("__first"))
-    action = (F.when(reason.isNotNull(), F.lit(None).cast("string"))
-              .when(is_file & F.col("audience_id").isNull() & is_first, F.lit("CREATE"))
-              .when(is_file, F.lit("APPEND"))
-              .otherwise(F.lit("ADD_USERS")))
-    return with_seg.join(first, "audience", "left").select(
-        "message_id", "bucket", "key", "file_name", "profile", "audience", "calculate_type",
-        F.when(is_file, F.col("audience_id")).alias("audience_id"),
-        F.when(~is_file, F.col("segment_id")).alias("segment_id"),
-        action.alias("action"), reason.alias("reason"), "size")
+    return choose_actions(resolve_records(records, audiences, segments, lookups, rule), created)
 
 
 def outbox(plan: DataFrame) -> DataFrame:

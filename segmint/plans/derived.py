@@ -104,7 +104,8 @@ def contacts_csv(spark: SparkSession, sf_dir: str) -> str:
 # rows land outside the pattern (other bucket, deleted object, temp prefix),
 # some keys are too short, some types or suffixes unsupported.
 NOTIFICATION_BASE = [
-    "event_id AS message_id",
+    # queues send ids that are text
+    "concat(substring(md5(CAST(event_id AS STRING)), 1, 8), '-', CAST(event_id AS STRING)) AS message_id",
     "ts AS event_time",
     f"CASE WHEN user_id % 7 = 0 THEN 'scratch-artifacts' ELSE '{BUCKET_PREFIX}-demo' END AS bucket",
     f"CASE WHEN event_type = 'error' AND value < 10 THEN 'Object Deleted' ELSE '{EVENT_DETAIL_TYPE}' END AS detail_type",
@@ -149,7 +150,7 @@ def queue_records(flat: DataFrame) -> DataFrame:
     """Wrap flat notifications as queue records: ``messageId`` + JSON ``body``."""
     body = F.struct(
         F.lit("0").alias("version"),
-        F.col("message_id").cast("string").alias("id"),
+        F.col("message_id").alias("id"),
         F.col("detail_type").alias("detail-type"),
         F.col("source").alias("source"),
         F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
@@ -162,18 +163,16 @@ def queue_records(flat: DataFrame) -> DataFrame:
     text = F.to_json(body)
     if "broken" in flat.columns:
         # ends in the middle of the document
-        text = F.when(F.col("broken"), F.concat(F.lit("{"), F.col("message_id").cast("string"))).otherwise(text)
-    return flat.select(F.col("message_id").cast("string").alias("messageId"), text.alias("body"))
+        text = F.when(F.col("broken"), F.concat(F.lit("{"), F.col("message_id"))).otherwise(text)
+    return flat.select(F.col("message_id").alias("messageId"), text.alias("body"))
 
 
 def queue_dir(spark: SparkSession, sf_dir: str) -> str:
     """Queue records as JSON-lines files (several files, ordered by id)."""
     def build() -> str:
         path = scratch_path(spark, "derived", "queue")
-        (queue_records(notifications_frame(spark, sf_dir))
-         .repartitionByRange(F.col("messageId").cast("long"))
-         .sortWithinPartitions(F.col("messageId").cast("long"))
-         .write.json(path))
+        (queue_records(notifications_frame(spark, sf_dir).repartitionByRange("event_time")
+                       .sortWithinPartitions("event_time")).write.json(path))
         return path
     return _once(spark, ("queue", sf_dir), build)
 

@@ -692,7 +692,7 @@ def q_upload_results(spark, sf_dir):
                          .alias("user"))).alias("users"))).alias("response"))
     path = scratch_path(spark, "derived", "responses")
     resp.write.json(path)
-    parsed = PL.uploaded_users(spark.read.schema("message_id BIGINT, response STRING").json(path))
+    parsed = PL.uploaded_users(spark.read.schema("message_id STRING, response STRING").json(path))
     joined = parsed.join(sent.select("message_id", "audience"), "message_id")
     return joined.groupBy("audience").agg(
         F.count(F.lit(1)).alias("n_requests"),
@@ -743,10 +743,9 @@ def q_stream_activation(spark, sf_dir):
     """
     base = scratch_path(spark, "stream")
     src = f"{base}/queue"
-    recs = queue_records(notifications_frame(spark, sf_dir))
-    key = F.col("messageId").cast("long")
-    recs.repartitionByRange(STREAM_FILES, key).sortWithinPartitions(key).write.json(src)
-    recs.repartitionByRange(STREAM_FILES // 2, key).write.mode("append").json(src)
+    recs = notifications_frame(spark, sf_dir)
+    queue_records(recs.repartitionByRange(STREAM_FILES, "event_time").sortWithinPartitions("event_time")).write.json(src)
+    queue_records(recs.repartitionByRange(STREAM_FILES // 2, "event_time")).write.mode("append").json(src)
     q = start_activation_stream(spark, src, audiences(spark, sf_dir), segments(spark, sf_dir),
                                 f"{base}/out", f"{base}/checkpoint",
                                 max_files_per_trigger=STREAM_FILES_PER_TRIGGER, rule=RULE)
@@ -824,7 +823,7 @@ def _created_records(spark: SparkSession, base: str, glob: str) -> DataFrame:
     (keys URL-encoded as the store sends them: space as '+')."""
     listing = D.file_manifest(spark, base, glob)
     return listing.select(
-        F.monotonically_increasing_id().alias("message_id"),
+        F.md5("key").alias("message_id"),
         F.current_timestamp().alias("event_time"),
         F.lit(A.BUCKET_PREFIX + "-demo").alias("bucket"),
         F.lit(A.EVENT_DETAIL_TYPE).alias("detail_type"), F.lit(A.EVENT_SOURCE).alias("source"),

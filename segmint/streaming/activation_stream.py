@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.activation import (QUEUE_SCHEMA, EventRule, audience_lookup, parse_records,
-                                    plan_activation, segment_lookup)
+from ..operators.activation import (QUEUE_SCHEMA, EventRule, audience_lookup, choose_actions,
+                                    parse_records, resolve_records, segment_lookup)
 from ..operators.payloads import delivery_requests
 from ..sources.audience import relative_key, scan_hash_files
-from ..sources.discovery import file_manifest, file_signatures_of
+from ..sources.discovery import file_signatures_of
+from ..sources.listing import present_objects
 
 PLAN_COLUMNS = ["message_id", "bucket", "key", "file_name", "profile", "audience",
                 "calculate_type", "audience_id", "segment_id", "action", "size"]
@@ -39,43 +40,35 @@ def _write_epoch(df: DataFrame, path: str) -> None:
        .partitionBy("epoch").parquet(path))
 
 
-def _deliver(spark: SparkSession, plan: DataFrame, files_root: str, epoch_id: int,
-             payload_path: str) -> tuple[DataFrame, DataFrame]:
-    """Read the objects a batch names; write batch-profile requests.
+def _mark_missing(resolved: DataFrame, files_root: str) -> DataFrame:
+    """``OBJECT_NOT_READABLE`` for the records whose object is not there, looked up in tasks by key."""
+    there = (present_objects(resolved.where(F.col("reason").isNull()), files_root)
+             .select("key", F.lit(True).alias("__there")))
+    return (resolved.join(there, "key", "left")
+            .withColumn("reason", F.coalesce("reason", F.when(F.col("__there").isNull(), F.lit("OBJECT_NOT_READABLE"))))
+            .drop("__there"))
 
-    Returns the outbox rows (file-profile rows carrying the md5 of their
-    object) and dead letters (``OBJECT_NOT_READABLE``) for the records whose
-    object is not there; other records of the batch are not affected.  The
-    objects are found by joining the store's listing; the keys of the present
-    ones, bounded by the micro-batch, name the files to scan.
+
+def _deliver(spark: SparkSession, sent: DataFrame, files_root: str, epoch_id: int, payload_path: str) -> DataFrame:
+    """Read the objects that a batch's deliverable records name; write batch-profile requests.
+
+    Returns the outbox rows, file-profile ones with the md5 of their object.  The keys, bounded by the
+    micro-batch, name the files to scan.
     """
-    sent = plan.where(F.col("reason").isNull())
-    try:
-        there = file_manifest(spark, f"{files_root.rstrip('/')}/output").select(
-            F.concat(F.lit("output/"), "key").alias("key"))
-    except AnalysisException:  # nothing was ever written below the root
-        there = spark.createDataFrame([], "key string")
-    found = sent.join(there, "key", "left_semi").persist()
-    try:
-        dead = sent.join(there, "key", "left_anti").select(
-            "message_id", "bucket", "key", F.lit("OBJECT_NOT_READABLE").alias("reason"), "epoch")
-        adds = found.where(F.col("action") == "ADD_USERS")
-        add_keys = [r.key for r in adds.select("key").distinct().toLocalIterator()]
-        file_keys = [r.key for r in found.where(F.col("profile") == "file")
-                     .select("key").distinct().toLocalIterator()]
-        if add_keys:
-            req = delivery_requests(adds, scan_hash_files(spark, files_root, add_keys))
-            _write_epoch(req.withColumn("epoch", F.lit(epoch_id)), payload_path)
-        if file_keys:
-            sig = (file_signatures_of(spark, files_root, file_keys)
-                   .select(relative_key(F.col("path"), files_root).alias("key"), "file_signature"))
-            out = sent.join(there, "key", "left_semi").join(sig, "key", "left")
-        else:
-            out = sent.join(there, "key", "left_semi").withColumn(
-                "file_signature", F.lit(None).cast("string"))
-        return out.select(*PLAN_COLUMNS, "file_signature", "epoch"), dead
-    finally:
-        found.unpersist()
+    adds = sent.where(F.col("action") == "ADD_USERS")
+    add_keys = [r.key for r in adds.select("key").distinct().toLocalIterator()]
+    file_keys = [r.key for r in sent.where(F.col("profile") == "file")
+                 .select("key").distinct().toLocalIterator()]
+    if add_keys:
+        req = delivery_requests(adds, scan_hash_files(spark, files_root, add_keys))
+        _write_epoch(req.withColumn("epoch", F.lit(epoch_id)), payload_path)
+    if file_keys:
+        sig = (file_signatures_of(spark, files_root, file_keys)
+               .select(relative_key(F.col("path"), files_root).alias("key"), "file_signature"))
+        out = sent.join(sig, "key", "left")
+    else:
+        out = sent.withColumn("file_signature", F.lit(None).cast("string"))
+    return out.select(*PLAN_COLUMNS, "file_signature", "epoch")
 
 
 Catalogue = DataFrame | Callable[[], DataFrame]
@@ -116,7 +109,7 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Cat
               .option("maxFilesPerTrigger", max_files_per_trigger).json(queue_path))
     recs = parse_records(stream, with_time=bool(dedupe_watermark))
     recs = recs.where(rule.fits() | F.col("malformed")).withColumn(
-        "__seen", F.when(F.col("malformed"), F.concat(F.lit("m:"), F.col("message_id").cast("string")))
+        "__seen", F.when(F.col("malformed"), F.concat(F.lit("m:"), F.col("message_id")))
         .otherwise(F.concat_ws("|", "bucket", "object_key", "etag")))
     if dedupe_watermark:
         recs = (recs.withWatermark("event_time", dedupe_watermark)
@@ -137,22 +130,22 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Cat
         # a batch that is run again must not see what its first run created
         created = (spark.read.schema(created_schema).parquet(created_path)
                    .where(F.col("epoch") < epoch_id))
-        plan = plan_activation(batch, lookups=(audience_names(), segment_names()), rule=rule,
-                               created=created).withColumn("epoch", F.lit(epoch_id))
-        plan = plan.persist()
+        resolved = resolve_records(batch, lookups=(audience_names(), segment_names()), rule=rule).persist()
+        # before an audience's first record is chosen: only one that can be delivered may create it
+        ready = _mark_missing(resolved, files_root) if files_root else resolved
+        plan = choose_actions(ready, created).withColumn("epoch", F.lit(epoch_id)).persist()
         try:
             dead = (plan.where(F.col("reason").isNotNull())
                     .select("message_id", "bucket", "key", "reason", "epoch"))
-            if files_root:
-                out, missing = _deliver(spark, plan, files_root, epoch_id, payload_path)
-                dead = dead.unionByName(missing)
-            else:
-                out = plan.where(F.col("reason").isNull()).select(*PLAN_COLUMNS, "epoch")
+            sent = plan.where(F.col("reason").isNull())
+            out = (_deliver(spark, sent, files_root, epoch_id, payload_path) if files_root
+                   else sent.select(*PLAN_COLUMNS, "epoch"))
             _write_epoch(out, outbox_path)
             _write_epoch(dead, dead_path)
             _write_epoch(plan.where(F.col("action") == "CREATE").select("audience", "epoch"), created_path)
         finally:
             plan.unpersist()
+            resolved.unpersist()
 
     writer = (recs.writeStream.foreachBatch(handle)
               .option("checkpointLocation", checkpoint)
@@ -163,10 +156,10 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Cat
     return writer.start()
 
 
-OUTBOX_SCHEMA = ("message_id long, bucket string, key string, file_name string, profile string,"
+OUTBOX_SCHEMA = ("message_id string, bucket string, key string, file_name string, profile string,"
                  " audience string, calculate_type string, audience_id string, segment_id string,"
                  " action string, size long, file_signature string, epoch long")
-DEAD_SCHEMA = "message_id long, bucket string, key string, reason string, epoch long"
+DEAD_SCHEMA = "message_id string, bucket string, key string, reason string, epoch long"
 
 
 def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -39,7 +39,7 @@ def test_fx4_fx9_fx10_routing(spark):
     ])
     plan = A.plan_activation(A.parse_records(q), catalogue(spark, ["test3"], [77]),
                              seg_catalogue(spark, ["my segment"], [2]))
-    got = {r.message_id: r for r in plan.collect()}
+    got = {int(r.message_id): r for r in plan.collect()}
     assert set(got) == {0, 1, 2, 3, 4, 5}          # filtered: other bucket, tmp prefix
     assert (got[0].calculate_type, got[0].audience, got[0].action) == ("PHONE_SHA256", "test3", "APPEND")
     assert got[1].calculate_type == "PHONE_SHA256" and got[1].audience_id == 77
@@ -71,7 +71,7 @@ def test_fx11_status_messages(spark):
                          (b, "output/file/new/EMAIL_SHA256/a.csv")])
     plan = A.plan_activation(A.parse_records(q), catalogue(spark, ["known"], [5]),
                              seg_catalogue(spark, [], []))
-    msgs = {r.message_id: (r.status_code, r.message) for r in A.status_message(plan).collect()}
+    msgs = {int(r.message_id): (r.status_code, r.message) for r in A.status_message(plan).collect()}
     assert msgs[0][0] == 200 and "successfully updated" in msgs[0][1]
     assert msgs[1][0] == 200 and "successfully created" in msgs[1][1]
 
@@ -81,11 +81,11 @@ def test_bad_json_body_goes_to_dead_letters(spark):
                        "detail": {"bucket": {"name": A.BUCKET_PREFIX}, "object": {"key": "output/file/a/EMAIL_SHA256/x"}}})
     q = spark.createDataFrame([("1", "{not json"), ("2", None), ("3", good), ("4", "[]")], A.QUEUE_SCHEMA)
     recs = A.parse_records(q)
-    assert [r.message_id for r in A.event_filter(recs).collect()] == [3]
-    plan = {r.message_id: r for r in A.plan_activation(
+    assert [int(r.message_id) for r in A.event_filter(recs).collect()] == [3]
+    plan = {int(r.message_id): r for r in A.plan_activation(
         recs, catalogue(spark, [], []), seg_catalogue(spark, [], [])).collect()}
     assert {i: plan[i].reason for i in plan} == {1: "BAD_BODY", 2: "BAD_BODY", 3: None, 4: "BAD_BODY"}
-    assert {r.message_id: r.status_code for r in A.status_message(
+    assert {int(r.message_id): r.status_code for r in A.status_message(
         A.plan_activation(recs, catalogue(spark, [], []), seg_catalogue(spark, [], []))).collect()} == {
         1: 400, 2: 400, 3: 200, 4: 400}
 
@@ -98,7 +98,7 @@ def test_event_rule_account_region_and_bucket(spark):
                                ("3", body("mine-c", "1", "us")), ("4", body(A.BUCKET_PREFIX, "1", "eu"))],
                               A.QUEUE_SCHEMA)
     recs = A.parse_records(q)
-    ids = lambda rule: sorted(r.message_id for r in A.event_filter(recs, rule).collect())
+    ids = lambda rule: sorted(int(r.message_id) for r in A.event_filter(recs, rule).collect())
     assert ids(A.EventRule(bucket_prefix="mine")) == [1, 2, 3]
     assert ids(A.EventRule(bucket_prefix="mine", account="1")) == [1, 3]
     assert ids(A.EventRule(bucket_prefix="mine", account="1", region="eu")) == [1]
@@ -110,10 +110,10 @@ def test_new_audience_is_created_once(spark):
     q = queue_df(spark, [(b, "output/file/new/EMAIL_SHA256/a.csv"), (b, "output/file/new/PHONE_SHA256/b.csv"),
                          (b, "output/file/old/EMAIL_SHA256/c.csv"), (b, "output/file/new/type_3/d.csv")])
     args = (A.parse_records(q), catalogue(spark, [], []), seg_catalogue(spark, [], []))
-    got = {r.message_id: r.action for r in A.plan_activation(*args).collect()}
+    got = {int(r.message_id): r.action for r in A.plan_activation(*args).collect()}
     assert got == {0: "CREATE", 1: "APPEND", 2: "CREATE", 3: None}
     before = spark.createDataFrame([("new",)], "audience string")
-    got = {r.message_id: r.action for r in A.plan_activation(*args, created=before).collect()}
+    got = {int(r.message_id): r.action for r in A.plan_activation(*args, created=before).collect()}
     assert got == {0: "APPEND", 1: "APPEND", 2: "CREATE", 3: None}
 
 
@@ -179,7 +179,7 @@ def test_fx12_delivery_no_schemas_and_requests(spark):
     assert bodies["EMAIL_SHA256"] == (
         2, '{"users":[{"schema":["EMAIL_SHA256"],"data":[["h1"],["h2","h3"]]}]}')
     assert set(bodies) == {"EMAIL_SHA256", "PHONE_SHA256"}
-    st = {r.message_id: r.response for r in delivery_status(adds, req).collect()}
+    st = {int(r.message_id): r.response for r in delivery_status(adds, req).collect()}
     assert st[2] == "no schemas were found" and st[1] == "3 users in 2 requests"
 
 
@@ -195,7 +195,7 @@ def test_undecodable_key_is_dead_lettered(spark):
     b = "uploader-etl-artifacts-x"
     q = queue_df(spark, [(b, "output/file/a%zz/EMAIL_SHA256/x.csv"),
                          (b, "output/file/caf%C3%A9/EMAIL_SHA256/x.csv")])
-    plan = {r.message_id: r for r in A.plan_activation(
+    plan = {int(r.message_id): r for r in A.plan_activation(
         A.parse_records(q), catalogue(spark, [], []), seg_catalogue(spark, [], [])).collect()}
     assert plan[0].reason == "UNDECODABLE_KEY" and plan[0].action is None
     assert plan[1].reason is None and plan[1].audience == "café"

@@ -131,9 +131,9 @@ def test_new_version_malformed_body_and_second_batch_of_a_new_audience(spark, tm
     _land(spark, src, _with_etag(_records([key], start=2), "v2"))   # uploaded again
     _land(spark, src, _with_etag(_records(["output/file/new/PHONE_SHA256/b.csv"], start=3), "v1"))
     _run(spark, src, out, ckpt)
-    got = sorted((r.message_id, r.action) for r in read_outbox(spark, out).collect())
+    got = sorted((int(r.message_id), r.action) for r in read_outbox(spark, out).collect())
     assert got == [(0, "CREATE"), (2, "APPEND"), (3, "APPEND")]
-    dead = sorted((r.message_id, r.reason) for r in read_dead_letters(spark, out).collect())
+    dead = sorted((int(r.message_id), r.reason) for r in read_dead_letters(spark, out).collect())
     assert dead == [(90, "BAD_BODY"), (91, "BAD_BODY")]
 
 
@@ -157,3 +157,27 @@ def test_mixed_batch_dead_letters_only_the_missing_object(spark, tmp_path):
 def test_readers_of_a_job_that_wrote_nothing(spark, tmp_path):
     assert read_outbox(spark, str(tmp_path)).count() == 0
     assert read_dead_letters(spark, str(tmp_path)).count() == 0
+
+
+def test_text_message_ids_and_creation_by_the_first_deliverable_record(spark, tmp_path):
+    """The first record of a new audience names a missing object: the next one creates the audience."""
+    import uuid
+    root = tmp_path / "bucket"
+    fdir = root / "output" / "file" / "fresh" / "schema=EMAIL_SHA256"
+    fdir.mkdir(parents=True)
+    for name in "bc":
+        (fdir / f"{name}.csv").write_text(f"{name}\n")
+    src, out, ckpt = str(tmp_path / "q"), str(tmp_path / "out"), str(tmp_path / "ck")
+    recs = _records([f"output/file/fresh/schema=EMAIL_SHA256/{name}.csv" for name in "abc"])
+    for r, u in zip(recs, sorted(str(uuid.UUID(int=i * 7 + 10**36)) for i in range(3))):
+        r["messageId"] = u
+    _land(spark, src, recs[:2])
+    aud, seg = _catalogues(spark)
+    start_activation_stream(spark, src, aud, seg, out, ckpt, files_root=str(root)).awaitTermination()
+    _land(spark, src, recs[2:])
+    start_activation_stream(spark, src, aud, seg, out, ckpt, files_root=str(root)).awaitTermination()
+    assert sorted((r.message_id, r.action) for r in read_outbox(spark, out).collect()) == [
+        (recs[1]["messageId"], "CREATE"), (recs[2]["messageId"], "APPEND")]
+    assert [(r.message_id, r.reason) for r in read_dead_letters(spark, out).collect()] == [
+        (recs[0]["messageId"], "OBJECT_NOT_READABLE")]
+    assert [r.audience for r in spark.read.parquet(f"{out}/created").collect()] == ["fresh"]
