@@ -80,8 +80,8 @@ BODY_SCHEMA = T.StructType([
 ])
 
 
-def parse_records(queue: DataFrame, with_time: bool = False) -> DataFrame:
-    """Queue records → flat notification columns.
+def parse_records(queue: DataFrame, with_time: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Queue records → flat notification columns, and the columns of ``queue`` named in ``keep``.
 
     ``malformed`` marks a body that is no notification (no JSON, or without
     source, type, bucket or key); its other columns may be null.
@@ -93,7 +93,7 @@ def parse_records(queue: DataFrame, with_time: bool = False) -> DataFrame:
     """
     parsed = F.from_json("body", BODY_SCHEMA, {"mode": "PERMISSIVE"})
     # an id is text: queues send UUIDs
-    flat = queue.select(F.col("messageId").alias("message_id"), F.inline_outer(F.array(parsed)))
+    flat = queue.select(F.col("messageId").alias("message_id"), *keep, F.inline_outer(F.array(parsed)))
     cols = [
         "message_id",
         F.col("source").alias("source"),
@@ -103,6 +103,7 @@ def parse_records(queue: DataFrame, with_time: bool = False) -> DataFrame:
         F.col("detail.object.size").alias("size"),
         "account", "region",
         F.col("detail.object.etag").alias("etag"),
+        *keep,
     ]
     if with_time:
         cols.append(F.to_timestamp("time").alias("event_time"))

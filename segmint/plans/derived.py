@@ -106,7 +106,7 @@ def contacts_csv(spark: SparkSession, sf_dir: str) -> str:
 NOTIFICATION_BASE = [
     # queues send ids that are text
     "concat(substring(md5(CAST(event_id AS STRING)), 1, 8), '-', CAST(event_id AS STRING)) AS message_id",
-    "ts AS event_time",
+    "CAST(ts AS TIMESTAMP) AS event_time",
     f"CASE WHEN user_id % 7 = 0 THEN 'scratch-artifacts' ELSE '{BUCKET_PREFIX}-demo' END AS bucket",
     f"CASE WHEN event_type = 'error' AND value < 10 THEN 'Object Deleted' ELSE '{EVENT_DETAIL_TYPE}' END AS detail_type",
     f"'{EVENT_SOURCE}' AS source",

@@ -884,3 +884,7 @@ def q_stream_delivery(spark, sf_dir):
     req = read_payloads(spark, f"{base}/out")
     return req.select("audience", "segment_id", _chunk_of().alias("chunk"), "send_order",
                       "schema", "n_users", sha256_hex(F.col("payload")).alias("payload_sha256"))
+
+
+# the queries on keyed state and changes register themselves
+from . import registry_state  # noqa: E402,F401

@@ -19,7 +19,7 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
@@ -30,6 +30,7 @@ from ..operators.payloads import delivery_requests
 from ..sources.audience import relative_key, scan_hash_files
 from ..sources.discovery import file_signatures_of
 from ..sources.listing import present_objects
+from .stateful import first_deliveries, rocksdb_state
 
 PLAN_COLUMNS = ["message_id", "bucket", "key", "file_name", "profile", "audience",
                 "calculate_type", "audience_id", "segment_id", "action", "size"]
@@ -71,6 +72,12 @@ def _deliver(spark: SparkSession, sent: DataFrame, files_root: str, epoch_id: in
     return out.select(*PLAN_COLUMNS, "file_signature", "epoch")
 
 
+def redelivery_key() -> Column:
+    """What makes two records the same: the object version, or the message id of a malformed body."""
+    return (F.when(F.col("malformed"), F.concat(F.lit("m:"), F.col("message_id")))
+            .otherwise(F.concat_ws("|", "bucket", "object_key", "etag")))
+
+
 Catalogue = DataFrame | Callable[[], DataFrame]
 
 
@@ -80,6 +87,7 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Cat
                             available_now: bool = True,
                             files_root: str | None = None,
                             dedupe_watermark: str | None = None,
+                            redelivery_minutes: float | None = None,
                             rule: EventRule = EventRule()) -> StreamingQuery:
     """Start the job; returns the running query (``awaitTermination`` to wait).
 
@@ -96,7 +104,9 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Cat
     bounds that state with ``dropDuplicatesWithinWatermark`` on the record's
     event time instead, at the price that records arriving later than the
     watermark are dropped as late; leave it unset unless the queue's
-    redelivery window is known to be shorter.
+    redelivery window is known to be shorter.  ``redelivery_minutes`` (the queue's
+    visibility window) bounds it without that price: the key of a record is kept in
+    RocksDB for so long after its delivery (processing time) and then forgotten.
     """
     def lookup(catalogue: Catalogue, derive) -> Callable[[], DataFrame]:
         if callable(catalogue):
@@ -108,15 +118,14 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Cat
     stream = (spark.readStream.schema(QUEUE_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger).json(queue_path))
     recs = parse_records(stream, with_time=bool(dedupe_watermark))
-    recs = recs.where(rule.fits() | F.col("malformed")).withColumn(
-        "__seen", F.when(F.col("malformed"), F.concat(F.lit("m:"), F.col("message_id")))
-        .otherwise(F.concat_ws("|", "bucket", "object_key", "etag")))
-    if dedupe_watermark:
-        recs = (recs.withWatermark("event_time", dedupe_watermark)
-                .dropDuplicatesWithinWatermark(["__seen"]).drop("event_time"))
+    recs = recs.where(rule.fits() | F.col("malformed"))
+    if redelivery_minutes:
+        recs = first_deliveries(recs, redelivery_key(), redelivery_minutes)
+    elif dedupe_watermark:
+        recs = (recs.withColumn("__seen", redelivery_key()).withWatermark("event_time", dedupe_watermark)
+                .dropDuplicatesWithinWatermark(["__seen"]).drop("event_time", "__seen"))
     else:
-        recs = recs.dropDuplicates(["__seen"])
-    recs = recs.drop("__seen")
+        recs = recs.withColumn("__seen", redelivery_key()).dropDuplicates(["__seen"]).drop("__seen")
     created_path = os.path.join(out_root, "created")
     created_schema = "audience string, epoch long"
     # an empty part, so that the first micro-batch finds the table
@@ -153,6 +162,9 @@ def start_activation_stream(spark: SparkSession, queue_path: str, audiences: Cat
               .queryName(f"activation_{uuid.uuid4().hex[:12]}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="30 seconds")
+    if redelivery_minutes:
+        with rocksdb_state(spark, idle_batches=not available_now):
+            return writer.start()
     return writer.start()
 
 

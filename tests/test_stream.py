@@ -40,9 +40,9 @@ def _catalogues(spark):
     return aud, seg
 
 
-def _run(spark, src, out, ckpt):
+def _run(spark, src, out, ckpt, **kw):
     aud, seg = _catalogues(spark)
-    q = start_activation_stream(spark, src, aud, seg, out, ckpt, max_files_per_trigger=1)
+    q = start_activation_stream(spark, src, aud, seg, out, ckpt, max_files_per_trigger=1, **kw)
     q.awaitTermination()
 
 
@@ -181,3 +181,14 @@ def test_text_message_ids_and_creation_by_the_first_deliverable_record(spark, tm
     assert [(r.message_id, r.reason) for r in read_dead_letters(spark, out).collect()] == [
         (recs[0]["messageId"], "OBJECT_NOT_READABLE")]
     assert [r.audience for r in spark.read.parquet(f"{out}/created").collect()] == ["fresh"]
+
+
+def test_redelivery_window_option(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "q"), str(tmp_path / "out"), str(tmp_path / "ck")
+    keys = ["output/file/known/EMAIL_SHA256/a.csv", "output/file/known/GAID_SHA256/b.csv"]
+    _land(spark, src, _records(keys))
+    _land(spark, src, _records(keys))
+    _run(spark, src, out, ckpt, redelivery_minutes=90)
+    _land(spark, src, _records(keys[:1], start=7))
+    _run(spark, src, out, ckpt, redelivery_minutes=90)
+    assert sorted(r.key for r in read_outbox(spark, out).collect()) == sorted(keys)
