@@ -118,3 +118,43 @@ def delivery_status(adds: DataFrame, requests: DataFrame) -> DataFrame:
         F.when(F.col("n_requests").isNull(), F.lit(NO_SCHEMAS))
         .otherwise(F.format_string(DELIVERED, F.col("n_users"),
                                    F.col("n_requests"))).alias("response"))
+
+
+# --- file profile: form and bodies of the destination's requests --------------------
+
+UPLOAD_RESPONSE_SCHEMA = T.StructType([
+    T.StructField("request_id", T.StringType()),
+    T.StructField("code", T.LongType()),
+    T.StructField("message", T.StringType()),
+    T.StructField("data", T.StructType([T.StructField("file_path", T.StringType())])),
+])
+
+
+def upload_forms(sent: DataFrame, advertiser_id: str) -> DataFrame:
+    """The form that goes with each file: ``sent(message_id, key, calculate_type, file_signature)``."""
+    return sent.select("message_id", "key", F.to_json(F.struct(
+        F.lit(advertiser_id).alias("advertiser_id"), F.trim("file_signature").alias("file_signature"),
+        "calculate_type")).alias("form"))
+
+
+def uploaded_paths(docs: DataFrame) -> DataFrame:
+    """Landed upload responses (JSON in ``value``) → request_id, code, error, file_path."""
+    d = docs.select(F.from_json("value", UPLOAD_RESPONSE_SCHEMA).alias("d")).select("d.*")
+    return d.where("request_id is not null and code is not null").select(
+        "request_id", "code", F.col("message").alias("error"), F.col("data.file_path").alias("file_path"))
+
+
+def audience_bodies(sent: DataFrame, uploaded: DataFrame, advertiser_id: str) -> DataFrame:
+    """The request that follows an accepted upload: message_id, action, body.
+
+    CREATE names the audience and its identifier type, APPEND the audience's id.  A file whose upload was
+    refused or has not been answered, and an APPEND whose audience has no id yet, have no body.
+    """
+    paths = uploaded.where("code = 0 and file_path is not null").select("request_id", "file_path")
+    own = sent.where("profile = 'file'").join(paths, F.col("message_id") == F.col("request_id"))
+    common = [F.lit(advertiser_id).alias("advertiser_id"), F.array("file_path").alias("file_paths")]
+    body = (F.when(F.col("action") == "CREATE", F.to_json(F.struct(
+                *common, F.col("audience").alias("custom_audience_name"), "calculate_type")))
+            .when(F.col("audience_id").isNotNull(), F.to_json(F.struct(
+                F.lit("APPEND").alias("action"), *common, F.col("audience_id").alias("custom_audience_id")))))
+    return own.select("message_id", "action", body.alias("body")).where("body is not null")

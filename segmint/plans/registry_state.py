@@ -13,18 +13,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import activation as A
+from ..operators import payloads as PL
 from ..session import scratch_path
-from ..sinks.writers import write_output
+from ..sinks.commits import new_version
+from ..sinks.writers import read_committed, replace_output, write_output, write_version
+from ..sources.audience import scan_audience
 from ..sources.listing import manifest_diff, read_snapshot, snapshot
 from ..spec import HASH_LINE_BYTES
 from ..streaming import stateful as S
 from ..streaming.activation_stream import redelivery_key
 from ..streaming.status_stream import response_status, responses
 from . import oracle_sql as O
-from .derived import notifications_frame, queue_records
+from .derived import contacts_frame, notifications_frame, queue_records
 from .registry import (AUD_CTE, FILE_SPEC, FILTERED_CTE, NOTIF_CTE, PLAN_WITH, RULE, SMALL_BYTE_CAP,
                        activation_plan, audience_scan, register, table)
-from .transform import run_transform
+from .transform import read_counts, run_transform
 
 SLICES, FILES_PER_SLICE = 4, 2
 #: Event times of the driver tables begin here; a slice holds this many days.
@@ -259,3 +262,100 @@ def q_manifest_diff(spark, sf_dir):
     after = snapshot(spark, f"{base}/bucket", f"{base}/after")
     changes = manifest_diff(by_folder(read_snapshot(spark, f"{base}/before")), by_folder(after))
     return changes.select(F.col("key").alias("folder"), "status", "size")
+
+
+# --- K1, P11: replacement as a whole -------------------------------------------------
+
+@register("read_committed", (
+    "SELECT 'after a failed run' AS moment, schema, chunk, count(*) AS n_rows, min(hash) AS first_hash "
+    f"FROM ({O.file_split_sql(CAPS[0], segment=REWRITTEN)}) a GROUP BY schema, chunk UNION ALL "
+    "SELECT 'after the next run', schema, chunk, count(*), min(hash) "
+    f"FROM ({O.file_split_sql(CAPS[1], segment=REWRITTEN)}) b GROUP BY schema, chunk"))
+def q_read_committed(spark, sf_dir):
+    """K1+P11: an upload is written, written again by a run that ends before its commit, and replaced by a
+    third; readers see the first version whole, then the third."""
+    base = scratch_path(spark, "commits")
+    spec = replace(FILE_SPEC, segment_name=REWRITTEN)
+
+    def run(cap, whole):
+        job = run_transform(audience_scan(spark, sf_dir, spec), spec, cap_rows=cap)
+        if whole:
+            replace_output(job.rows, base, "file", REWRITTEN, job.n_parts, schemas=list(job.chunks))
+        else:
+            write_version(job.rows, base, "file", REWRITTEN, new_version(), job.n_parts)
+        job.release()
+
+    def seen(moment, name):
+        rows = read_committed(spark, base, "file", REWRITTEN)
+        parts = rows.groupBy("schema", "chunk").agg(F.count(F.lit(1)).alias("n_rows"), F.min("hash").alias("first_hash"))
+        parts.select(F.lit(moment).alias("moment"), "*").write.parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+
+    run(CAPS[0], True)
+    run(CAPS[1], False)
+    before = seen("after a failed run", "seen_before")
+    run(CAPS[1], True)
+    return before.unionByName(seen("after the next run", "seen_after"))
+
+
+# --- T7: bodies of the file profile ---------------------------------------------------
+
+ADVERTISER = "700000000001"
+#: Landed answers to uploads, from ``orders``.
+UPLOAD_ANSWERS = [
+    "concat(substring(md5(CAST(o_orderkey AS STRING)), 1, 8), '-', CAST(o_orderkey AS STRING)) AS request_id",
+    "CAST(CASE o_orderstatus WHEN 'P' THEN 40000 ELSE 0 END AS BIGINT) AS code",
+    "concat('uploads/', CAST(o_custkey AS STRING), '/', CAST(o_orderkey AS STRING)) AS file_path",
+]
+
+
+@register("file_requests", PLAN_WITH + (
+    f", u AS (SELECT {', '.join(UPLOAD_ANSWERS)} FROM orders) "
+    "SELECT message_id, action, CASE WHEN action = 'CREATE' THEN concat('{\"advertiser_id\":\"" + ADVERTISER + "\",\"file_paths\":[\"', "
+    "file_path, '\"],\"custom_audience_name\":\"', audience, '\",\"calculate_type\":\"', calculate_type, '\"}') "
+    "ELSE concat('{\"action\":\"APPEND\",\"advertiser_id\":\"" + ADVERTISER + "\",\"file_paths\":[\"', file_path, "
+    "'\"],\"custom_audience_id\":\"', audience_id, '\"}') END AS body "
+    "FROM plan JOIN u ON request_id = message_id AND code = 0 "
+    "WHERE reason IS NULL AND profile = 'file' AND (action = 'CREATE' OR audience_id IS NOT NULL)"))
+def q_file_requests(spark, sf_dir):
+    """The body of the create or append request of each file whose upload was answered with a path."""
+    base = scratch_path(spark, "uploads")
+    answers = table(spark, sf_dir, "orders").selectExpr(*UPLOAD_ANSWERS)
+    answers.select(F.to_json(F.struct("request_id", "code", F.when(F.col("code") > 0, "refused").alias("message"), F.struct(
+        F.when(F.col("code") == 0, F.col("file_path")).alias("file_path")).alias("data"))).alias("value")).write.text(base)
+    sent = A.outbox(activation_plan(spark, sf_dir))
+    return PL.audience_bodies(sent, PL.uploaded_paths(spark.read.text(base)), ADVERTISER)
+
+
+# --- A5: rows of each upload ------------------------------------------------------------
+
+UPLOADS, BROKEN_EVERY = 5, 23
+
+
+@register("upload_rows", O.with_ctes(O.CONTACTS_CTE, O.NORMALIZED_CTE) + (
+    f", b AS (SELECT c.contact_id, c.contact_id % {UPLOADS} AS upload, c.contact_id % {BROKEN_EVERY} = 7 AS bad, "
+    "unnest(['EMAIL_SHA256', 'PHONE_SHA256', 'GAID_SHA256']) AS schema, "
+    "unnest([\"e-mail\", phone_number, mobile_advertiser_id]) AS raw, unnest([email_n, phone_n, ad_n]) AS norm "
+    "FROM c JOIN n USING (contact_id)) "
+    "SELECT upload, schema, count(*) AS records, count(*) FILTER (NOT bad AND norm IS NOT NULL) AS accepted, "
+    "count(*) FILTER (NOT bad AND raw IS NULL) AS no_value, "
+    "count(*) FILTER (NOT bad AND raw IS NOT NULL AND norm IS NULL) AS empty, "
+    "count(*) FILTER (bad) AS malformed FROM b GROUP BY upload, schema"))
+def q_upload_rows(spark, sf_dir):
+    """A5: values accepted, missing, empty and on malformed lines of each source file, counted by the job that
+    parses the upload."""
+    base = scratch_path(spark, "upload_rows")
+    contacts = contacts_frame(spark, sf_dir)
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in contacts.columns]))
+    # some lines are cut off
+    cut = F.when(F.col("contact_id") % BROKEN_EVERY == 7, F.substring(line, 1, 12)).otherwise(line)
+    (contacts.select(cut.alias("value"), (F.col("contact_id") % UPLOADS).alias("upload"))
+     .write.partitionBy("upload").text(f"{base}/in"))
+    spec = replace(FILE_SPEC, read_mode="PERMISSIVE")
+    job = run_transform(scan_audience(spark, f"{base}/in/*", spec), spec, counts_path=f"{base}/counts")
+    write_output(job.rows, f"{base}/bucket", "file", spec.segment_name, num_parts=job.n_parts, chunks=job.chunks)
+    job.release()
+    counts = read_counts(spark, f"{base}/counts")
+    upload = F.regexp_extract("source_file", "upload=([0-9]+)", 1).cast("long")
+    return counts.groupBy(upload.alias("upload"), "schema").agg(*[
+        F.sum(c).alias(c) for c in ("records", "accepted", "no_value", "empty", "malformed")])

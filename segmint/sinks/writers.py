@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import commits
+
 FILE_PARTS = ["segment_name", "schema", "chunk"]
 BATCH_PARTS = ["segment_name", "chunk"]
 
@@ -118,3 +120,61 @@ def _drop_stale(spark: SparkSession, base: str, profile: str, source: str,
             number = chunk.getName().removeprefix("chunk=")
             if number.isdigit() and int(number) >= chunks.get(schema, 0):
                 fs.delete(chunk, True)
+
+
+# --- versions: an upload is replaced as a whole -------------------------------------
+
+def write_version(df: DataFrame, root: str, profile: str, segment_name: str, version: str,
+                  num_parts: int | None = None, source: str = "upload") -> str:
+    """One job's parts in a version of their own, not current yet; returns the segment's folder.
+
+    The layout is that of ``write_output`` with a ``version=`` directory below ``source=``, so keys route
+    as before.  Nothing that exists is touched.
+    """
+    base = f"{root.rstrip('/')}/output/{profile}/{segment_name}"
+    more = [F.lit(source).alias("source"), F.lit(version).alias("version")]
+    if profile == "file":
+        out = _gather_parts(df, FILE_PARTS, num_parts).select("schema", *more, "chunk", "hash")
+        (out.write.mode("append").partitionBy("schema", "source", "version", "chunk")
+         .option("header", "false").csv(base))
+    else:
+        out = _gather_parts(df, BATCH_PARTS, num_parts).select("row_id", "schema", "hash", "segment_name", *more, "chunk")
+        (out.write.mode("append").partitionBy("source", "version", "chunk").option("header", "true")
+         .option("compression", "gzip").csv(base))
+    return base
+
+
+def replace_output(df: DataFrame, root: str, profile: str, segment_name: str, num_parts: int | None = None,
+                   source: str = "upload", schemas: list[str] | None = None) -> str:
+    """Write a version, make it current, then remove the versions it replaces; returns the version.
+
+    A failure at any point leaves readers with one whole version.  ``schemas`` (file profile) are the
+    identifier kinds whose folders may hold replaced versions.
+    """
+    spark, version = df.sparkSession, commits.new_version()
+    base = write_version(df, root, profile, segment_name, version, num_parts, source)
+    commits.commit(spark, base, source, version)
+    own = f"source={_escaped(spark, source)}"
+    commits.drop_superseded(spark, base, source, [f"schema={s}/{own}" for s in schemas or []] if profile == "file" else [own])
+    return version
+
+
+def _escaped(spark: SparkSession, name: str) -> str:
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+
+
+VERSION_COLUMNS = {"file": "hash string, schema string, source string, version string, chunk long",
+                   "batch": "row_id long, schema string, hash string, segment_name string, source string,"
+                            " version string, chunk long"}
+
+
+def read_committed(spark: SparkSession, root: str, profile: str, segment_name: str,
+                   source: str = "upload") -> DataFrame:
+    """The rows of an upload's current version; other versions' folders are pruned."""
+    base = f"{root.rstrip('/')}/output/{profile}/{segment_name}"
+    version = commits.current(spark, base, source)
+    if version is None:
+        return spark.createDataFrame([], VERSION_COLUMNS[profile])
+    rows = (spark.read.schema(VERSION_COLUMNS[profile]).option("header", str(profile == "batch").lower())
+            .option("basePath", base).csv(base))
+    return rows.where((F.col("source") == source) & (F.col("version") == version))

@@ -24,6 +24,10 @@ HASH_FILE_SCHEMA = T.StructType([
 ])
 
 
+#: Where a permissive JSON scan keeps a line that does not parse.
+MALFORMED = "_corrupt_record"
+
+
 def scan_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType,
                mode: str = "PERMISSIVE") -> DataFrame:
     """Newline-delimited JSON objects with an explicit schema (splittable)."""
@@ -53,6 +57,8 @@ def scan_audience(spark: SparkSession, path: str | list[str], spec: AudienceSpec
     if spec.source_format == "csv":
         df = scan_csv(spark, path, mode=spec.read_mode)
         return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    if spec.read_mode == "PERMISSIVE":
+        schema = T.StructType(schema.fields + [T.StructField(MALFORMED, T.StringType())])
     return scan_jsonl(spark, path, schema, mode=spec.read_mode)
 
 
