@@ -198,6 +198,29 @@ def audience_catalogue(pages: DataFrame) -> DataFrame:
                     "page", F.col("position").cast("long").alias("position")))
 
 
+def catalogue_pages(pages: DataFrame) -> DataFrame:
+    """Is the catalogue whole?  (page, status, n_documents, n_items) for every page that there should be.
+
+    The responses name the number of pages; ``missing`` ones were never answered with code 0, ``repeated``
+    ones several times, ``unexpected`` ones lie beyond that number.  All others are ``complete``.
+    """
+    doc = pages.select(F.from_json("value", AUDIENCE_PAGE_SCHEMA).alias("d")).where(F.col("d.code") == 0)
+    seen = (doc.select(F.coalesce("d.data.page_info.page", F.lit(0).cast("long")).alias("page"),
+                       F.coalesce(F.size("d.data.list"), F.lit(0)).cast("long").alias("n"),
+                       F.col("d.data.page_info.total_page").alias("total"))
+            .groupBy("page").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("n").alias("n_items"),
+                                 F.max("total").alias("total")))
+    last = seen.agg(F.max("total").alias("last"))
+    expected = last.where("last > 0").select(F.explode(F.sequence(F.lit(1).cast("long"), "last")).alias("page"))
+    both = expected.withColumn("wanted", F.lit(True)).join(seen, "page", "full_outer")
+    status = (F.when(F.col("n_documents").isNull(), F.lit("missing"))
+              .when(F.col("wanted").isNull() & (F.col("page") > 0), F.lit("unexpected"))
+              .when(F.col("n_documents") > 1, F.lit("repeated")).otherwise(F.lit("complete")))
+    zero = F.lit(0).cast("long")
+    return both.select("page", status.alias("status"), F.coalesce("n_documents", zero).alias("n_documents"),
+                       F.coalesce("n_items", zero).alias("n_items"))
+
+
 def segment_catalogue(docs: DataFrame) -> DataFrame:
     """Segment responses → (name, id, page, position)."""
     d = docs.select(F.from_json("value", SEGMENT_PAGE_SCHEMA).alias("d"))

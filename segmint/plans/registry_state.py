@@ -359,3 +359,30 @@ def q_upload_rows(spark, sf_dir):
     upload = F.regexp_extract("source_file", "upload=([0-9]+)", 1).cast("long")
     return counts.groupBy(upload.alias("upload"), "schema").agg(*[
         F.sum(c).alias(c) for c in ("records", "accepted", "no_value", "empty", "malformed")])
+
+
+# --- S10: completeness of a paged catalogue -------------------------------------------
+
+PAGE_ROWS, LOST, TWICE = 10, 4, 3
+
+
+@register("catalogue_pages", (
+    f"WITH p AS (SELECT s_suppkey // {PAGE_ROWS} + 1 AS page, count(*) AS n FROM supplier GROUP BY ALL) "
+    f"SELECT page, CASE WHEN page % {LOST} = 0 THEN 'missing' WHEN page % {TWICE} = 0 THEN 'repeated' ELSE 'complete' END AS status, "
+    f"CASE WHEN page % {LOST} = 0 THEN 0 WHEN page % {TWICE} = 0 THEN 2 ELSE 1 END AS n_documents, "
+    f"CASE WHEN page % {LOST} = 0 THEN 0 WHEN page % {TWICE} = 0 THEN 2 * n ELSE n END AS n_items FROM p"))
+def q_catalogue_pages(spark, sf_dir):
+    """Which pages of a landed catalogue are complete, which were lost and which came twice."""
+    rows = table(spark, sf_dir, "supplier").select(
+        (F.floor(F.col("s_suppkey") / PAGE_ROWS) + 1).cast("long").alias("page"),
+        F.struct(F.col("s_name").alias("name"), F.col("s_suppkey").cast("string").alias("audience_id")).alias("item"))
+    total = rows.agg(F.max("page").alias("total_page"))
+    pages = rows.groupBy("page").agg(F.collect_list("item").alias("list")).join(F.broadcast(total))  # one row
+    doc = F.to_json(F.struct(
+        # a lost page was answered with an error
+        F.when(F.col("page") % LOST == 0, 50000).otherwise(0).alias("code"),
+        F.struct("list", F.struct("page", "total_page").alias("page_info")).alias("data")))
+    copies = F.when(F.col("page") % TWICE == 0, 2).otherwise(1)
+    path = scratch_path(spark, "pages")
+    pages.select(doc.alias("value"), F.explode(F.sequence(F.lit(1), copies))).select("value").write.text(path)
+    return A.catalogue_pages(spark.read.text(path))

@@ -199,3 +199,18 @@ def test_undecodable_key_is_dead_lettered(spark):
         A.parse_records(q), catalogue(spark, [], []), seg_catalogue(spark, [], [])).collect()}
     assert plan[0].reason == "UNDECODABLE_KEY" and plan[0].action is None
     assert plan[1].reason is None and plan[1].audience == "café"
+
+
+def test_catalogue_pages_report_gaps_and_repeats(spark):
+    def page(n, total, code=0, items=2):
+        return (json.dumps({"code": code, "data": {"list": [{"name": f"a{n}{i}", "audience_id": str(i)} for i in range(items)],
+                                                   "page_info": {"page": n, "total_page": total}}}),)
+    docs = [page(1, 4), page(3, 4), page(3, 4), page(2, 4, code=1), page(4, 4, items=0), page(9, 4), ("{cut",)]
+    got = {r.page: (r.status, r.n_documents, r.n_items) for r in A.catalogue_pages(
+        spark.createDataFrame(docs, "value string")).collect()}
+    assert got == {1: ("complete", 1, 2), 2: ("missing", 0, 0), 3: ("repeated", 2, 4), 4: ("complete", 1, 0),
+                   9: ("unexpected", 1, 2)}
+    # one response without page information is the whole catalogue; none at all has no pages
+    one = [(json.dumps({"code": 0, "data": {"list": [{"name": "a", "audience_id": "1"}]}}),)]
+    assert [tuple(r) for r in A.catalogue_pages(spark.createDataFrame(one, "value string")).collect()] == [(0, "complete", 1, 1)]
+    assert A.catalogue_pages(spark.createDataFrame([], "value string")).count() == 0
