@@ -10,14 +10,21 @@
 4. Stars: in each bucket every class is compared with one centre, the class that meets the most others
    in all its buckets (in a family of copies that is the original), and in a quarter of the buckets
    with a second one.  Both counts are linear in the bucket.
-5. Where a bucket's classes still form several components, a bucket of at most ``SMALL`` classes is
-   finished exactly: all its pairs of different components are compared.  In a larger one every class
-   is compared with ``DRAWS`` centres drawn by hash, those that are in another component.
-6. Larger buckets that still hold several components are finished exactly too: two classes of different
-   components are compared, unless their distances from the bucket's first centre differ by more than a
-   link allows (the Jaccard distance is a metric).  So every pair that shares a bucket is compared,
-   or known to be no link, or joined by other links.
-7. Each candidate is confirmed on the full shingle sets of both texts.
+5. Where a bucket's classes still form several components, they are finished exactly.  Buckets that share
+   classes make one group, so each class is in one group at most.  A group has a consensus, the shingles
+   that more than half of its classes hold, and a class x is known by its difference to it, ``dx`` of D
+   shingles.  As ``|x ^ y| = |dx ^ dy|``, a link, ``|x ^ y| <= (|x| + |y|) / 7``, needs
+   ``|dx & dy| >= o = (Dx + Dy - (|x| + |y|) / 7) / 2``.
+
+   * Where ``o <= 0`` the pair is a link, and so is each of the two with the class of the greatest slack
+     ``|x| / 7 - D``: every class is compared with that one where the slacks allow it.
+   * Otherwise both differences hold a common shingle among their first ``D - o + 1`` by rising frequency in
+     the group (prefix filter), with the least ``o`` that a partner can have.  Of two classes the nearer one
+     to the consensus gets the shorter prefix; classes of the component that has the greatest slack meet
+     the others by themselves, as these are farther away.  Shingles of one class alone take places in the
+     prefix but are not sent.
+
+6. Each candidate is confirmed on the full shingle sets of both texts.
 
 Defined cases: null text counts as empty; a text of fewer than five words has one shingle, its whole
 word sequence; without words the set is empty and linked with nothing.  The vertices of the result
@@ -32,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmint.llm.arrays import blocks, mix, shingle_sets, shingles, span_hashes, words
@@ -43,12 +50,8 @@ BINS = 128  # a power of two, at least BANDS * ROWS; the first BANDS * ROWS of t
 #: A link: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 LINK = f"common * 100 >= total * {PERCENT}"
-#: Buckets of up to so many classes are compared pair by pair: at most this many pairs a class.
-SMALL = 16
-#: Centres of a larger bucket for the classes that the stars have not joined.
-DRAWS = 8
-#: The exact step deals a bucket into groups of about so many classes; each two groups meet by themselves.
-GROUP = 256
+#: The distances in a group fall into cells of a share of its longest class.
+CELLS = 16
 _EMPTY = np.uint64(2**64 - 1)
 _rng = np.random.default_rng(77)
 #: The probe sequences of densification: for each bin a random order of all bins.
@@ -172,15 +175,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tested = compared(stars, texts, "tested")
     links = tested.filter(LINK).select("a", "b")
     parts = components(links)
-    more = written(_unsettled(shared, parts, tested), "more")
-    if not more.isEmpty():
-        again = compared(more, texts, "tested")
-        links = links.union(again.filter(LINK).select("a", "b"))
-        parts = components(links)
-        rest = written(_remaining(shared, parts, tested, again), "rest")
-        if not rest.isEmpty():
-            links = links.union(compared(rest, texts, "tested").filter(LINK).select("a", "b"))
-            parts = components(links)
+    rest = written(_remaining(shared, parts, tested, texts), "rest")
+    links = links.union(compared(rest, texts, "tested").filter(LINK).select("a", "b"))
+    parts = components(links)
     return _labelled(members, parts)
 
 
@@ -207,60 +204,146 @@ def _rooted(shared: DataFrame, parts: DataFrame) -> DataFrame:
         "bucket", "size", "weight", "vid", F.coalesce("root", "vid").alias("root"))
 
 
-def _unsettled(shared: DataFrame, parts: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components, not compared yet.
-
-    In a small bucket these are all such pairs; in a larger one each class with ``DRAWS`` centres.
-    """
-    s = written(_rooted(shared, parts), "rooted")
-    # drawn in each bucket; a class that meets many is likelier (the least of exponential variables
-    # with these rates)
-    drawn = []
-    for k in range(DRAWS):
-        u = (F.pmod(F.xxhash64("vid", "bucket", F.lit(k)), F.lit(1 << 30)) + 1) / F.lit(float((1 << 30) + 1))
-        drawn.append(F.min_by(F.struct("vid", "root"), -F.log(u) / F.col("weight")))
+def _remaining(shared: DataFrame, parts: DataFrame, tested: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs (a, b) of one bucket and of different components that may be links and weren't compared."""
+    # of a bucket of two the star has compared the only pair
+    s = written(_rooted(shared.filter(F.col("size") > 2), parts), "rooted")
     mixed = (s.groupBy("bucket").agg(F.count(F.lit(1)).alias("freq"), F.min("root").alias("lo"),
-                                     F.max("root").alias("hi"), F.array(*drawn).alias("centres"))
-             .filter("lo <> hi").select("bucket", "freq", "centres"))
-    star = join_unique(s.filter(F.col("size") > SMALL), mixed, "bucket", "freq", [F.col("vid")], matched=True)
-    apart = F.filter(F.array_distinct("centres"), lambda c: c["root"] != F.col("root"))
-    pairs = (star.select(F.col("vid").alias("x"), F.explode(apart).alias("c"))
-             .select("x", F.col("c.vid").alias("y")))
-    few = s.filter(F.col("size") <= SMALL)
-    every = few.select("bucket", F.col("vid").alias("x"), F.col("root").alias("rx")).join(
-        few.select("bucket", F.col("vid").alias("y"), F.col("root").alias("ry")), "bucket").filter("x < y and rx <> ry")
-    return (pairs.union(every.select("x", "y"))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+                                     F.max("root").alias("hi"), F.max_by("vid", F.struct("weight", "vid")).alias("c1"))
+             .filter("lo <> hi").select("bucket", "freq", "c1"))
+    s = written(join_unique(s, mixed, "bucket", "freq", [F.col("vid")], matched=True)
+                .select("vid", "root", "c1").distinct(), "mixed")
+    groups = components(s.select(F.col("vid").alias("a"), F.col("c1").alias("b")))
+    members = (s.select("vid", "root").distinct()
+               .join(groups.select(F.col("v").alias("vid"), F.col("root").alias("group")), "vid"))
+    sets = written(members.join(texts, "vid").select("group", "vid", "root", "text")
+                   .mapInArrow(_sets, "group long, vid long, root long, n long, hs array<long>"), "sets")
+    held = written(_held(sets), "held")
+    near = _differences(sets, held)
+    pairs = _slack_pairs(near).union(_prefix_pairs(near, held))
+    return (pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
 
 
-def _remaining(shared: DataFrame, parts: DataFrame, tested: DataFrame, again: DataFrame) -> DataFrame:
-    """All pairs (a, b) of a larger bucket in different components that may be links and weren't compared."""
-    s = written(_rooted(shared.filter(F.col("size") > SMALL), parts), "rooted")
-    # the first centre as for the stars: every class of the bucket has been compared with it
-    mixed = (s.groupBy("bucket").agg(F.count(F.lit(1)).alias("freq"), F.min("root").alias("lo"),
-                                     F.max("root").alias("hi"), F.max_by("vid", F.struct("weight", "vid")).alias("c1"))
-             .filter("lo <> hi").select("bucket", "freq", F.col("bucket").alias("key"), "c1"))
-    s = join_unique(s, mixed, "bucket", "freq", [F.col("vid")], matched=True)
-    far = tested.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
-    s = (s.withColumn("a", F.least("vid", "c1")).withColumn("b", F.greatest("vid", "c1"))
-         .join(far, ["a", "b"], "left").withColumn("d", F.coalesce("d", F.lit(0.0))))
-    # cells as wide as a link: only neighbouring cells can hold a link
-    width = 1 - PERCENT / 100
-    groups = F.ceil(F.col("size") / GROUP).cast("int")
-    s = s.select("key", "vid", "root", "d", F.floor(F.col("d") / F.lit(width)).cast("int").alias("cell"),
-                 F.pmod(F.xxhash64("vid"), groups).cast("int").alias("own"),
-                 F.sequence(F.lit(0), groups - 1).alias("others"))
-    x = (s.select("key", F.col("vid").alias("x"), F.col("root").alias("rx"), F.col("d").alias("dx"),
-                  F.col("cell").alias("cx"), F.col("own").alias("gx"), F.explode("others").alias("gy"))
-         .withColumn("cell", F.explode(F.array(F.col("cx"), F.col("cx") + 1))))
-    y = s.select("key", F.col("vid").alias("y"), F.col("root").alias("ry"), F.col("d").alias("dy"), "cell",
-                 F.col("own").alias("gy"), F.explode("others").alias("gx"))
-    pairs = (x.join(y, ["key", "cell", "gx", "gy"])
-             .filter((F.col("rx") != F.col("ry")) & (F.abs(F.col("dx") - F.col("dy")) <= width + 1e-9)
-                     & ((F.col("cx") != F.col("cell")) | (F.col("x") < F.col("y"))))
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    return pairs.join(tested.select("a", "b").union(again.select("a", "b")), ["a", "b"], "left_anti")
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hs = [h.view(np.int64) for _, h in shingle_sets(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("group", "vid", "root")), pa.array([len(h) for h in hs], pa.int64()),
+             pa.array(hs, pa.list_(pa.int64()))], names=["group", "vid", "root", "n", "hs"])
+
+
+def _of_group(rows: DataFrame, per_group: DataFrame) -> DataFrame:
+    """``rows`` with the values that ``per_group(group, freq, ...)`` has for their group, whatever its size."""
+    return (join_unique(rows.withColumn("_g", F.col("group")), per_group, "group", "freq", [F.col("vid")])
+            .withColumnRenamed("_g", "group"))
+
+
+def _held(sets: DataFrame) -> DataFrame:
+    """(group, h, f): how many classes of the group hold a shingle, where several do."""
+    return (sets.select("group", F.explode("hs").alias("h")).groupBy("group", "h")
+            .agg(F.count(F.lit(1)).alias("f")).filter("f > 1"))
+
+
+def _differences(sets: DataFrame, held: DataFrame) -> DataFrame:
+    """Each class with its difference to its group's consensus, and what the prefixes depend on.
+
+    ``added`` has its own shingles, ``lacking`` those of the consensus that it has not, with the number of
+    classes that lack them; ``d`` counts both.
+    """
+    sizes = sets.groupBy("group").agg(F.count(F.lit(1)).alias("freq"), F.max("n").alias("most"))
+    # more than half of a group hold each: at most twice the shingles of its mean class
+    common = (held.join(sizes.select("group", F.col("freq").alias("of")), "group").filter("2 * f > of")
+              .groupBy("group").agg(F.sort_array(F.collect_list(
+                  F.struct("h", (F.col("of") - F.col("f")).alias("f")))).alias("common")))
+    every = _of_group(sets, sizes.join(common, "group", "left")).withColumn(
+        "common", F.coalesce("common", F.expr("array()").cast("array<struct<h: long, f: long>>")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hs, cs = batch.column("hs"), batch.column("common")
+            own_at, own = hs.offsets.to_numpy(), hs.values.to_numpy()
+            common_at, h, f = cs.offsets.to_numpy(), *(cs.values.field(k).to_numpy() for k in (0, 1))
+            added, lacking = [], []
+            for r in range(len(batch)):
+                x = own[own_at[r]:own_at[r + 1]]
+                c = slice(common_at[r], common_at[r + 1])
+                added.append(x[~np.isin(x, h[c])])
+                gone = ~np.isin(h[c], x)
+                lacking.append([{"h": a, "f": b} for a, b in zip(h[c][gone].tolist(), f[c][gone].tolist())])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("group", "vid", "root", "n", "most")),
+                 pa.array([len(a) + len(b) for a, b in zip(added, lacking)], pa.int64()),
+                 pa.array(added, pa.list_(pa.int64())),
+                 pa.array(lacking, pa.list_(pa.struct([("h", pa.int64()), ("f", pa.int64())])))],
+                names=["group", "vid", "root", "n", "most", "d", "added", "lacking"])
+
+    near = written(every.select("group", "vid", "root", "n", "most", "hs", "common").mapInArrow(
+        run, "group long, vid long, root long, n long, most long, d long, added array<long>,"
+             " lacking array<struct<h: long, f: long>>"), "differences")
+    # of each group the class of the greatest slack; the least distances inside and outside its component
+    best = near.groupBy("group").agg(F.count(F.lit(1)).alias("freq"), F.max_by(
+        F.struct("vid", "root", "n", "d"), F.struct(F.col("n") - 7 * F.col("d"), F.col("vid"))).alias("best"))
+    narrow = written(_of_group(near.select("group", "vid", "root", "d"), best), "slacks")
+    inside = F.col("root") == F.col("best.root")
+    least = narrow.groupBy("group").agg(F.count(F.lit(1)).alias("freq"), F.min(F.when(inside, F.col("d"))).alias("low"),
+                                        F.min(F.when(~inside, F.col("d"))).alias("cut"))
+    budgets = written(_of_group(narrow.select("group", "vid", "best", inside.alias("inside")), least), "budgets")
+    return near.join(budgets.drop("group"), "vid")
+
+
+def _slack_pairs(near: DataFrame) -> DataFrame:
+    """(x, y): classes that are links of the one of greatest slack by their distances alone."""
+    return (near.filter("not inside and 7 * (d + best.d) <= n + best.n")
+            .select(F.col("vid").alias("x"), F.col("best.vid").alias("y")))
+
+
+def _prefix_pairs(near: DataFrame, held: DataFrame) -> DataFrame:
+    """(x, y): classes of a group and of different components whose prefixes share a shingle."""
+    # frequencies of the shingles that several differences hold; the others need not be known
+    rare = held.select(F.xxhash64("group", "h").alias("key"), "f", F.col("f").alias("freq"))
+    own = near.select("vid", "group", F.explode("added").alias("h"))
+    known = join_unique(own.withColumn("key", F.xxhash64("group", "h")), rare, "key", "freq", [F.col("vid")],
+                        matched=True).select("vid", "h", "f")
+    lacking = near.select("vid", F.explode("lacking").alias("x")).select("vid", "x.h", "x.f").filter("f > 1")
+    rising = (known.unionByName(lacking).groupBy("vid")
+              .agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("shingles")))
+    # a partner has at most a third more shingles
+    span = F.col("n") + F.least(F.floor(4 * F.col("n") / 3), F.col("most"))
+
+    def prefix(nearest: str | None) -> Column:
+        """D - o + 1, with the least o of a partner that is not nearer to the consensus than ``nearest`` (or itself)."""
+        partner = 7 * F.col("d") if nearest is None else F.greatest(7 * F.col(nearest), 7 * F.col("d") - span)
+        return F.col("d") + 1 - F.greatest(F.lit(1), F.ceil((partner + 7 * F.col("d") - span) / 14))
+
+    # of the shingles of one class alone none can be shared: a partner's distance has an upper limit too
+    size = F.size("shingles")
+    whole = near.select("group", "vid", "root", "n", "d", "inside", "cut", "low", "most", span.alias("span"), prefix(None).alias("own"),
+                        prefix("cut").alias("to_cut"), prefix("low").alias("to_low")).join(rising, "vid")
+    whole = whole.withColumns({"shared": size.cast("long"), "limit": F.floor((14 * size + F.col("span") - 7 * F.col("d")) / 7)})
+    # partners meet by cells of the distance of the second one
+    width = F.greatest(F.lit(1), F.floor(F.col("most") / CELLS))
+    placed = (whole.select("*", F.posexplode("shingles").alias("k", "s")).withColumn("h", F.col("s.h"))
+              .withColumn("place", F.col("d") - F.col("shared") + F.col("k") + 1))
+    # the component of the greatest slack meets the others (0); the others meet each other (1), the nearer one first
+    nearest = F.when(F.col("inside"), F.greatest("cut", F.ceil((7 * F.col("d") - F.col("span")) / 7))).otherwise(F.col("d"))
+    first = (placed.filter((F.col("place") <= F.when(F.col("inside"), F.col("to_cut")).otherwise(F.col("own")))
+                           & (nearest <= F.col("limit")))
+             .select("group", "h", F.when(F.col("inside"), 0).otherwise(1).alias("kind"),
+                     F.explode(F.sequence(F.floor(nearest / width), F.floor(F.col("limit") / width))).alias("cell"),
+                     *(F.col(c).alias(c + "_x") for c in ("vid", "root", "n", "d", "shared"))))
+    second = (placed.filter("not inside")
+              .select("*", F.explode(F.array(
+                  F.struct(F.lit(0).alias("kind"), F.col("to_low").alias("p"), F.col("low").alias("nearest")),
+                  F.struct(F.lit(1).alias("kind"), F.col("to_cut").alias("p"), F.col("cut").alias("nearest")))).alias("r"))
+              .filter("place <= r.p and r.nearest <= limit")
+              .select("group", "h", "r.kind", F.floor(F.col("d") / width).alias("cell"),
+                      *(F.col(c).alias(c + "_y") for c in ("vid", "root", "n", "d", "shared"))))
+    may = ("root_x <> root_y and 3 * greatest(n_x, n_y) <= 4 * least(n_x, n_y) and 7 * abs(d_x - d_y) <= n_x + n_y"
+           " and 7 * (d_x + d_y) <= 14 * least(shared_x, shared_y) + n_x + n_y"
+           " and (kind = 0 or d_x < d_y or (d_x = d_y and vid_x < vid_y))")
+    return (first.join(second, ["group", "kind", "cell", "h"]).filter(may)
+            .select(F.col("vid_x").alias("x"), F.col("vid_y").alias("y")))
 
 
 def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
