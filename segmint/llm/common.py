@@ -59,6 +59,17 @@ def plain_documents(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def join_unique(rows: DataFrame, unique: DataFrame, key: str, freq: str, scatter: list[Column],
                 matched: bool = False, hot_min: int = HOT_MIN, hot_keys: int = HOT_KEYS) -> DataFrame:
     """Left join of ``rows`` to ``unique`` (one row per ``key``) that no hot key can skew.

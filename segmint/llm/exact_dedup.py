@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.common import HOT_KEYS, HOT_MIN, join_unique, plain_documents, written
+from segmint.llm.common import HOT_KEYS, HOT_MIN, free_names, join_unique, plain_documents, written
 
 BLOCK = 1024
 #: A run of white space that one blank has to replace; a single blank is left as it is.
@@ -102,12 +102,13 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; all columns stay."""
     found = written(grouped(docs), "groups")
     sha = F.unhex(F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), RUN, " "), 256))
+    own, gone_id, gone_sha = free_names(docs, "own_sha", "gone_id", "gone_sha")
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.col("doc_id").alias("_id"), F.col("sha").alias("_gone"))
-    out = docs.withColumn("_sha", sha)
+        F.col("doc_id").alias(gone_id), F.col("sha").alias(gone_sha))
+    out = docs.withColumn(own, sha)
     # merged whatever the sizes, so that the plan is the same at every scale
-    out = out.join(gone.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_gone")),
-                   "left_anti")
+    out = out.join(gone.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col(gone_id))
+                   & (F.col(own) == F.col(gone_sha)), "left_anti")
     if not found.filter("copies > 1").isEmpty():  # fully equal rows, else there is nothing to drop
-        out = out.dropDuplicates(["doc_id", "_sha"])
-    return out.drop("_sha")
+        out = out.dropDuplicates(["doc_id", own])
+    return out.drop(own)

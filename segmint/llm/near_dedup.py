@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.arrays import blocks, mix, shingle_sets, shingles, span_hashes, words
+from segmint.llm.arrays import blocks, mix, shingle_sets, shingles, word_hashes, words
 from segmint.llm.common import components, join_unique, plain_documents, written
 
 BANDS, ROWS = 24, 4
@@ -95,7 +95,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column("doc_id")
         for at, rows, data, offsets in blocks(batch.column("text")):
             starts, ends, per_row = words(data, offsets)
-            h, _, count = shingles(span_hashes(data, starts, ends), per_row)
+            h, _, count = shingles(word_hashes(data, starts, ends), per_row)
             # distinct shingles of each row, sorted
             row = np.repeat(np.arange(rows), count)
             order = np.lexsort((h, row))
@@ -233,9 +233,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(hs, pa.list_(pa.int64()))], names=["group", "vid", "root", "n", "hs"])
 
 
-def _of_group(rows: DataFrame, per_group: DataFrame) -> DataFrame:
+def _of_group(rows: DataFrame, per_group: DataFrame, scatter: str = "vid") -> DataFrame:
     """``rows`` with the values that ``per_group(group, freq, ...)`` has for their group, whatever its size."""
-    return (join_unique(rows.withColumn("_g", F.col("group")), per_group, "group", "freq", [F.col("vid")])
+    return (join_unique(rows.withColumn("_g", F.col("group")), per_group, "group", "freq", [F.col(scatter)])
             .withColumnRenamed("_g", "group"))
 
 
@@ -253,7 +253,9 @@ def _differences(sets: DataFrame, held: DataFrame) -> DataFrame:
     """
     sizes = sets.groupBy("group").agg(F.count(F.lit(1)).alias("freq"), F.max("n").alias("most"))
     # more than half of a group hold each: at most twice the shingles of its mean class
-    common = (held.join(sizes.select("group", F.col("freq").alias("of")), "group").filter("2 * f > of")
+    of = held.groupBy("group").agg(F.count(F.lit(1)).alias("freq")).join(
+        sizes.select("group", F.col("freq").alias("of")), "group")
+    common = (_of_group(held, of, "h").filter("2 * f > of")
               .groupBy("group").agg(F.sort_array(F.collect_list(
                   F.struct("h", (F.col("of") - F.col("f")).alias("f")))).alias("common")))
     every = _of_group(sets, sizes.join(common, "group", "left")).withColumn(

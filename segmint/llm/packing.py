@@ -7,7 +7,7 @@ one bucket (the power of two) batch together.
 
 Ids come from the tokenizers library.  White space is dropped by this vocabulary, and between an
 ASCII letter, a digit and other ASCII signs (but the apostrophe) its pre-tokens always end; texts are
-cut there, and each distinct piece of text is encoded once and remembered per worker.  A text that
+cut there, and each distinct piece of text, compared by its bytes, is encoded once and remembered per worker.  A text that
 contains a special string is encoded whole.
 
 Defined cases: null counts as empty, and an empty text is the end id alone.  Null and repeated
@@ -24,14 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.arrays import SPACE, blocks, ragged_arange, span_hashes
+from segmint.llm.arrays import LOWER, SPACE, blocks
 from segmint.llm.common import plain_documents
+from segmint.llm.remember import Memory, spans
 
 MAX = 4096
 END_ID = 2
 #: Distinct pieces of text whose ids a worker remembers.
 REMEMBERED = 1 << 20
 
+_FOLD = LOWER.astype(np.uint8)
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _DIGIT = np.zeros(256, bool)
@@ -51,13 +53,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.model = self.tokenizer.model
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.slot = np.zeros(0, np.int64)      # of each known hash, its place in begin and size
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.memory = Memory(lambda parts: pa.array(self._encode([p.decode() for p in parts]), pa.list_(pa.uint32())), REMEMBERED)
 
     def _encode(self, parts: list[str]) -> list[list[int]]:
         out: list[list[int]] = [[]] * len(parts)
@@ -101,29 +97,11 @@ class WordEncoder:
         ends = np.append(begins[1:], n)
         real = ~gap[begins]
         begins, ends = begins[real], ends[real]
-        hashes = span_hashes(data, begins, ends)  # folds A-Z, as the vocabulary does
-        uniq, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(uniq) > REMEMBERED:
-            self._forget()
-        k = np.minimum(np.searchsorted(self.known, uniq), max(len(self.known) - 1, 0))
-        new = np.flatnonzero(self.known[k] != uniq) if len(self.known) else np.arange(len(uniq))
-        if len(new):
-            raw = data.tobytes()
-            parts = [raw[s:e].decode() for s, e in zip(begins[index[new]].tolist(), ends[index[new]].tolist())]
-            got = self._encode(parts)
-            size = np.array([len(x) for x in got], np.int64)
-            slots = len(self.begin) + np.arange(len(new))
-            self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
-            self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x], np.uint32)])
-            where = np.searchsorted(self.known, uniq[new])
-            self.known, self.slot = np.insert(self.known, where, uniq[new]), np.insert(self.slot, where, slots)
-            k = np.searchsorted(self.known, uniq)
-        slot = self.slot[k][inverse] if len(uniq) else np.zeros(0, np.int64)
-        size = self.size[slot]
-        ids = self.ids[np.repeat(self.begin[slot], size) + ragged_arange(size)] if len(slot) else self.ids[:0]
-        bounds = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(begins, offsets)]
-        return np.diff(bounds), ids
+        # pieces without the white space between them, A-Z folded as the vocabulary does
+        bounds = np.concatenate([[0], np.cumsum(ends - begins)])
+        found = self.memory.look_up(spans(_FOLD[data[~gap]], bounds))
+        bounds = found.offsets.to_numpy()[np.searchsorted(begins, offsets)]
+        return np.diff(bounds), found.flatten().to_numpy()
 
 
 def cuts(length: int, most: int = MAX) -> list[tuple[int, int]]:

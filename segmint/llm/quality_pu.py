@@ -194,7 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     # bounded by the two parameters above, so the ids can be broadcast
     rows = (docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "positive", "text")
             .mapInArrow(_features_batches, "doc_id long, positive boolean, f binary")
-            .sort("doc_id", "positive", "f").collect())
+            # an id may stand on many rows: one of them
+            .groupBy("doc_id", "positive").agg(F.min("f").alias("f")).collect())
+    rows.sort(key=lambda r: (r.doc_id, r.positive))
     made = {k: np.array([np.frombuffer(r.f, np.float32) for r in rows if r.positive == k]).reshape(-1, N_FEATURES)
             for k in (True, False)}
     return train(made[True], made[False])

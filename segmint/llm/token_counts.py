@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from segmint.llm.arrays import blocks, mix, ragged_arange
+from segmint.llm.arrays import blocks
 from segmint.llm.common import plain_documents
+from segmint.llm.remember import Memory, spans
 
 MARK = 0x2581
 NONE = np.int32(2**31 - 1)
@@ -61,7 +62,8 @@ class PieceCounter:
         self.ranks = rank[self.merged]
         self.near = np.array(sorted((a << 21) | b for a, b in near), np.int64)
         self._near_low = self._low_table(near)
-        self.known, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        # a code point takes four bytes
+        self.memory = Memory(self._count_parts, REMEMBERED, 256)
 
     @staticmethod
     def _low_table(near: set[tuple[int, int]]) -> np.ndarray:
@@ -193,50 +195,29 @@ class PieceCounter:
         cut[1:] = ~self.may_join(cp[:-1], cp[1:])
         cut[begins] = True
         starts = np.flatnonzero(cut)
-        lens = np.diff(np.append(starts, n))
-        tokens = self._pretokens(cp, starts, lens)
+        tokens = self._pretokens(cp, starts)
         sums = np.add.reduceat(tokens, np.searchsorted(starts, begins))
         out = np.zeros(rows, np.int64)
         out[full] = sums
         return out
 
-    def _pretokens(self, cp: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-        h = _code_hashes(cp, starts, lens)
-        uniq, index, inverse = np.unique(h, return_index=True, return_inverse=True)
-        k = np.minimum(np.searchsorted(self.known, uniq), max(len(self.known) - 1, 0))
-        hit = self.known[k] == uniq if len(self.known) else np.zeros(len(uniq), bool)
-        counts = np.zeros(len(uniq), np.int32)
-        counts[hit] = self.counts[k[hit]]
-        new = np.flatnonzero(~hit)
-        if len(new):
-            s, m = starts[index[new]], lens[index[new]]
-            points = cp[np.repeat(s, m) + ragged_arange(m)]
-            sym = self.char[points]
-            c = np.zeros(len(new), np.int32)
-            alone = sym[np.cumsum(m) - m] < 0  # without a piece: nothing joins it, so it stands alone
-            p = cp[s[alone]]
+    def _pretokens(self, cp: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Tokens of each of the consecutive pre-tokens that begin at ``starts``."""
+        return self.memory.look_up(spans(cp, np.append(starts, len(cp)))).to_numpy()
+
+    def _count_parts(self, parts: list[bytes]) -> pa.Array:
+        """Tokens of each pre-token, given as 32-bit code points."""
+        points = np.frombuffer(b"".join(parts), np.int32)
+        m = np.array([len(p) // 4 for p in parts], np.int64)
+        sym = self.char[points]
+        first = np.cumsum(m) - m
+        c = np.zeros(len(parts), np.int64)
+        if len(parts):
+            alone = sym[first] < 0  # without a piece: nothing joins it, so it stands alone
+            p = points[first[alone]]
             c[alone] = 1 + (p >= 0x80) + (p >= 0x800) + (p >= 0x10000)
             c[~alone] = self.merge(sym[np.repeat(~alone, m)], m[~alone])
-            counts[new] = c
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known, self.counts = uniq, counts
-            else:
-                where = np.searchsorted(self.known, uniq[new])
-                self.known = np.insert(self.known, where, uniq[new])
-                self.counts = np.insert(self.counts, where, c)
-        return counts[inverse].astype(np.int64)
-
-
-_rng = np.random.default_rng(5)
-_POINT_MUL = np.uint64(int(_rng.integers(1, 1 << 62)) | 1)
-
-
-def _code_hashes(cp: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    from segmint.llm.arrays import _powers
-    up, down = _powers(len(cp) + 1)
-    total = np.zeros(len(cp) + 1, np.uint64)
-    np.cumsum(mix(cp.astype(np.uint64) * _POINT_MUL) * up[:len(cp)], out=total[1:])
-    return mix((total[starts + lens] - total[starts]) * down[starts] + lens.astype(np.uint64))
+        return pa.array(c)
 
 
 _COUNTERS: dict[str, PieceCounter] = {}

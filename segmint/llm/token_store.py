@@ -38,13 +38,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from segmint.llm.arrays import blocks
 from segmint.llm.common import plain_documents
+from segmint.llm.remember import Memory, spans
 
 #: (ids in a word, bits of each) by selector; selector 0 is the escape, selector 1 a run of zeros.
 SELECTORS = ((1, 60), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6),
@@ -206,11 +206,7 @@ class ByteEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.model = self.tokenizer.model
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = pa.array([], pa.large_binary())
-        self.ids = pa.array([], pa.list_(pa.uint32()))  # of each known piece
+        self.memory = Memory(lambda parts: pa.array(self._encode(parts), pa.list_(pa.uint32())), REMEMBERED, REMEMBERED_BYTES)
 
     def _encode(self, parts: list[bytes]) -> list[list[int]]:
         out: list[list[int]] = [[]] * len(parts)
@@ -255,28 +251,7 @@ class ByteEncoder:
         cut[1:] |= blank[:-1] & (data[:-1] != 0x20) & (b > 0)
         cut[1:-1] |= blank[:-2] & blank[1:-1] & (b[1:] > 0) & ~begin[2:]
         begins = np.flatnonzero(cut | begin)
-        spans = np.append(begins, n)
-        pieces = pa.Array.from_buffers(pa.large_binary(), len(begins),
-                                       [None, pa.py_buffer(spans), pa.py_buffer(np.ascontiguousarray(data))])
-        pieces = pieces.dictionary_encode()
-        distinct = pieces.dictionary
-        if len(self.known) + len(distinct) > REMEMBERED:
-            self._forget()
-        slot = pc.index_in(distinct, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
-        new = np.flatnonzero(slot < 0)
-        ids = self.ids
-        if len(new):
-            # remembered ones first, so that the others can be left out afterwards
-            long = pc.binary_length(distinct).to_numpy()[new] > REMEMBERED_BYTES
-            new = new[np.argsort(long, kind="stable")]
-            parts = distinct.take(pa.array(new))
-            got = pa.array(self._encode(parts.to_pylist()), pa.list_(pa.uint32()))
-            slot[new] = len(ids) + np.arange(len(new))
-            kept = len(new) - int(long.sum())
-            self.known = pa.concat_arrays([self.known, parts[:kept]])
-            self.ids = pa.concat_arrays([ids, got[:kept]])
-            ids = self.ids if kept == len(new) else pa.concat_arrays([ids, got])
-        found = ids.take(pa.array(slot[pieces.indices.to_numpy()]))
+        found = self.memory.look_up(spans(data, np.append(begins, n)))
         bounds = found.offsets.to_numpy()[np.searchsorted(begins, offsets)]
         return np.diff(bounds), found.flatten().to_numpy()
 
