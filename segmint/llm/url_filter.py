@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.arrays import blocks, span_hashes
+from segmint.llm.arrays import blocks, word_hashes
 from segmint.llm.common import join_unique, written
 
 #: (verdict, host and path) of the rules.
@@ -62,7 +62,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of ASCII letters outside of tags, counted per block before they are shuffled."""
+    """Words of up to ``LONGEST_WORD`` ASCII letters outside of tags, counted per block before they are shuffled."""
     low = np.zeros(256, bool)
     low[[*range(65, 91), *range(97, 123)]] = True
     for b in batches:
@@ -76,13 +76,16 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last_open = np.maximum.accumulate(np.where(data == ord("<"), at, -1))
             last_close = np.maximum.accumulate(np.where(data == ord(">"), at, -1))
             inside = (last_open > last_close) & (last_open >= np.maximum.accumulate(begin))
-            letter = (low[data] | (data >= 128)) & ~inside  # a word that spans two pages' ends is one in 1e4
-            edge = np.diff(np.concatenate([[0], letter.astype(np.int8), [0]]))
-            starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            letter = (low[data] | (data >= 128)) & ~inside
+            first, last = np.ones(n, bool), np.ones(n, bool)  # no word goes on in the next page
+            first[1:], last[:-1] = ~letter[:-1], ~letter[1:]
+            first[offsets[:-1][offsets[:-1] < n]] = True
+            last[offsets[1:][offsets[1:] > 0] - 1] = True
+            starts, ends = np.flatnonzero(letter & first), np.flatnonzero(letter & last) + 1
             other = np.concatenate([[0], np.cumsum(data >= 128)])
             plain = (other[ends] == other[starts]) & (ends - starts <= LONGEST_WORD)
             starts, ends = starts[plain], ends[plain]
-            _, first, count = np.unique(span_hashes(data, starts, ends), return_index=True, return_counts=True)
+            _, first, count = np.unique(word_hashes(data, starts, ends), return_index=True, return_counts=True)
             raw = data.tobytes()
             word = [raw[s:e].decode().lower() for s, e in zip(starts[first].tolist(), ends[first].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(count.astype(np.int64))],
@@ -151,7 +154,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
         F.lower(F.concat_ws(" ", name, path0)), F.lit("[a-z]+|[0-9]+"), F.lit(0))).alias("part"))
     parts = parts.withColumn("part", F.when(F.col("part").rlike("^[0-9]"), "0").otherwise(F.col("part")))
     used = parts.groupBy("part").agg(F.count(F.lit(1)).alias("freq"))
-    split = segment(used.filter("part <> '0'").select("part"), word_counts(pages))
+    counts = written(word_counts(pages), "counts")  # used several times
+    split = segment(used.filter("part <> '0'").select("part"), counts)
     split = used.join(split, "part", "left").select(
         "part", "freq", F.coalesce("words", F.array(F.lit("#"))).alias("words"))
     words = written(join_unique(parts, split, "part", "freq", [F.col("shape")])
