@@ -279,7 +279,15 @@ def resolve_records(records: DataFrame, audiences: DataFrame | None = None,
                     lookups: tuple[DataFrame, DataFrame] | None = None,
                     rule: EventRule = EventRule()) -> DataFrame:
     """Filter, route and resolve per record: the columns of a plan, but the ``action``."""
-    routed = route_reasons(route_key(records.where(rule.fits() | F.col("malformed"))))
+    return _resolve(_routed(records, rule), audiences, segments, lookups)
+
+
+def _routed(records: DataFrame, rule: EventRule) -> DataFrame:
+    return route_reasons(route_key(records.where(rule.fits() | F.col("malformed"))))
+
+
+def _resolve(routed: DataFrame, audiences: DataFrame | None, segments: DataFrame | None,
+             lookups: tuple[DataFrame, DataFrame] | None) -> DataFrame:
     aud_lk, seg_lk = lookups if lookups is not None else (None, None)
     with_aud = resolve_audience(routed, audiences, aud_lk)
     with_seg = resolve_segment(with_aud, segments, seg_lk)
@@ -293,15 +301,17 @@ def resolve_records(records: DataFrame, audiences: DataFrame | None = None,
         reason.alias("reason"), "size")
 
 
-def choose_actions(resolved: DataFrame, created: DataFrame | None = None) -> DataFrame:
+def choose_actions(resolved: DataFrame, created: DataFrame | None = None,
+                   routed: DataFrame | None = None) -> DataFrame:
     """The ``action`` of each resolved record (null where it has a ``reason``).
 
     Records that cannot be delivered must have their reason by now: the first record that can be
-    (smallest message id) creates an audience that the catalogue does not list.
+    (smallest message id) creates an audience that the catalogue does not list.  Where routing alone
+    decides what can be delivered, ``routed`` (the records before the look-ups) is cheaper to read twice.
     """
     is_file = F.col("profile") == "file"
     # one row per audience: a minimum, combined before the shuffle
-    first = (resolved.where(is_file & F.col("reason").isNull() & F.col("audience_id").isNull())
+    first = ((resolved if routed is None else routed).where(is_file & F.col("reason").isNull())
              .groupBy("audience").agg(F.min(F.struct("message_id", "key")).alias("__first")))
     if created is not None:
         first = first.join(created.select("audience").distinct(), "audience", "left_anti")
@@ -335,7 +345,8 @@ def plan_activation(records: DataFrame, audiences: DataFrame | None = None,
     first record (smallest message id); its other records append to it.
     ``created(audience)`` names audiences that an earlier batch created.
     """
-    return choose_actions(resolve_records(records, audiences, segments, lookups, rule), created)
+    routed = _routed(records, rule)
+    return choose_actions(_resolve(routed, audiences, segments, lookups), created, routed)
 
 
 def outbox(plan: DataFrame) -> DataFrame:
