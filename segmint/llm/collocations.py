@@ -47,6 +47,8 @@ _RANGE_BITS = 4
 #: Words counted at a time; their numbers take 21 bits, three of them a 64-bit key.
 FLUSH = 1 << 18
 _NUMBER = 21
+#: Between phrase and language in a key; no phrase holds it.
+BETWEEN = "\t"
 #: The best of a language are first taken in so many groups.
 TOP_GROUPS = 256
 
@@ -265,7 +267,7 @@ def _counted(docs: DataFrame, proposed: list[np.ndarray], support: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [x.value for x in shared]
         for words, size in flushes(batches):
-            names = pa.array(words.langs)
+            names = pa.array([x.encode() for x in words.langs], pa.large_binary())
             for k in range(1 if len(filters) == 1 else 2, LONGEST + 1):
                 mask = words.valid(1).copy() if k == 1 else words.parts_inside(k, filters[-1])
                 for earlier in filters[:-1]:
@@ -275,19 +277,22 @@ def _counted(docs: DataFrame, proposed: list[np.ndarray], support: int) -> DataF
                 if k == 1:
                     total = np.bincount(lang, weights=n, minlength=len(words.langs)).astype(np.int64)
                     has = np.flatnonzero(total)
-                    yield _rows(names.take(pa.array(has)), pa.array([""] * len(has)), 0, total[has])
-                yield _rows(names.take(pa.array(lang)), text.cast(pa.large_string()).cast(pa.string()), k, n)
+                    yield _rows(pa.array([b""] * len(has), pa.large_binary()), names.take(pa.array(has)), total[has])
+                yield _rows(text, names.take(pa.array(lang)), n)
 
     # a flush has combined what repeats: most of its phrases are rare, and combining them again before the
     # shuffle would only cost memory
-    rows = docs.mapInArrow(run, "lang string, phrase string, words int, n long").repartition("lang", "phrase")
-    return (rows.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("n"))
-            .filter((F.col("n") >= support) | (F.col("phrase") == "")))
+    counts = (docs.mapInArrow(run, "key string, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
+              .filter((F.col("n") >= support) | F.col("key").startswith(BETWEEN)))
+    phrase = F.substring_index("key", BETWEEN, 1)
+    return counts.select(F.expr(f"substring(key, char_length(substring_index(key, '{BETWEEN}', 1)) + 2)").alias("lang"),
+                         phrase.alias("phrase"), F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " "))).alias("words"),
+                         "n")
 
 
-def _rows(lang: pa.Array, text: pa.Array, k: int, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([lang, text, pa.array(np.full(len(n), k, np.int32)), pa.array(n)],
-                                      names=["lang", "phrase", "words", "n"])
+def _rows(text: pa.Array, lang: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    key = pc.binary_join_element_wise(text, lang, pa.scalar(BETWEEN.encode(), pa.large_binary()))
+    return pa.RecordBatch.from_arrays([key.cast(pa.large_string()).cast(pa.string()), pa.array(n)], names=["key", "n"])
 
 
 def _hash_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
