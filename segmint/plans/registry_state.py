@@ -30,32 +30,44 @@ from .registry import (AUD_CTE, FILE_SPEC, FILTERED_CTE, NOTIF_CTE, PLAN_WITH, R
 from .transform import read_counts, run_transform
 
 SLICES, FILES_PER_SLICE = 4, 2
+#: A slice of more rows has more files, so that they are written and read in as many tasks.
+ROWS_PER_FILE = 200_000
 #: Event times of the driver tables begin here; a slice holds this many days.
 FIRST_DAY, SLICE_DAYS = "2024-01-01", 8
 #: A last record whose time releases everything before it.
 LAST_TIME = "2100-01-01 00:00:00"
 
 
-def _land(df: DataFrame, path: str, time: str, as_text: bool = False) -> None:
-    """``df`` as JSON files, slice after slice of ``time``; of text rows only ``value`` is written."""
+def _land(df: DataFrame, path: str, time: str, as_text: bool = False) -> int:
+    """``df`` as JSON files, slice after slice of ``time``; of text rows only ``value`` is written.
+
+    Returns the number of files of a slice.  The rows are made once and kept by slice before that.
+    """
+    spark = df.sparkSession
     day = F.floor((F.unix_seconds(time) - F.unix_seconds(F.lit(FIRST_DAY).cast("timestamp"))) / 86400)
-    own = F.least(F.greatest(F.floor(day / SLICE_DAYS), F.lit(0)), F.lit(SLICES - 1))
+    own = F.least(F.greatest(F.floor(day / SLICE_DAYS), F.lit(0)), F.lit(SLICES - 1)).cast("int")
+    sliced = df.withColumn("slice", own)
+    sliced.write.partitionBy("slice").parquet(f"{path}_rows")
+    made = spark.read.schema(sliced.schema).parquet(f"{path}_rows")
+    most = made.groupBy("slice").count().agg(F.max("count")).first()[0] or 0
+    files = max(FILES_PER_SLICE, -(-most // ROWS_PER_FILE))
     for k in range(SLICES):
-        part = df.where(own == k).repartition(FILES_PER_SLICE)
+        part = made.where(F.col("slice") == k).drop("slice").repartition(files)
         if as_text:
             part.select("value").write.mode("append").text(path)
         else:
             part.write.mode("append").json(path)
+    return files
 
 
-def _stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_SLICE).json(path)
+def _stream(spark: SparkSession, path: str, schema, files: int = FILES_PER_SLICE) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).json(path)
 
 
-def _run(frame: DataFrame, base: str) -> DataFrame:
+def _run(frame: DataFrame, base: str, count_rows: bool = True) -> DataFrame:
     """What the stream has written when all files are read."""
     spark, schema = frame.sparkSession, frame.schema
-    with S.rocksdb_state(spark):
+    with S.rocksdb_state(spark, count_rows=count_rows):
         q = (frame.writeStream.format("parquet").option("path", f"{base}/out")
              .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -91,11 +103,11 @@ def q_redelivery_ttl(spark, sf_dir):
     received = again.select("message_id", "delivery", (F.col("event_time") + F.make_dt_interval(
         mins=F.col("delivery") * REDELIVERED_AFTER_MINUTES)).alias("received"))
     # joined rather than exploded: the body of all deliveries is the same
-    _land(queue_records(flat).join(received, F.col("messageId") == F.col("message_id")).drop("message_id"),
-          f"{base}/queue", "received")
+    files = _land(queue_records(flat).join(received, F.col("messageId") == F.col("message_id")).drop("message_id"),
+                  f"{base}/queue", "received")
     schema = T.StructType(A.QUEUE_SCHEMA.fields + [T.StructField("delivery", T.LongType()),
                                                    T.StructField("received", T.TimestampType())])
-    recs = A.parse_records(_stream(spark, f"{base}/queue", schema), keep=("delivery", "received"))
+    recs = A.parse_records(_stream(spark, f"{base}/queue", schema, files), keep=("delivery", "received"))
     recs = recs.where(RULE.fits() | F.col("malformed")).withWatermark("received", "0 seconds")
     first = S.first_deliveries(recs, redelivery_key(), time_column="received")
     return _run(first.select("message_id", "delivery"), base)
@@ -166,14 +178,16 @@ def q_retry_dead_letters(spark, sf_dir):
     """A record whose object is not there yet is tried again with doubling pauses, and is a dead letter
     after the last attempt."""
     base = scratch_path(spark, "retries")
-    sent = _with_times(spark, sf_dir, A.outbox(activation_plan(spark, sf_dir)))
+    _with_times(spark, sf_dir, A.outbox(activation_plan(spark, sf_dir))).select(
+        "message_id", "key", "size", "event_time").write.parquet(f"{base}/outbox")
+    sent = spark.read.parquet(f"{base}/outbox")  # used twice
     records = sent.select("message_id", "key", F.col("event_time").alias("at"))
     there = sent.withColumn("m", F.expr(OBJECT_MINUTES)).where("m is not null").select(
         F.lit(None).cast("string").alias("message_id"), "key",
         (F.col("event_time") + F.make_dt_interval(mins=F.col("m"))).alias("at"))
     last = spark.range(1).select(F.lit(None).cast("string").alias("message_id"), F.lit("").alias("key"), _last().alias("at"))
-    _land(records.unionByName(there).unionByName(last), f"{base}/events", "at")
-    events = _stream(spark, f"{base}/events", records.schema)
+    files = _land(records.unionByName(there).unionByName(last), f"{base}/events", "at")
+    events = _stream(spark, f"{base}/events", records.schema, files)
     out = _run(S.with_retries(events.where("message_id is not null"), events.where("message_id is null").select("key", "at"),
                               ATTEMPTS, PAUSE_MINUTES, keep_minutes=24 * 60), base)
     return out.select("message_id", "attempts", "outcome")
@@ -208,7 +222,7 @@ def q_response_status(spark, sf_dir):
         "message_id", "audience", "action", F.col("event_time").alias("sent_at"))
     last = spark.range(1).select(F.lit("last").alias("message_id"), F.lit("").alias("audience"),
                                  F.lit("").alias("action"), _last().alias("sent_at"))
-    _land(sent.unionByName(last), f"{base}/sent", "sent_at")
+    files = _land(sent.unionByName(last), f"{base}/sent", "sent_at")
     times = notifications_frame(spark, sf_dir).select(F.col("message_id").alias("request_id"), "event_time")
     docs = (table(spark, sf_dir, "orders").where(ANSWERED).selectExpr(*ANSWERS).join(times, "request_id")
             .withColumn("at", F.col("event_time") + F.make_dt_interval(mins=F.col("minutes")))
@@ -217,10 +231,10 @@ def q_response_status(spark, sf_dir):
                                                   F.lit("").alias("message"), _last().alias("at")))
     text = docs.select("at", F.to_json(F.struct("request_id", "code", "message", F.date_format(
         "at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"))).alias("value"))
-    _land(text, f"{base}/answers", "at", as_text=True)
-    landed = spark.readStream.option("maxFilesPerTrigger", FILES_PER_SLICE).text(f"{base}/answers")
-    return _run(response_status(_stream(spark, f"{base}/sent", sent.schema), responses(landed),
-                                f"{TIMEOUT_MINUTES} minutes"), base)
+    answer_files = _land(text, f"{base}/answers", "at", as_text=True)
+    landed = spark.readStream.option("maxFilesPerTrigger", answer_files).text(f"{base}/answers")
+    return _run(response_status(_stream(spark, f"{base}/sent", sent.schema, files), responses(landed),
+                                f"{TIMEOUT_MINUTES} minutes"), base, count_rows=False)
 
 
 # --- S6, T1 ----------------------------------------------------------------------
