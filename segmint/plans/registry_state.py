@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..operators import activation as A
 from ..operators import payloads as PL
-from ..session import scratch_path
+from ..session import SHUFFLES_GO, remove_path, scratch_path, settings
 from ..sinks.commits import new_version
 from ..sinks.writers import read_committed, replace_output, write_output, write_version
 from ..sources.audience import scan_audience
@@ -64,10 +64,10 @@ def _stream(spark: SparkSession, path: str, schema, files: int = FILES_PER_SLICE
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).json(path)
 
 
-def _run(frame: DataFrame, base: str, count_rows: bool = True) -> DataFrame:
+def _run(frame: DataFrame, base: str, count_rows: bool = True, keep_batches: int | None = None) -> DataFrame:
     """What the stream has written when all files are read."""
     spark, schema = frame.sparkSession, frame.schema
-    with S.rocksdb_state(spark, count_rows=count_rows):
+    with S.rocksdb_state(spark, count_rows=count_rows, keep_batches=keep_batches):
         q = (frame.writeStream.format("parquet").option("path", f"{base}/out")
              .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -86,6 +86,35 @@ def _last() -> F.Column:
 
 #: A message is delivered again this long after each delivery.
 REDELIVERED_AFTER_MINUTES = 40
+DELIVERIES = 6
+#: The queue holds about so many deliveries at a time: these are landed, read and removed before the next.
+ROWS_IN_QUEUE = 4_000_000
+#: The checkpoint keeps the state of so many micro-batches.
+KEPT_BATCHES = 2
+#: Parts of the state at most: a micro-batch has no more rows than the queue, and each part's store takes some MB.
+STATE_PARTS = 64
+
+
+def _cuts(deliveries: DataFrame, most: int) -> list[int]:
+    """Seconds that part ``received`` in slices of about ``most`` rows, ``SLICES`` at least (fewer of few seconds)."""
+    n = max(SLICES, -(-deliveries.count() // most))
+    found = deliveries.agg(F.percentile_approx(
+        F.unix_seconds("received"), [k / n for k in range(1, n)], max(10_000, 20 * n))).first()[0]
+    return sorted(set(found or []))
+
+
+def _within(time: str, low: int | None, high: int | None) -> F.Column:
+    """Seconds of ``time`` from ``low`` on and before ``high``; rows without a time come first."""
+    s = F.unix_seconds(time)
+    from_low = s >= low if low is not None else F.lit(True)
+    return from_low & (F.coalesce(s < high, F.lit(low is None)) if high is not None else F.lit(True))
+
+
+def _delivered(flat: DataFrame) -> DataFrame:
+    """A row for each delivery of a notification, with its number and time."""
+    again = flat.withColumn("delivery", F.explode(F.sequence(F.lit(0).cast("long"), _number("messageId") % DELIVERIES)))
+    return again.withColumn("received", F.col("event_time") + F.make_dt_interval(
+        mins=F.col("delivery") * REDELIVERED_AFTER_MINUTES)).drop("event_time")
 
 
 @register("redelivery_ttl", O.with_ctes(NOTIF_CTE, FILTERED_CTE) + (
@@ -98,19 +127,27 @@ def q_redelivery_ttl(spark, sf_dir):
     """Every notification is delivered up to six times; one delivery in each visibility window goes on,
     and a key is forgotten when its window has passed."""
     base = scratch_path(spark, "redelivery")
-    flat = notifications_frame(spark, sf_dir)
-    again = flat.withColumn("delivery", F.explode(F.sequence(F.lit(0).cast("long"), _number() % 6)))
-    received = again.select("message_id", "delivery", (F.col("event_time") + F.make_dt_interval(
-        mins=F.col("delivery") * REDELIVERED_AFTER_MINUTES)).alias("received"))
-    # joined rather than exploded: the body of all deliveries is the same
-    files = _land(queue_records(flat).join(received, F.col("messageId") == F.col("message_id")).drop("message_id"),
-                  f"{base}/queue", "received")
+    flat = notifications_frame(spark, sf_dir).where("message_id is not null")
     schema = T.StructType(A.QUEUE_SCHEMA.fields + [T.StructField("delivery", T.LongType()),
                                                    T.StructField("received", T.TimestampType())])
-    recs = A.parse_records(_stream(spark, f"{base}/queue", schema, files), keep=("delivery", "received"))
-    recs = recs.where(RULE.fits() | F.col("malformed")).withWatermark("received", "0 seconds")
-    first = S.first_deliveries(recs, redelivery_key(), time_column="received")
-    return _run(first.select("message_id", "delivery"), base)
+    cuts = _cuts(_delivered(flat.select(F.col("message_id").alias("messageId"), "event_time")), ROWS_IN_QUEUE)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        # those whose deliveries can be in the slice; the body of all deliveries is the same, and made once
+        longest = 60 * REDELIVERED_AFTER_MINUTES * (DELIVERIES - 1)
+        near = flat.where(_within("event_time", None if low is None else low - longest, high))
+        landed = _delivered(queue_records(near, keep=("event_time",))).where(_within("received", low, high))
+        (landed.write.option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE).mode("append")
+         .json(f"{base}/queue"))
+        # the stream goes on from its checkpoint; what it has read leaves the queue
+        recs = A.parse_records(spark.readStream.schema(schema).json(f"{base}/queue"), keep=("delivery", "received"))
+        recs = recs.where(RULE.fits() | F.col("malformed")).withWatermark("received", "0 seconds")
+        first = S.first_deliveries(recs, redelivery_key(), time_column="received",
+                                   columns=["message_id", "delivery", "received"])
+        parts = min(STATE_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        with settings(spark, SHUFFLES_GO | {"spark.sql.shuffle.partitions": str(parts)}):
+            out = _run(first.select("message_id", "delivery"), base, keep_batches=KEPT_BATCHES)
+        remove_path(spark, f"{base}/queue")
+    return out
 
 
 # --- J3 ------------------------------------------------------------------------

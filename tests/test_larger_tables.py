@@ -1,5 +1,9 @@
 """Work that must not grow with each record: calls to the state store, shuffles of a plan, files of a slice."""
 
+import os
+from datetime import datetime, timedelta
+
+import duckdb
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -7,6 +11,7 @@ from pyspark.sql import types as T
 
 from segmint.operators import activation as A
 from segmint.plans import registry_state as RS
+from segmint.plans.registry import ORACLE
 from segmint.streaming import stateful as S
 
 
@@ -105,3 +110,29 @@ def test_a_slice_of_more_rows_has_more_files(spark, tmp_path, monkeypatch, rows,
     made = spark.range(rows).select("id", F.timestamp_seconds(F.lit(1704070800) + F.col("id")).alias("at"))
     assert RS._land(made, str(tmp_path / "q"), "at") == files
     assert spark.read.schema(made.schema).json(str(tmp_path / "q")).count() == rows
+
+
+def test_the_queue_of_redeliveries_holds_one_slice_at_a_time(spark, tmp_path, monkeypatch):
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(minutes=7 * i), i % 30, "click", 30.0 + i % 50, '{"k": %d}' % (i % 9)) for i in range(240)]
+    rows += [(None, start, 1, "view", 40.0, "{}")] + rows[:20]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(RS, "ROWS_IN_QUEUE", 250, raising=False)
+    run, queues, held = RS._run, [], []
+
+    def looked_at(frame, base, *args, **kwargs):
+        queues.append(base)
+        held.append(spark.read.json(f"{base}/queue").count())
+        return run(frame, base, *args, **kwargs)
+
+    monkeypatch.setattr(RS, "_run", looked_at)
+    got = sorted(tuple(r) for r in RS.q_redelivery_ttl(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet' WHERE event_id IS NOT NULL")
+    want = con.execute(ORACLE["redelivery_ttl"]).fetchall()
+    assert got == sorted(set(want)) and len(got) > 150  # an event that is there twice has one object version
+    # all deliveries were in the queue, never many at a time
+    assert sum(held) == sum(i % 6 + 1 for i in range(240)) + sum(i % 6 + 1 for i in range(20))
+    assert max(held) < 350
+    assert len(set(queues)) == 1 and not any(os.path.exists(f"{queues[0]}/{x}") for x in ("queue", "queue_rows"))
